@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.schemas import struct
+from adloom.schemas import DATE, STRING, STRINGS, struct
 
-CHECK_SCHEMA = struct("path string, status string, missing array<string>, extra array<string>")
-AUDIT_SCHEMA = struct("account_name string, table_name string, updated_date date, error string")
+CHECK_SCHEMA = struct({"path": STRING, "status": STRING, "missing": STRINGS, "extra": STRINGS})
+AUDIT_SCHEMA = struct(
+    {"account_name": STRING, "table_name": STRING, "updated_date": DATE, "error": STRING}
+)
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:

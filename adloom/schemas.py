@@ -6,47 +6,100 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+STRING, LONG, INT, DATE = T.StringType(), T.LongType(), T.IntegerType(), T.DateType()
+DOUBLE, FLOAT, TIMESTAMP = T.DoubleType(), T.FloatType(), T.TimestampType()
+STRINGS = T.ArrayType(STRING)
 MONEY = T.DecimalType(18, 2)
 
 # Canonical fact measures and their types.
 MEASURES = {
-    "impressions": T.LongType(),
-    "clicks": T.LongType(),
+    "impressions": LONG,
+    "clicks": LONG,
     "ad_spend": MONEY,
     "ads_sale": MONEY,
-    "ads_units": T.LongType(),
+    "ads_units": LONG,
 }
 
 
-def struct(text: str) -> T.StructType:
-    """``StructType`` from DDL text."""
-    return T.StructType.fromDDL(text)
+def struct(fields: dict[str, T.DataType], required: tuple[str, ...] = ()) -> T.StructType:
+    return T.StructType([T.StructField(n, t, n not in required) for n, t in fields.items()])
 
 
-TARGET_INFO = struct("campaign_name string, target_acos int")
-ACCOUNT_SETTINGS = struct("account_name string, target_acos int")
+TARGET_INFO = struct({"campaign_name": STRING, "target_acos": INT})
+ACCOUNT_SETTINGS = struct({"account_name": STRING, "target_acos": INT})
 
 # Retail sales files: column order and types, and the columns a file must have.
 RETAIL_SALES = struct(
-    "customer_id bigint, store_id bigint, product_name string, sales_date date, "
-    "sales_person_id bigint, price decimal(18,2), quantity int, total_cost decimal(18,2)"
+    {
+        "customer_id": LONG,
+        "store_id": LONG,
+        "product_name": STRING,
+        "sales_date": DATE,
+        "sales_person_id": LONG,
+        "price": MONEY,
+        "quantity": INT,
+        "total_cost": MONEY,
+    }
 )
 MANDATORY_SALES_COLUMNS = RETAIL_SALES.fieldNames()
 
 STAGING = struct(
-    "id int, file_name string, file_location string, created_date timestamp, "
-    "updated_date timestamp, status string"
+    {
+        "id": INT,
+        "file_name": STRING,
+        "file_location": STRING,
+        "created_date": TIMESTAMP,
+        "updated_date": TIMESTAMP,
+        "status": STRING,
+    }
 )
 
 # Typed target of the campaign report. Unsigned 32-bit counts need 64 signed bits.
 CAMPAIGN_INFO = struct(
-    "campaign_id string not null, keyword_id string not null, `ACCOUNT NAME` string, "
-    "CAMPAIGNS string, ad_group_id string, `AD GRP` string, KEYWORD string, "
-    "`SEARCH TERM` string, DATE date not null, IMPRSN bigint not null, CLICKS bigint not null, "
-    "SPEND double not null, SALES double not null, UNITS bigint not null, new_match_type string, "
-    "STRATEGY string, bid float not null, `BID TYM` date, PORTFOLIOS string, "
-    "`TARGETING TYP` string, `ADS TYP` string, `CAMP STATUS` string, CPC double not null, "
-    "ROI double not null, ACOS double not null, CVR double not null, `MATCH TYP` string"
+    {
+        "campaign_id": STRING,
+        "keyword_id": STRING,
+        "ACCOUNT NAME": STRING,
+        "CAMPAIGNS": STRING,
+        "ad_group_id": STRING,
+        "AD GRP": STRING,
+        "KEYWORD": STRING,
+        "SEARCH TERM": STRING,
+        "DATE": DATE,
+        "IMPRSN": LONG,
+        "CLICKS": LONG,
+        "SPEND": DOUBLE,
+        "SALES": DOUBLE,
+        "UNITS": LONG,
+        "new_match_type": STRING,
+        "STRATEGY": STRING,
+        "bid": FLOAT,
+        "BID TYM": DATE,
+        "PORTFOLIOS": STRING,
+        "TARGETING TYP": STRING,
+        "ADS TYP": STRING,
+        "CAMP STATUS": STRING,
+        "CPC": DOUBLE,
+        "ROI": DOUBLE,
+        "ACOS": DOUBLE,
+        "CVR": DOUBLE,
+        "MATCH TYP": STRING,
+    },
+    required=(
+        "campaign_id",
+        "keyword_id",
+        "DATE",
+        "IMPRSN",
+        "CLICKS",
+        "SPEND",
+        "SALES",
+        "UNITS",
+        "bid",
+        "CPC",
+        "ROI",
+        "ACOS",
+        "CVR",
+    ),
 )
 CAMPAIGN_INFO_ORDER = ["campaign_id", "keyword_id", "DATE"]
 

@@ -125,6 +125,7 @@ def gather(
     schema: T.StructType,
     columns: list[str] | None = None,
     distinct: bool = True,
+    sep: str = ",",
     drop_malformed: bool = False,
     with_file: bool = False,
 ) -> DataFrame:
@@ -135,7 +136,7 @@ def gather(
     existing = [p for p in paths if _exists(spark, p)]
     if not existing:
         return spark.createDataFrame([], schema).select(*(columns or schema.fieldNames()))
-    df = read_csv(spark, existing, schema, drop_malformed=drop_malformed)
+    df = read_csv(spark, existing, schema, sep=sep, drop_malformed=drop_malformed)
     wanted = [F.col(f"`{c}`") for c in (columns or schema.fieldNames())]
     if with_file:
         wanted.append(F.col("_metadata.file_path").alias("file_path"))
