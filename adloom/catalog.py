@@ -63,20 +63,13 @@ RULES = [
 URL_ID = r"example\.[a-z]+/[a-z]+/([0-9]+)"
 
 
-class Views:
-    """Fixture views of one folder by attribute."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = apply_settings(spark)
-        self.sf_dir = sf_dir
+class Views(fixtures.Fixtures):
+    """Fixture views of one folder by attribute, and the report inputs made of them."""
 
     def __getattr__(self, name: str) -> DataFrame:
-        return fixtures.view(self.spark, self.sf_dir, name)
-
-    def sql(self, query: str) -> DataFrame:
-        """A projection of one table, which the query calls ``{src}``."""
-        table = query.split("{", 1)[1].split("}", 1)[0]
-        return self.spark.sql(query, **{table: getattr(self, table)})
+        if name not in fixtures.VIEWS and name not in fixtures.TABLES:
+            raise AttributeError(name)
+        return self[name]
 
     def searched(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.sp_search_term, self.sb_search_term, self.sd_targeting
@@ -116,15 +109,8 @@ class Views:
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals and floats as double."""
-    numeric = (T.DecimalType, T.FloatType)
-    return df.select(
-        *[
-            F.col(f"`{f.name}`").cast("double").alias(f.name)
-            if isinstance(f.dataType, numeric)
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    inexact = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DecimalType, T.FloatType))]
+    return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in inexact}) if inexact else df
 
 
 def q01_canonical_fact(v: Views) -> DataFrame:
@@ -289,7 +275,7 @@ select l_orderkey, l_linenumber,
   case when l_linestatus = 'F' then cast(l_suppkey as varchar(20)) else '0' end as sales,
   cast(l_quantity as bigint) % 3 as units,
   cast(l_extendedprice as decimal(18,2)) as gmv
-from {lineitem}
+from lineitem
 """
 
 
@@ -315,7 +301,7 @@ select case l_partkey % 13
     when 4 then n || ' Lakhs' when 5 then n || ' Lakh' when 6 then n || '.5 Crores' when 7 then n || ' Crore'
     when 8 then n || ',200' when 9 then n || ' Units' when 10 then '' when 11 then 'x' || n
     else n || ' cr' end as raw
-from (select l_partkey, cast(cast(l_quantity as bigint) as varchar(20)) as n from {lineitem}) t
+from (select l_partkey, cast(cast(l_quantity as bigint) as varchar(20)) as n from lineitem) t
 """
 
 
@@ -335,7 +321,7 @@ select l_orderkey,
   'Rs.' || cast(cast(l_extendedprice as decimal(18,2)) as varchar(30)) as cost,
   case when l_partkey = 7 then 'free' else cast(l_suppkey as varchar(20)) end as fee,
   case when l_partkey = 8 then null else '5' end as tax
-from {lineitem}
+from lineitem
 """
 
 
@@ -411,7 +397,7 @@ select o_orderkey, cast(cast(o_orderdate as date) as varchar(10)) as order_date,
   replace(cast(cast(o_orderdate as date) as varchar(10)), '-', '/') as slash_date,
   case when o_orderkey % 1000 = 7 then 'unknown' else cast(cast(o_orderdate as date) as varchar(10)) end as Odd_Date,
   o_orderstatus as status
-from {orders}
+from orders
 """
 
 
@@ -542,7 +528,7 @@ def q48_tied_bids(v: Views) -> DataFrame:
 
 
 def _registered(query):
-    return lambda spark, sf_dir: plain(query(Views(spark, sf_dir)))
+    return lambda spark, sf_dir: plain(query(Views(apply_settings(spark), sf_dir)))
 
 
 QUERIES = {

@@ -188,12 +188,37 @@ def with_views(sql: str) -> str:
     return f"with {ctes}\n{body}"
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture view, or a base table, as a lazy DataFrame over ``sf_dir``."""
-    if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    names = _needed(f"from {name}", SPARK_VIEWS)
-    words = set(re.findall(r"\w+", " ".join(SPARK_VIEWS[n] for n in names)))
-    ctes = [f"{t} as (select * from parquet.`{sf_dir}/{t}.parquet`)" for t in TABLES if t in words]
-    ctes += [f"{n} as ({SPARK_VIEWS[n].strip()})" for n in names]
-    return spark.sql("with " + ",\n".join(ctes) + f"\nselect * from {name}")
+class Fixtures:
+    """The views, and the base tables, of one test-data folder as lazy DataFrames.
+
+    Each is analysed once and shared by the views built on it.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._known: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._known:
+            self._known[name] = self._build(name)
+        return self._known[name]
+
+    def _build(self, name: str) -> DataFrame:
+        if name in TABLES:
+            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.sql(SPARK_VIEWS[name])
+
+    def sql(self, query: str) -> DataFrame:
+        """A query over views and base tables named after ``from`` and ``join``."""
+        used: set[str] = set()
+
+        def mark(match: re.Match) -> str:
+            word, name = match.groups()
+            if name not in TABLES and name not in VIEWS:
+                return match[0]
+            used.add(name)
+            return f"{word} {{{name}}}"
+
+        text = re.sub(r"\b(from|join) (\w+)", mark, query)
+        return self.spark.sql(text, **{name: self[name] for name in used})

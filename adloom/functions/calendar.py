@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Month abbreviations of Spark's and the report's ``MMM``.
@@ -23,9 +23,10 @@ class Period:
     start: date
     end: date | None = None
 
-    def holds(self, day: Column) -> Column:
-        after = day >= F.lit(self.start)
-        return after if self.end is None else after & (day <= F.lit(self.end))
+    def condition(self, day: str = "date") -> str:
+        """SQL text that holds for the period's days."""
+        after = f"{day} >= date'{self.start}'"
+        return after if self.end is None else f"{after} and {day} <= date'{self.end}'"
 
 
 def day_periods(as_of: date) -> list[Period]:
@@ -54,12 +55,16 @@ def month_periods(as_of: date, n: int = 4) -> list[Period]:
     ]
 
 
-def in_any(periods: list[Period], day: Column) -> Column:
-    """Rows any period can use; a plain range, so it can be pushed into the scan."""
-    since = day >= F.lit(min(p.start for p in periods))
-    if any(p.end is None for p in periods):
-        return since
-    return since & (day <= F.lit(max(p.end for p in periods)))
+def in_any(periods: list[Period], day: str = "date") -> str:
+    """SQL text for days that any period holds.
+
+    The enclosing range comes first, as a plain comparison a scan can use.
+    """
+    enclosing = f"{day} >= date'{min(p.start for p in periods)}'"
+    if all(p.end is not None for p in periods):
+        enclosing += f" and {day} <= date'{max(p.end for p in periods)}'"
+    held = " or ".join(f"({p.condition(day)})" for p in periods)
+    return f"{enclosing} and ({held})"
 
 
 def last_days(spark: SparkSession, as_of: date, n: int = 15) -> DataFrame:

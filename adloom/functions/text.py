@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adloom.functions.labels import first_match
-
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 MAGNITUDE = r"^([+-]?(?:\d+\.?\d*|\.\d+))\s*([a-z]*)$"
 
@@ -40,8 +38,8 @@ def _magnitude(col: Column | str) -> Column:
     text = F.lower(F.trim(strip_commas(col)))
     number = F.regexp_extract(text, MAGNITUDE, 1).try_cast("decimal(28,6)")
     unit = F.regexp_extract(text, MAGNITUDE, 2)
-    factor = first_match([(unit == u, F.lit(f)) for u, f in MAGNITUDES.items()], F.lit(None))
-    return number * factor.cast("decimal(8,0)")
+    factors = F.create_map(*[F.lit(x) for pair in MAGNITUDES.items() for x in pair])
+    return number * F.try_element_at(factors, unit).cast("decimal(8,0)")
 
 
 def parse_magnitude(col: Column | str) -> Column:

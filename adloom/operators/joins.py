@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adloom.session import materialize
+
 MAX_ROWS = 2_000_000
 MAX_BYTES = 64 * 1024 * 1024
 
@@ -26,21 +29,23 @@ def _payload(df: DataFrame) -> Column:
 def size_checked(
     *dims: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 ) -> tuple[DataFrame, ...]:
-    """Mark each dimension for broadcast if it is measured to be small enough.
+    """Store each dimension and mark it for broadcast if it turned out small enough.
 
-    One job sizes all of them with a partial aggregate. Dimensions above the bound
-    come back unmarked and are joined by shuffle, where AQE splits hot keys.
+    Rows and bytes are observed while a dimension is written, so it is computed
+    once. One above the bound comes back unmarked and is joined by shuffle, where
+    AQE splits hot keys.
     """
-    probes = [
-        d.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_payload(d)), F.lit(0)).alias("b"))
-        .select(F.lit(i).alias("i"), "n", "b")
-        for i, d in enumerate(dims)
-    ]
-    sizes = {r.i: (r.n, r.b) for r in reduce(DataFrame.unionByName, probes).collect()}
-    return tuple(
-        F.broadcast(d) if sizes[i][0] <= max_rows and sizes[i][1] <= max_bytes else d
-        for i, d in enumerate(dims)
-    )
+    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+        return tuple(pool.map(lambda d: _stored(d, max_rows, max_bytes), dims))
+
+
+def _stored(dim: DataFrame, max_rows: int, max_bytes: int) -> DataFrame:
+    seen = Observation()
+    counts = F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_payload(dim)), F.lit(0)).alias("b")
+    stored = materialize(dim.observe(seen, *counts), "dim")
+    size = seen.get
+    small = size["n"] <= max_rows and size["b"] <= max_bytes
+    return F.broadcast(stored) if small else stored
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adloom.operators.joins import size_checked
-
 
 def _monthly(sales: DataFrame, keys: list[str]) -> DataFrame:
     month = F.trunc("sales_date", "month").alias("sales_date_month")
@@ -23,6 +21,5 @@ def customer_mart(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 def sales_team_mart(sales: DataFrame, team: DataFrame, incentive: Column | None = None) -> DataFrame:
     """Sales per store, person and month; ``incentive`` is the caller's formula, if any."""
-    (team,) = size_checked(team)
     mart = _monthly(sales, ["store_id", "sales_person_id"]).join(team, "sales_person_id", "inner")
     return mart if incentive is None else mart.withColumn("incentive", incentive)

@@ -68,7 +68,7 @@ def pareto(
     total_partition = total_partition or ["portfolio_name"]
     running = running_sum(df, value, partition).withColumnRenamed("running", "cumulative_sales")
     totals = df.groupBy(*total_partition).agg(F.sum(value).alias("total_sales_portfolio"))
-    running, totals = size_checked(running, totals)
+    (totals,) = size_checked(totals)
     out = join_null_safe(df, running, [*partition, value])
     out = join_null_safe(out, totals, total_partition)
     share = F.try_divide(

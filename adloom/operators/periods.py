@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions.calendar import Period, in_any
-from adloom.functions.ratios import RATIOS, ratio
+from adloom.functions.ratios import RATIOS, ratio_sql
 from adloom.schemas import MEASURES
 
 KEYS = ["account_name", "campaignId", "ad_group_id", "keyword_id"]
@@ -31,40 +31,33 @@ def daily_keyword(fact: DataFrame, with_match_type: bool = True) -> DataFrame:
 
 def period_sums(fact: DataFrame, periods: list[Period], keys: list[str]) -> DataFrame:
     """One conditional sum per period and measure: one scan, one shuffle, partial sums first."""
-    day = F.col("date")
     sums = [
-        F.sum(F.when(p.holds(day), F.col(m))).alias(f"{m}_{p.name}")
+        F.expr(f"sum(case when {p.condition()} then {m} end) as {m}_{p.name}")
         for p in periods
         for m in MEASURES
     ]
-    return fact.filter(_any_period(periods, day)).groupBy(*keys).agg(*sums)
-
-
-def _any_period(periods: list[Period], day: Column) -> Column:
-    """The pushable range, and within it only days some period holds."""
-    held = periods[0].holds(day)
-    for p in periods[1:]:
-        held = held | p.holds(day)
-    return in_any(periods, day) & held
+    return fact.filter(in_any(periods)).groupBy(*keys).agg(*sums)
 
 
 def add_period_ratios(
     df: DataFrame, periods: list[Period], digits: int | None = 2
 ) -> DataFrame:
     """Missing sums become 0, sums are rounded to whole numbers, ratios follow from those."""
-    whole = {
-        f"{m}_{p.name}": F.coalesce(F.round(F.col(f"{m}_{p.name}"), 0), F.lit(0)).cast(
-            "bigint" if m not in ("ad_spend", "ads_sale") else "decimal(28,0)"
-        )
-        for p in periods
-        for m in MEASURES
-    }
-    made = {}
+    sums = [f"{m}_{p.name}" for p in periods for m in MEASURES]
+    whole = [
+        f"cast(coalesce(round({c}, 0), 0) as "
+        + ("decimal(28,0)" if c.startswith(("ad_spend", "ads_sale")) else "bigint")
+        + f") as {c}"
+        for c in sums
+    ]
+    made = []
     for p in periods:
         for name in PERIOD_RATIOS:
             num, den, factor = RATIOS[name]
-            made[f"{name}_{p.name}"] = ratio(f"{num}_{p.name}", f"{den}_{p.name}", factor, digits)
-    return df.withColumns(whole).withColumns(made)
+            value = ratio_sql(f"{num}_{p.name}", f"{den}_{p.name}", factor, digits)
+            made.append(f"{value} as {name}_{p.name}")
+    others = [f"`{c}`" for c in df.columns if c not in sums]
+    return df.selectExpr(*others, *whole).selectExpr("*", *made)
 
 
 def metric_columns(periods: list[Period]) -> list[str]:

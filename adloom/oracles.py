@@ -384,10 +384,6 @@ def _magnitude(kind: str) -> str:
     return f"cast({number} * {factor} as {kind})"
 
 
-def _source(text: str, table: str) -> str:
-    return text.replace("{" + table + "}", table)
-
-
 def sql() -> dict[str, str]:
     """DuckDB SQL per registered query."""
     money = "cast(ad_spend as double) as ad_spend, cast(ads_sale as double) as ads_sale"
@@ -442,13 +438,13 @@ def sql() -> dict[str, str]:
         "q24_coercing_metrics": f"""select l_orderkey, l_linenumber, {_coerced('spend', 'sales', 100)} as acos,
           {_coerced('spend', 'gmv', 100)} as tacos, {_coerced('spend', 'clicks')} as cpc, {_coerced('units', 'clicks', 100)} as cvr,
           {_coerced('clicks', 'impressions', 100)} as ctr, {_coerced('gmv', 'units')} as asp, {_coerced('gmv', 'impressions', 100)} as gmv_attainment,
-          {_coerced('spend', 'gmv', 100)} as spend_attainment from ({_source(catalog.COERCE_SOURCE, 'lineitem')}) s""",
+          {_coerced('spend', 'gmv', 100)} as spend_attainment from ({catalog.COERCE_SOURCE}) s""",
         "q25_magnitude_parse": f"""select raw, case when trim(raw) = '-' then 0 else {_magnitude('bigint')} end as whole,
           case when trim(raw) = '' then 0.0 else {_magnitude('double')} end as amount, replace(raw, ',', '') as no_commas
-          from (select raw, lower(trim(replace(raw, ',', ''))) as t from ({_source(catalog.MAGNITUDE_SOURCE, 'lineitem')}) s) u""",
+          from (select raw, lower(trim(replace(raw, ',', ''))) as t from ({catalog.MAGNITUDE_SOURCE}) s) u""",
         "q26_currency_clean": f"""select l_orderkey, cast(replace(replace(price, '₹', ''), ',', '') as bigint) as price,
           cast(trunc(cast(replace(cost, 'Rs.', '') as double)) as bigint) as cost, fee, tax
-          from ({_source(catalog.CURRENCY_SOURCE, 'lineitem')}) s""",
+          from ({catalog.CURRENCY_SOURCE}) s""",
         "q27_url_ids": f"""select page_id, url, unnest(regexp_extract_all(url, '{catalog.URL_ID}', 1)) as id,
           split_part(url, '/', 4) as piece from pages""",
         "q28_calendar_days": f"""select cal.date, t.clicks, t.ad_spend from (
@@ -469,7 +465,7 @@ def sql() -> dict[str, str]:
         "q32_dedupe_full": "select distinct keyword_id, account_name, campaign_name, keyword, campaignId from o_fact",
         "q33_gather": "select distinct name as campaign_name, cast(campaignId % 40 as int) as target_acos from campaigns",
         "q34_date_columns": f"""select o_orderkey, order_date, replace(slash_date, '/', '-') as slash_date, Odd_Date, status
-          from ({_source(catalog.DATE_SOURCE, 'orders')}) s""",
+          from ({catalog.DATE_SOURCE}) s""",
         "q35_mandatory_columns": """select file, status, missing, extra from (values ('normal', 'valid', '', ''),
           ('extra', 'valid', '', 'payment_mode'), ('missing', 'rejected', 'store_id', 'payment_mode')) t(file, status, missing, extra)""",
         "q36_audit": f"""select account_name, 'account_settings' as table_name, {DAY} as updated_date from accounts

@@ -14,11 +14,13 @@ from adloom.operators.cleaning import move_column
 from adloom.operators.dedupe import dedupe, latest_bids
 from adloom.operators.enrich import (
     account_ads_dim,
+    account_targets,
+    campaign_targets,
+    join_targets,
     keyword_campaigns,
     keyword_metadata,
     with_ads,
     with_bids,
-    with_target_acos,
 )
 from adloom.operators.joins import size_checked
 from adloom.operators.pareto import pareto
@@ -41,12 +43,10 @@ def keyword_sums(fact: DataFrame, periods: list[Period]) -> DataFrame:
     with several descriptions are merged afterwards, taking the first in order.
     """
     sums = period_sums(fact, periods, [*KEYS, *DESCRIPTION])
-    totals = [
-        F.sum(f"{m}_{p.name}").alias(f"{m}_{p.name}") for p in periods for m in MEASURES
-    ]
+    names = [f"{m}_{p.name}" for p in periods for m in MEASURES]
     first = F.min(F.struct(*DESCRIPTION)).alias("__first")
-    merged = sums.groupBy(*KEYS).agg(first, *totals)
-    return merged.select("*", "__first.*").drop("__first")
+    merged = sums.groupBy(*KEYS).agg(first, *[F.expr(f"sum({c}) as {c}") for c in names])
+    return merged.selectExpr(*KEYS, "__first.*", *names)
 
 
 def keyword_base(
@@ -66,15 +66,17 @@ def keyword_base(
     Dimensions are joined after the aggregation: each has one row per key, so the
     result is the same and the joins see keywords instead of daily rows.
     """
-    ads_by_campaign, latest, dim = size_checked(
+    ads_by_campaign, latest, dim, campaign_target, account_target = size_checked(
         account_ads_dim(ads),
         latest_bids(bids),
         keyword_campaigns(campaigns, portfolios, targets),
+        campaign_targets(per_campaign),
+        account_targets(per_account),
     )
     rows = with_ads(keyword_sums(with_match_type(fact), periods), ads_by_campaign)
     rows = keyword_metadata(with_bids(rows, latest), dim)
     rows = add_period_ratios(rows, periods, digits)
-    return with_target_acos(rows, per_campaign, per_account)
+    return join_targets(rows, campaign_target, account_target)
 
 
 def keyword_report(
