@@ -112,11 +112,10 @@ def read_csv(
         return spark.read.schema(schema).csv(path, sep=sep, header=header, mode="PERMISSIVE")
     if all(isinstance(f.dataType, T.StringType) for f in schema.fields):
         raise ValueError("dropping malformed rows needs a column that is not text")
-    return (
-        spark.read.schema(schema)
-        .option("columnPruning", "false")
-        .csv(path, sep=sep, header=False, mode="DROPMALFORMED")
-    )
+    df = spark.read.schema(schema).csv(path, sep=sep, header=False, mode="DROPMALFORMED")
+    # Always true, but it names every column, so none is pruned from the parse.
+    every = F.xxhash64(*[f"`{c}`" for c in schema.fieldNames()])
+    return df.filter(every >= F.lit(-(2**63)))
 
 
 def gather(
