@@ -80,8 +80,8 @@ class Views(fixtures.Fixtures):
     def typed(self) -> DataFrame:
         return canonical.with_match_type(self.fact())
 
-    def campaign_report(self, **options) -> DataFrame:
-        return campaign.campaign_report(
+    def campaign_report(self, plan=campaign.campaign_report, **options) -> DataFrame:
+        return plan(
             *self.searched(),
             self.campaigns,
             self.portfolios,
@@ -527,6 +527,16 @@ def q48_tied_bids(v: Views) -> DataFrame:
     return dedupe.latest_per_key(bids, ["account_name"], "day", ties=True)
 
 
+def q49_campaign_strategy_report(v: Views) -> DataFrame:
+    return v.campaign_report(campaign.campaign_strategy_report)
+
+
+def q50_ambiguous_targets(v: Views) -> DataFrame:
+    """Audit rows of campaigns with several targets; the fixture gives every fifth a second one."""
+    second = v.target_info.filter(F.col("target_acos") % 5 == 0).withColumn("target_acos", F.col("target_acos") + 1)
+    return quality.audit_targets(v.target_info.unionByName(second), AS_OF)
+
+
 def _registered(query):
     return lambda spark, sf_dir: plain(query(Views(apply_settings(spark), sf_dir)))
 

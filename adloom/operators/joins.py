@@ -26,26 +26,35 @@ def _payload(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, sizes).cast("bigint")
 
 
+def stored(
+    df: DataFrame, name: str = "dim", max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+) -> tuple[DataFrame, bool]:
+    """The frame, written once to the shared folder, and whether it is within the bound.
+
+    Rows and bytes are observed during the write, so nothing is computed twice.
+    """
+    seen = Observation()
+    counts = F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_payload(df)), F.lit(0)).alias("b")
+    kept = materialize(df.observe(seen, *counts), name)
+    size = seen.get
+    return kept, size["n"] <= max_rows and size["b"] <= max_bytes
+
+
 def size_checked(
     *dims: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 ) -> tuple[DataFrame, ...]:
     """Store each dimension and mark it for broadcast if it turned out small enough.
 
-    Rows and bytes are observed while a dimension is written, so it is computed
-    once. One above the bound comes back unmarked and is joined by shuffle, where
-    AQE splits hot keys.
+    One above the bound comes back unmarked and is joined by shuffle, where AQE
+    splits hot keys.
     """
-    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
-        return tuple(pool.map(lambda d: _stored(d, max_rows, max_bytes), dims))
 
+    def check(dim: DataFrame) -> DataFrame:
+        kept, small = stored(dim, "dim", max_rows, max_bytes)
+        return F.broadcast(kept) if small else kept
 
-def _stored(dim: DataFrame, max_rows: int, max_bytes: int) -> DataFrame:
-    seen = Observation()
-    counts = F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_payload(dim)), F.lit(0)).alias("b")
-    stored = materialize(dim.observe(seen, *counts), "dim")
-    size = seen.get
-    small = size["n"] <= max_rows and size["b"] <= max_bytes
-    return F.broadcast(stored) if small else stored
+    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+        return tuple(pool.map(check, dims))
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.functions.text import word_pattern
-from adloom.operators.joins import join_null_safe, size_checked
+from adloom.operators.joins import join_null_safe, stored
 from adloom.session import materialize
 
 # (column, label prefix, parent columns)
 Level = tuple[str, str, tuple[str, ...]]
 
+# Path tables up to this size are ranked by plain windows, bigger ones in ranges.
+SMALL_PATHS = 200_000
+
 
 def _q(names) -> list[str]:
     return [f"`{n}`" for n in names]
@@ -47,16 +50,35 @@ def _chains(levels: list[Level]) -> list[list[Level]]:
     return chains
 
 
-def _labels(sorted_dim: DataFrame, chain: list[Level], depth: int) -> DataFrame:
-    """Label of each value path of length ``depth``: its dense rank under its parents.
+def _label(chain: list[Level], depth: int, rank: Column) -> Column:
+    """Label of a level; null if its value or any parent's is null."""
+    known = F.lit(True)
+    for name, _, _ in chain[:depth]:
+        known = known & F.col(f"`{name}`").isNotNull()
+    return F.when(known, F.concat(F.lit(chain[depth - 1][1]), rank.cast("string"))).alias(f"__label_{depth}")
+
+
+def _small_labels(paths: DataFrame, chain: list[Level]) -> DataFrame:
+    """Labels of a path table known to be small: plain dense ranks."""
+    names = [level[0] for level in chain]
+
+    def rank(depth: int) -> Column:
+        order = F.col(f"`{names[depth - 1]}`").asc_nulls_first()
+        return F.dense_rank().over(Window.partitionBy(*_q(names[: depth - 1])).orderBy(order))
 
-    ``sorted_dim`` is range-partitioned by the whole path and ``__chunk`` numbers
-    its ranges. A rank is the number of values in earlier chunks plus the position
+    return paths.select("*", *[_label(chain, d, rank(d)) for d in range(1, len(chain) + 1)])
+
+
+def _level_ranks(chunked: DataFrame, chain: list[Level], depth: int) -> DataFrame:
+    """Label of each value path of length ``depth`` in a path table of any size.
+
+    ``chunked`` is range-partitioned by the whole path and ``__chunk`` numbers its
+    ranges. A rank is the number of values in earlier chunks plus the position
     inside the chunk, so no task orders more than one chunk.
     """
     path = [level[0] for level in chain[:depth]]
-    parents, name, prefix = path[:-1], path[-1], chain[depth - 1][1]
-    firsts = sorted_dim.groupBy(*_q(path)).agg(F.min("__chunk").alias("__chunk"))
+    parents, name = path[:-1], path[-1]
+    firsts = chunked.groupBy(*_q(path)).agg(F.min("__chunk").alias("__chunk"))
     counts = firsts.groupBy(*_q(parents), "__chunk").agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(*_q(parents)).orderBy("__chunk")
     before = F.sum("__n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
@@ -64,38 +86,49 @@ def _labels(sorted_dim: DataFrame, chain: list[Level], depth: int) -> DataFrame:
     inside = Window.partitionBy(*_q(parents), "__chunk").orderBy(F.col(f"`{name}`").asc_nulls_first())
     ranked = firsts.withColumn("__pos", F.row_number().over(inside))
     ranked = join_null_safe(ranked, counts, [*parents, "__chunk"], "inner")
-    rank = (F.col("__before") + F.col("__pos")).cast("string")
-    known = F.lit(True)
-    for p in path:
-        known = known & F.col(f"`{p}`").isNotNull()
-    label = F.when(known, F.concat(F.lit(prefix), rank))
-    return ranked.select(*_q(path), label.alias(f"__label_{depth}"))
+    return ranked.select(*_q(path), _label(chain, depth, F.col("__before") + F.col("__pos")))
 
 
-def label_map(df: DataFrame, chain: list[Level], partitions: int | None = None) -> DataFrame:
-    """Every distinct value path of the chain with the labels of all its levels.
+def _big_labels(paths: DataFrame, chain: list[Level], partitions: int) -> DataFrame:
+    """Labels of a path table of any size.
 
-    A null value counts in the numbering but has no label, and neither have its
-    children. The sorted paths are stored once, so their ranges cannot shift
-    between the passes that number them.
+    The sorted paths are stored, so their ranges cannot shift between the passes
+    that number them.
     """
     path = [level[0] for level in chain]
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in _q(path)]
-    paths = df.select(*_q(path)).distinct().repartitionByRange(partitions, *order)
-    dim = materialize(paths.withColumn("__chunk", F.spark_partition_id()), "paths")
-    out = dim.drop("__chunk")
+    ranges = paths.repartitionByRange(partitions, *order)
+    chunked = materialize(ranges.withColumn("__chunk", F.spark_partition_id()), "paths")
+    out = chunked.drop("__chunk")
     for depth in range(1, len(chain) + 1):
-        out = join_null_safe(out, _labels(dim, chain, depth), path[:depth], "inner")
+        out = join_null_safe(out, _level_ranks(chunked, chain, depth), path[:depth], "inner")
     return out
 
 
-def pseudonymize(df: DataFrame, levels: list[Level], partitions: int | None = None) -> DataFrame:
+def label_map(
+    df: DataFrame, chain: list[Level], partitions: int | None = None, max_rows: int = SMALL_PATHS
+) -> DataFrame:
+    """Every distinct value path of the chain with the labels of all its levels.
+
+    A null value counts in the numbering but has no label, and neither have its
+    children. The paths are stored and measured first: a small table is ranked by
+    plain windows and broadcast, a big one is ranked in ranges.
+    """
+    path = [level[0] for level in chain]
+    paths, small = stored(df.select(*_q(path)).distinct(), "paths", max_rows)
+    if small:
+        return F.broadcast(_small_labels(paths, chain))
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _big_labels(paths, chain, partitions)
+
+
+def pseudonymize(
+    df: DataFrame, levels: list[Level], partitions: int | None = None, max_rows: int = SMALL_PATHS
+) -> DataFrame:
     """Replace names by numbered labels; numbering restarts under each parent."""
     for chain in _chains(levels):
         path = [level[0] for level in chain]
-        (labels,) = size_checked(label_map(df, chain, partitions))
-        joined = join_null_safe(df, labels, path, "inner")
+        joined = join_null_safe(df, label_map(df, chain, partitions, max_rows), path, "inner")
         renamed = {name: F.col(f"__label_{i}") for i, name in enumerate(path, 1)}
         df = joined.select(
             *[renamed[c].alias(c) if c in renamed else F.col(f"`{c}`") for c in df.columns]

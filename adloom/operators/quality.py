@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adloom.operators.enrich import ambiguous_targets
 from adloom.schemas import DATE, STRING, STRINGS, struct
 
 CHECK_SCHEMA = struct({"path": STRING, "status": STRING, "missing": STRINGS, "extra": STRINGS})
@@ -90,6 +91,17 @@ def audit_error(spark: SparkSession, table: str, error: Exception | str, as_of:
     return spark.createDataFrame([(None, table, as_of, str(error))], AUDIT_SCHEMA)
 
 
+def audit_targets(per_campaign: DataFrame, as_of: date) -> DataFrame:
+    """One row per campaign with more than one target ACOS, of which the lowest is used."""
+    error = F.concat(F.lit("several targets: "), F.col("campaign_name"))
+    return ambiguous_targets(per_campaign).select(
+        F.lit(None).cast("string").alias("account_name"),
+        F.lit("target_info").alias("table_name"),
+        F.lit(as_of).alias("updated_date"),
+        error.alias("error"),
+    )
+
+
 def unfinished_files(files: DataFrame, staging: DataFrame) -> DataFrame:
     """Listed files that the last run left with status ``I``."""
     return files.join(staging.filter(F.col("status") == "I"), "file_name", "left_semi")

@@ -6,6 +6,7 @@ The rule table is configuration: it is read to the driver once and becomes a
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -68,6 +69,8 @@ def _bid(rule: dict, columns: list[str]) -> Column | None:
         percent = float(action)
     except ValueError:
         return None
+    if math.isnan(percent):
+        return None
     return cpc * (1 + percent / 100.0)
 
 

@@ -499,5 +499,15 @@ def sql() -> dict[str, str]:
         "q48_tied_bids": """select keyword_id, cast(bid as double) as bid, account_name, day from (
           select *, cast(updated_date as date) as day, rank() over (partition by account_name order by cast(updated_date as date) desc) as rk
           from bid_values) t where rk = 1""",
+        "q49_campaign_strategy_report": """select f.account_name, f.campaignId, f.campaign_name, f.ad_group_id, f.ad_group_name, f.keyword_id,
+          f.keyword, f.search_term, f.date, f.impressions, f.clicks, cast(f.ad_spend as double) as ad_spend, cast(f.ads_sale as double) as ads_sale,
+          f.ads_units, f.match_type, f.new_match_type, f.strategy, cast(b.bid as double) as bid, b.bid_tym, p.portfolio_name,
+          i.targeting_type, i.ads_type, i."CAMP STATUS", case when p.campaign_id is not null then coalesce(s.strategy_camp, 'Not Applicable') end as strategy_camp
+          from o_strategy f left join o_latest_bid b on f.keyword_id = b.keyword_id left join o_portfolio_dim p on f.campaignId = p.campaign_id
+          left join o_info i on p.campaign_id = i.campaign_id left join (select campaignId, case when bool_or(strategy = 'GENERIC') then 'GENERIC'
+            when bool_and(strategy = 'BA') then 'BA' when bool_and(strategy = 'BD') then 'BD' else 'Not Applicable' end as strategy_camp
+            from o_strategy group by campaignId) s on f.campaignId = s.campaignId""",
+        "q50_ambiguous_targets": f"""select cast(null as varchar) as account_name, 'target_info' as table_name, {DAY} as updated_date,
+          'several targets: ' || campaign_name as error from target_info where target_acos % 5 = 0""",
     }
     return {name: _query(body) for name, body in bodies.items()}

@@ -13,7 +13,12 @@ from adloom.operators.dedupe import latest_bids
 from adloom.operators.enrich import campaign_dim, with_bids
 from adloom.operators.joins import size_checked
 from adloom.operators.masking import MaskSpec, masked_union
-from adloom.operators.strategy import account_patterns, classify_strategy, own_asins
+from adloom.operators.strategy import (
+    account_patterns,
+    campaign_strategy,
+    classify_strategy,
+    own_asins,
+)
 
 # Report headers.
 HEADERS = {
@@ -93,3 +98,29 @@ def campaign_report(
     if mask_tenant is None:
         return report
     return masked_union(report, mask_tenant, mask_spec(digits), factor)
+
+
+def campaign_strategy_report(
+    sp: DataFrame,
+    sb: DataFrame,
+    sd: DataFrame,
+    campaigns: DataFrame,
+    portfolios: DataFrame,
+    targets: DataFrame,
+    ads: DataFrame,
+    competitors: DataFrame,
+    bids: DataFrame,
+    aliases: dict[str, str] | None = None,
+) -> DataFrame:
+    """Search-term rows with their own and their campaign's strategy, without ratios.
+
+    The campaign strategies come from a first pass over the few columns that decide
+    them; their size is checked like any other dimension's.
+    """
+    asins, patterns, latest = size_checked(
+        own_asins(competitors), account_patterns(competitors, aliases), latest_bids(bids)
+    )
+    fact = with_match_type(canonical_fact(sp, sb, sd).drop("kt_type"))
+    rows = classify_strategy(fact, asins, patterns)
+    (dim,) = size_checked(campaign_dim(campaigns, portfolios, targets, ads, campaign_strategy(rows)))
+    return with_bids(rows, latest).join(dim, "campaignId", "left")

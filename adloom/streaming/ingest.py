@@ -17,18 +17,21 @@ def ingest_folder(
     sep: str = ",",
     header: bool = True,
     max_files: int | None = None,
+    drop_malformed: bool = False,
 ) -> StreamingQuery:
     """Append every file not yet seen in ``src`` to the Parquet table ``out``, then stop.
 
     The checkpoint remembers taken files and the sink's log makes the append
     exactly-once, so a failed or repeated run adds no row twice. ``archive`` moves
-    a file away one run after it was read; ``max_files`` bounds a micro-batch.
+    a file away one run after it was read; ``max_files`` bounds a micro-batch. With
+    ``drop_malformed`` preamble, header and bad lines fail the typed schema and drop out.
     """
     reader = (
         spark.readStream.schema(schema)
         .format("csv")
         .option("sep", sep)
-        .option("header", str(header).lower())
+        .option("header", str(header and not drop_malformed).lower())
+        .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)

@@ -132,6 +132,14 @@ def test_drop_folder_takes_each_file_once(spark, tmp_path, rows):
     assert rows(spark.read.schema(SCHEMA).parquet(out)) == [("a", 1), ("b", 2), ("c", 3)]
 
 
+def test_drop_folder_skips_malformed_lines(spark, tmp_path, rows):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.tsv").write_text("Report\nname\tn\na\t1\nb\tx\nc\t3\textra\n")
+    ingest_folder(spark, str(src), SCHEMA, str(tmp_path / "out"), str(tmp_path / "state"), sep="\t", drop_malformed=True)
+    assert rows(spark.read.schema(SCHEMA).parquet(str(tmp_path / "out"))) == [("a", 1)]
+
+
 def test_intermediates_go_to_the_named_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     stored = materialize(spark.range(3).toDF("AD GRP"), "t")

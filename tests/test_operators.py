@@ -296,8 +296,8 @@ def test_replace_word_is_whole_word_and_case_blind(spark):
 LEVELS = [("P", "portfolio", ()), ("C D", "campaign", ("P",)), ("K", "keyword", ("P", "C D"))]
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 16])
-def test_labels_equal_nested_dense_ranks(spark, partitions):
+@pytest.mark.parametrize("partitions, max_rows", [(1, 0), (3, 0), (16, 0), (16, 10_000)])
+def test_labels_equal_nested_dense_ranks(spark, partitions, max_rows):
     rng = random.Random(partitions)
 
     def value(n):
@@ -305,7 +305,7 @@ def test_labels_equal_nested_dense_ranks(spark, partitions):
 
     data = [(i, value(4), value(6), value(30)) for i in range(500)]
     df = spark.createDataFrame(data, "id int, P string, `C D` string, K string")
-    got = {r.id: (r.P, r["C D"], r.K) for r in masking.pseudonymize(df, LEVELS, partitions).collect()}
+    got = {r.id: (r.P, r["C D"], r.K) for r in masking.pseudonymize(df, LEVELS, partitions, max_rows).collect()}
     order = lambda vs: sorted(set(vs), key=lambda v: (v is not None, v or ""))
     for i, p, c, k in data:
         p_rank = order(x[1] for x in data).index(p) + 1

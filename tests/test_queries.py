@@ -9,7 +9,8 @@ from conftest import SF_DIR
 import __spark_entry__ as contract
 from adloom import catalog, fixtures
 from adloom.functions.calendar import day_periods, month_periods
-from adloom.operators import dedupe, enrich, periods, strategy
+from adloom.operators import dedupe, enrich, masking, periods, strategy
+from adloom.plans import campaign
 from check import compare
 
 NAMES = sorted(contract.queries())
@@ -47,10 +48,18 @@ def plan_of(df) -> str:
 @pytest.mark.parametrize("name", ["q10_campaign_report", "q12_period_metrics", "q20_masked_union", "q43_asin_masked", "q47_keyword_report"])
 def test_plans_stay_in_the_jvm_and_distributed(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF_DIR))
-    for forbidden in ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
+    for forbidden in ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert forbidden not in plan, forbidden
 
 
+def test_no_unbounded_single_partition(spark, views):
+    report = views.campaign_report()
+    assert "SinglePartition" not in plan_of(report)
+    assert "SinglePartition" not in plan_of(views.keyword_report(pareto_keys=["portfolio_name"]))
+    big = masking.pseudonymize(report, campaign.LEVELS, max_rows=0)
+    assert "SinglePartition" not in plan_of(big)
+
+
 def test_ten_periods_take_one_shuffle(spark, views):
     every = day_periods(fixtures.AS_OF) + month_periods(fixtures.AS_OF)
     fact = views.ad_fact.selectExpr("account_name", "campaignId", "adGroupId as ad_group_id", "keywordId as keyword_id", "date", "impressions", "clicks", "ad_spend", "ads_sale", "ads_units")
