@@ -39,10 +39,8 @@ def period_sums(fact: DataFrame, periods: list[Period], keys: list[str]) -> Data
     return fact.filter(in_any(periods)).groupBy(*keys).agg(*sums)
 
 
-def add_period_ratios(
-    df: DataFrame, periods: list[Period], digits: int | None = 2
-) -> DataFrame:
-    """Missing sums become 0, sums are rounded to whole numbers, ratios follow from those."""
+def whole_sums(df: DataFrame, periods: list[Period]) -> DataFrame:
+    """Period sums rounded to whole numbers, missing ones 0."""
     sums = [f"{m}_{p.name}" for p in periods for m in MEASURES]
     whole = [
         f"cast(coalesce(round({c}, 0), 0) as "
@@ -50,14 +48,19 @@ def add_period_ratios(
         + f") as {c}"
         for c in sums
     ]
+    others = [f"`{c}`" for c in df.columns if c not in sums]
+    return df.selectExpr(*others, *whole)
+
+
+def add_period_ratios(df: DataFrame, periods: list[Period], digits: int | None = 2) -> DataFrame:
+    """Five ratios per period, from the whole-number sums."""
     made = []
     for p in periods:
         for name in PERIOD_RATIOS:
             num, den, factor = RATIOS[name]
             value = ratio_sql(f"{num}_{p.name}", f"{den}_{p.name}", factor, digits)
             made.append(f"{value} as {name}_{p.name}")
-    others = [f"`{c}`" for c in df.columns if c not in sums]
-    return df.selectExpr(*others, *whole).selectExpr("*", *made)
+    return df.selectExpr("*", *made)
 
 
 def metric_columns(periods: list[Period]) -> list[str]:
@@ -69,9 +72,8 @@ def period_metrics(
 ) -> DataFrame:
     """Ten metrics per period and key; a key appears if any period has a row for it."""
     keys = keys or KEYS
-    return add_period_ratios(period_sums(fact, periods, keys), periods, digits).select(
-        *keys, *metric_columns(periods)
-    )
+    sums = whole_sums(period_sums(fact, periods, keys), periods)
+    return add_period_ratios(sums, periods, digits).select(*keys, *metric_columns(periods))
 
 
 # Leading and closing columns of the keyword report.

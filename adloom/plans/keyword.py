@@ -24,7 +24,13 @@ from adloom.operators.enrich import (
 )
 from adloom.operators.joins import size_checked
 from adloom.operators.pareto import pareto
-from adloom.operators.periods import KEYS, add_period_ratios, keyword_report_columns, period_sums
+from adloom.operators.periods import (
+    KEYS,
+    add_period_ratios,
+    keyword_report_columns,
+    period_sums,
+    whole_sums,
+)
 from adloom.operators.rules import suggest_bids
 from adloom.schemas import MEASURES
 from adloom.session import materialize
@@ -59,9 +65,8 @@ def keyword_base(
     per_campaign: DataFrame,
     per_account: DataFrame,
     periods: list[Period],
-    digits: int | None = 2,
 ) -> DataFrame:
-    """Keyword rows with metrics, dimensions and target ACOS, before ranking.
+    """Keyword rows with period sums, dimensions and target ACOS, before ratios and ranking.
 
     Dimensions are joined after the aggregation: each has one row per key, so the
     result is the same and the joins see keywords instead of daily rows.
@@ -73,9 +78,8 @@ def keyword_base(
         campaign_targets(per_campaign),
         account_targets(per_account),
     )
-    rows = with_ads(keyword_sums(with_match_type(fact), periods), ads_by_campaign)
-    rows = keyword_metadata(with_bids(rows, latest), dim)
-    rows = add_period_ratios(rows, periods, digits)
+    sums = whole_sums(keyword_sums(with_match_type(fact), periods), periods)
+    rows = keyword_metadata(with_bids(with_ads(sums, ads_by_campaign), latest), dim)
     return join_targets(rows, campaign_target, account_target)
 
 
@@ -107,10 +111,9 @@ def keyword_report(
         per_campaign,
         per_account,
         periods,
-        digits,
     )
     ranked = pareto(materialize(base, "keywords"), partition=pareto_keys)
-    return ranked.select(*keyword_report_columns(periods))
+    return add_period_ratios(ranked, periods, digits).select(*keyword_report_columns(periods))
 
 
 def bid_sheet(

@@ -17,6 +17,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods over 8000 bytes. Above that, the wide period
+    # aggregate runs faster as several small generated methods than as a fused one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
