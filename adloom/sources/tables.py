@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,19 +105,19 @@ def read_csv(
 ) -> DataFrame:
     """Delimited files under a declared schema.
 
-    With ``drop_malformed`` the header is read as data: preamble lines, the header
-    itself, bad values and rows with extra fields fail the typed schema and drop
-    out, which needs at least one column that is not text. Every column is read,
-    because a pruned scan would not notice a bad value in a column it skips.
+    With ``drop_malformed`` the header is read as data: preamble lines, bad values
+    and rows with too few or too many fields fail the schema and drop out. So does
+    the header where a column is not text; where all are, the row that repeats the
+    column names is left out.
     """
     if not drop_malformed:
         return spark.read.schema(schema).csv(path, sep=sep, header=header, mode="PERMISSIVE")
-    if all(isinstance(f.dataType, T.StringType) for f in schema.fields):
-        raise ValueError("dropping malformed rows needs a column that is not text")
+    names = schema.fieldNames()
     df = spark.read.schema(schema).csv(path, sep=sep, header=False, mode="DROPMALFORMED")
+    if all(isinstance(f.dataType, T.StringType) for f in schema.fields):
+        return df.filter(~reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in names]))
     # Always true, but it names every column, so none is pruned from the parse.
-    every = F.xxhash64(*[f"`{c}`" for c in schema.fieldNames()])
-    return df.filter(every >= F.lit(-(2**63)))
+    return df.filter(F.xxhash64(*[f"`{c}`" for c in names]) >= F.lit(-(2**63)))
 
 
 def gather(

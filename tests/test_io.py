@@ -44,8 +44,10 @@ def test_malformed_rows_drop_out(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("a", 1), ("d", 4)]
     assert df.count() == 2
     assert [r.name for r in df.select("name").collect()] == ["a", "d"]
-    with pytest.raises(ValueError):
-        sources.read_csv(spark, str(path), struct({"a": STRING}), drop_malformed=True)
+    texts = struct({"name": STRING, "n": STRING})
+    df = sources.read_csv(spark, str(path), texts, sep="\t", drop_malformed=True)
+    assert [tuple(r) for r in df.collect()] == [("a", "1"), ("b", "x"), ("d", "4")]
+    assert df.count() == 3
 
 
 def test_gather_skips_missing_and_empty_files(spark, tmp_path, rows):
