@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adloom.operators.joins import size_checked
+from adloom.operators.joins import join_null_safe, size_checked
 
 
 def _q(names: list[str]) -> list[str]:
@@ -28,11 +28,16 @@ def dedupe(df: DataFrame, keys: list[str] | None = None, order: list | None = No
 def latest_per_key(
     df: DataFrame, keys: list[str], order_col: str, ties: bool = False
 ) -> DataFrame:
-    """Newest row per key; with ``ties`` every row that shares the newest value."""
+    """Newest row per key; with ``ties`` every row that shares the newest value.
+
+    Ties can be any number of rows, so they are not ranked in a window: the newest
+    value per key comes from a partial aggregate and is joined back.
+    """
     if not ties:
         return dedupe(df, keys, [F.col(order_col).desc()])
-    w = Window.partitionBy(*_q(keys)).orderBy(F.col(order_col).desc())
-    return df.withColumn("__rk", F.rank().over(w)).filter(F.col("__rk") == 1).drop("__rk")
+    newest = df.groupBy(*_q(keys)).agg(F.max(order_col).alias(order_col))
+    (newest,) = size_checked(newest)
+    return join_null_safe(df, newest, [*keys, order_col], "inner")
 
 
 def latest_bids(bids: DataFrame) -> DataFrame:

@@ -35,6 +35,8 @@ def test_latest_per_key_ties(spark, rows):
     df = spark.createDataFrame([("k", 1, 10), ("k", 2, 10), ("k", 3, 9)], "k string, bid int, t int")
     assert rows(dedupe.latest_per_key(df, ["k"], "t")) == [("k", 1, 10)]
     assert rows(dedupe.latest_per_key(df, ["k"], "t", ties=True)) == [("k", 1, 10), ("k", 2, 10)]
+    undated = spark.createDataFrame([("k", 1, None), (None, 2, None), (None, 3, 5)], "k string, bid int, t int")
+    assert rows(dedupe.latest_per_key(undated, ["k"], "t", ties=True)) == [("k", 1, None), (None, 3, 5)]
 
 
 def test_latest_snapshot_per_account(spark, rows):

@@ -91,7 +91,7 @@ def test_tenant_filter_reaches_the_scan(spark, tmp_path):
 def test_keyed_pick_is_limited_before_the_shuffle(spark, views):
     assert "WindowGroupLimit" in plan_of(enrich.ads_dim(views.ads))
     assert "WindowGroupLimit" in plan_of(dedupe.latest_bids(views.bid_values))
-    assert "WindowGroupLimit" in plan_of(dedupe.latest_per_key(views.bid_values, ["keyword_id"], "updated_date", ties=True))
+    assert "Window" not in plan_of(dedupe.latest_per_key(views.bid_values, ["keyword_id"], "updated_date", ties=True))
 
 
 def test_strategy_without_broadcasts_gives_the_same(spark, views):
