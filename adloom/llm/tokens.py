@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adloom.llm.words import batches
 
@@ -227,13 +228,11 @@ def prefix_token_counts(
             columns += [pa.array(x, pa.int64()) for x in (total, size, fit)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    extra = ["prefix_tokens array<int>"] * keep_prefixes + ["n_tokens long", "n_bytes long", "fit_chars long"]
     names = kept + added[not keep_prefixes :]
     base = df.select(*[f"`{c}`" for c in kept])
-    schema = base.schema
-    for field in extra:
-        name, kind = field.split(" ")
-        schema = schema.add(name, kind)
+    kinds = {"prefix_tokens": T.ArrayType(T.IntegerType())}
+    fields = [T.StructField(c, kinds.get(c, T.LongType())) for c in added[not keep_prefixes :]]
+    schema = T.StructType(list(base.schema.fields) + fields)
     return base.mapInArrow(run, schema)
 
 
