@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom.llm.jaccard import near_duplicates
 from adloom.llm.tokens import prefix_token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,8 +28,39 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 
 SQL: dict[str, str] = {}
+
+# A-Z only, as the operator lower-cases; words parted by the six ASCII blanks.
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op9_ngram_jaccard"] = f"""
+with recursive w as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents
+), s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as s from w
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), c as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.s = b.s and a.doc_id != b.doc_id group by 1, 2
+), l as (
+  select x, y from c join n a on a.doc_id = x join n b on b.doc_id = y where 100 * c >= 85 * (a.n + b.n - c)
+), r as (
+  select doc_id, doc_id as reached from documents
+  union
+  select r.doc_id, l.y from r join l on l.x = r.reached
+)
+select d.doc_id, coalesce(max(n.n), 0) as n_shingles, min(r.reached) as component_id
+from documents d join r on r.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
+group by d.doc_id
+"""

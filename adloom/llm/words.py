@@ -131,8 +131,8 @@ def shingles(hashes: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray
     """Hash of ``k`` words from each word on, and which of them lie within one text."""
     n = len(hashes)
     out = np.full(n, 0xD1B54A32D192ED03 + k, np.uint64)
-    for j in range(k):
-        out[: n - j] = mix(out[: n - j] * np.uint64(_BASE) + hashes[j:]) if j < n else out[:0]
+    for j in range(min(k, n)):
+        out[: n - j] = mix(out[: n - j] * np.uint64(_BASE) + hashes[j:])
     left = np.repeat(starts[1:], np.diff(starts)) - np.arange(n)
     return out, left >= k
 
