@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.jaccard import near_duplicates
+from adloom.llm.suffixes import remove_repeats
 from adloom.llm.tokens import prefix_token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 50-byte strings that an earlier one holds."""
+    out = remove_repeats(_table(spark, sf_dir, "documents"), length=50)
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
@@ -35,6 +48,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 
@@ -64,3 +78,31 @@ select d.doc_id, coalesce(max(n.n), 0) as n_shingles, min(r.reached) as componen
 from documents d join r on r.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
 group by d.doc_id
 """
+
+SQL["op6_suffix_dedup"] = """
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents
+), w as (
+  select doc_id, i, substr(h, 2 * i + 1, 100) as s from (select doc_id, h, unnest(range(0, n - 49)) as i from d where n >= 50)
+), f as (
+  select s, min(doc_id) as first from w group by s
+), hit as (
+  select distinct w.doc_id, w.i from w join f using (s) where f.first < w.doc_id
+), b as (
+  select doc_id, p, substr(h, 2 * p + 1, 2) as x from (select doc_id, h, unnest(range(0, n)) as p from d)
+), l as (
+  select b.doc_id, b.p, b.x, max(hit.i) over (partition by b.doc_id order by b.p) as last
+  from b left join hit on hit.doc_id = b.doc_id and hit.i = b.p
+), g as (
+  select doc_id, p, x, coalesce(p - last < 50, false) as gone from l
+), t as (
+  select *, lag(gone, 1, false) over (partition by doc_id order by p) as before from g
+), a as (
+  select doc_id, count(*) filter (where gone) as n_removed, count(*) filter (where gone and not before) as n_spans,
+    string_agg(x, '' order by p) filter (where not gone) as kept
+  from t group by doc_id
+)
+select d.doc_id, cast(d.n as bigint) as n_bytes, coalesce(a.n_removed, 0) as n_removed, coalesce(a.n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(a.kept, ''))) as kept_sha256
+from d left join a on a.doc_id = d.doc_id
+"""
