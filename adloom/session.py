@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
 
@@ -31,6 +32,20 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def reach_workers(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package where they see the driver's folder.
+
+    On a cluster the package is installed or sent with ``--py-files``; there the
+    added entry of the search path is just not found.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
