@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.jaccard import near_duplicates
+from adloom.llm.linecrf import fit_lines, judge_lines
 from adloom.llm.suffixes import remove_repeats
 from adloom.llm.tokens import prefix_token_counts
+from adloom.session import reach_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return reach_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,10 +48,20 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of every document and the verdict of rules and line model."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_lines(docs, _table(spark, sf_dir, "labels"))
+    judged = judge_lines(docs, model)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("doc_id", *names, "content_words", F.size("boilerplate_lines").alias("n_boilerplate_lines"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {}

@@ -138,12 +138,12 @@ def shingles(hashes: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray
 
 
 def batches(found: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most ``rows`` rows and about four pieces of bytes."""
+    """The batches in slices of at most ``rows`` rows and about two pieces of bytes."""
     for batch in found:
         done = 0
         while done < batch.num_rows:
             part = batch.slice(done, rows)
-            while part.num_rows > 1 and part.nbytes > 4 * PIECE:
+            while part.num_rows > 1 and part.nbytes > 2 * PIECE:
                 part = part.slice(0, part.num_rows // 2)
             yield part
             done += part.num_rows
