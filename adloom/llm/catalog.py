@@ -12,6 +12,7 @@ from adloom.llm.jaccard import near_duplicates
 from adloom.llm.linecrf import fit_lines, judge_lines
 from adloom.llm.suffixes import remove_repeats
 from adloom.llm.tokens import prefix_token_counts
+from adloom.llm.urls import judge_urls
 from adloom.session import reach_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules of the registered URL query.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page."""
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without 50-byte strings that an earlier one holds."""
     out = remove_repeats(_table(spark, sf_dir, "documents"), length=50)
@@ -59,6 +70,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
+    "op5_url_filter": op5_url_filter,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality_rules": op10_quality_rules,
@@ -118,3 +130,21 @@ select d.doc_id, cast(d.n as bigint) as n_bytes, coalesce(a.n_removed, 0) as n_r
   sha256(unhex(coalesce(a.kept, ''))) as kept_sha256
 from d left join a on a.doc_id = d.doc_id
 """
+
+SQL["op5_url_filter"] = f"""
+with u as (
+  select page_id, case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) else '' end as rest
+  from pages
+), p as (
+  select page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path
+  from u
+), r (rule, host, start, verdict) as (
+  values {", ".join(f"('{r}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{v}')" for r, v in URL_RULES)}
+), m as (
+  select p.page_id, p.host, p.path, r.rule, r.verdict,
+    row_number() over (partition by p.page_id order by length(r.rule) desc nulls last) as n
+  from p left join r on (p.host = r.host or suffix(p.host, '.' || r.host)) and starts_with(p.path, r.start)
+)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from m where n = 1
+"""
