@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from adloom.llm.jaccard import near_duplicates
 from adloom.llm.linecrf import fit_lines, judge_lines
+from adloom.llm.pieces import encode_nbest
 from adloom.llm.suffixes import remove_repeats
 from adloom.llm.tokens import prefix_token_counts
 from adloom.llm.urls import judge_urls
@@ -32,6 +33,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two best segmentations of every whole document, and whether the best decodes to it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"), n=2, keep_ids=False)
+    best = [F.get("scores", F.lit(i)).alias(name) for i, name in enumerate(("best_score", "second_score"))]
+    return found.select("doc_id", "n_pieces", *best, "ids_sha256", "round_trip")
+
+
 #: The rules of the registered URL query.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -70,6 +79,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_url_filter": op5_url_filter,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op9_ngram_jaccard": op9_ngram_jaccard,
