@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom.llm.decontaminate import find_contaminated
 from adloom.llm.jaccard import near_duplicates
 from adloom.llm.linecrf import fit_lines, judge_lines
 from adloom.llm.pieces import encode_nbest
 from adloom.llm.suffixes import remove_repeats
+from adloom.llm.templates import DEPTH, MIN_SAME, drop_templates
 from adloom.llm.tokens import prefix_token_counts
 from adloom.llm.urls import judge_urls
 from adloom.session import reach_workers
@@ -23,6 +25,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reach_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Documents from which on a line template of the registered query recurs.
+TEMPLATE_DOCS = 5
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many go with a recurring template, and the hash of the rest."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = drop_templates(docs, min_docs=TEMPLATE_DOCS)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document, and how much of it fits into 1,024 of them."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,6 +76,11 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item with at least 80 percent of the item's 5-word shingles in it."""
+    return find_contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
@@ -78,10 +96,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_url_filter": op5_url_filter,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -158,3 +178,66 @@ with u as (
 )
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from m where n = 1
 """
+
+SQL["op8_benchmark_decontamination"] = """
+with b as (
+  select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as w from benchmark
+), bs as (
+  select distinct item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s
+  from b where len(w) >= 5
+), d as (
+  select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as w from documents
+), ds as (
+  select distinct doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s
+  from d where len(w) >= 5
+), n as (
+  select item_id, count(*) as n_item from bs group by item_id
+)
+select ds.doc_id, bs.item_id, count(*) as n_shared, max(n.n_item) as n_item
+from ds join bs on ds.s = bs.s join n on n.item_id = bs.item_id
+group by 1, 2 having 100 * count(*) >= 80 * max(n.n_item)
+"""
+
+SQL["op2_line_dedup"] = f"""
+with l as (
+  select doc_id, i, x[i] as line, len(x) as n_lines
+  from (select doc_id, x, unnest(range(1, len(x) + 1)) as i from (select doc_id, string_split(text, chr(10)) as x from documents))
+), m as (
+  select *, regexp_replace(trim(regexp_replace(line, '[ \\t\\x0B\\f\\r]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') as t from l
+), k as (
+  select *, len(string_split(t, ' ')) as n, array_to_string(string_split(t, ' ')[1:{DEPTH}], ' ') as lead from m where t != ''
+), e as (
+  select t, min(doc_id) as first from k group by t having count(distinct doc_id) >= {TEMPLATE_DOCS}
+), r as (
+  select * from k where n > {DEPTH} and t not in (select t from e)
+), f as (
+  select n, lead from r group by n, lead having count(distinct doc_id) >= {TEMPLATE_DOCS}
+), u as (
+  select distinct r.n, r.lead, r.t from r join f on r.n = f.n and r.lead = f.lead
+), p as (
+  select n, lead, t, x[at] as token, at
+  from (select n, lead, t, string_split(t, ' ') as x, unnest(range(1, n + 1)) as at from u)
+), z as (
+  select n, lead, count(*) as lines from u group by n, lead
+), c as (
+  select p.n, p.lead, p.at, p.token from p join z on p.n = z.n and p.lead = z.lead
+  group by p.n, p.lead, p.at, p.token, z.lines having 2 * count(*) > z.lines
+), s as (
+  select p.n, p.lead, p.t from p join c on p.n = c.n and p.lead = c.lead and p.at = c.at and p.token = c.token
+  group by p.n, p.lead, p.t having 100 * count(*) >= {MIN_SAME} * p.n
+), g as (
+  select r.n, r.lead, min(r.doc_id) as first from r join s on r.t = s.t
+  group by r.n, r.lead having count(distinct r.doc_id) >= {TEMPLATE_DOCS}
+), gone as (
+  select k.doc_id, k.i from k join e on k.t = e.t where k.doc_id != e.first
+  union all
+  select k.doc_id, k.i from k join s on k.t = s.t join g on g.n = s.n and g.lead = s.lead where k.doc_id != g.first
+), kept as (
+  select l.doc_id, count(gone.i) as n_dropped, max(l.n_lines) as n_lines,
+    string_agg(l.line, chr(10) order by l.i) filter (where gone.i is null) as text
+  from l left join gone on gone.doc_id = l.doc_id and gone.i = l.i group by l.doc_id
+)
+select d.doc_id, coalesce(k.n_lines, 0) as n_lines, coalesce(k.n_dropped, 0) as n_dropped,
+  case when d.text is not null then sha256(coalesce(k.text, '')) end as kept_sha256
+from documents d left join kept k on k.doc_id = d.doc_id
+"""
