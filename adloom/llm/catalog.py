@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from adloom.llm.decontaminate import find_contaminated
 from adloom.llm.jaccard import near_duplicates
+from adloom.llm.licenses import NOTICES, scan_licenses
 from adloom.llm.linecrf import fit_lines, judge_lines
 from adloom.llm.pieces import encode_nbest
 from adloom.llm.suffixes import remove_repeats
@@ -25,6 +26,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reach_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a customary license notice, and where it stands."""
+    templates = spark.createDataFrame(NOTICES, "license string, text string")
+    return scan_licenses(_table(spark, sf_dir, "documents"), templates)
+
+
 #: Documents from which on a line template of the registered query recurs.
 TEMPLATE_DOCS = 5
 
@@ -96,6 +103,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
@@ -215,15 +223,15 @@ with l as (
 ), u as (
   select distinct r.n, r.lead, r.t from r join f on r.n = f.n and r.lead = f.lead
 ), p as (
-  select n, lead, t, x[at] as token, at
-  from (select n, lead, t, string_split(t, ' ') as x, unnest(range(1, n + 1)) as at from u)
+  select n, lead, t, x[q] as token, q
+  from (select n, lead, t, string_split(t, ' ') as x, unnest(range(1, n + 1)) as q from u)
 ), z as (
   select n, lead, count(*) as lines from u group by n, lead
 ), c as (
-  select p.n, p.lead, p.at, p.token from p join z on p.n = z.n and p.lead = z.lead
-  group by p.n, p.lead, p.at, p.token, z.lines having 2 * count(*) > z.lines
+  select p.n, p.lead, p.q, p.token from p join z on p.n = z.n and p.lead = z.lead
+  group by p.n, p.lead, p.q, p.token, z.lines having 2 * count(*) > z.lines
 ), s as (
-  select p.n, p.lead, p.t from p join c on p.n = c.n and p.lead = c.lead and p.at = c.at and p.token = c.token
+  select p.n, p.lead, p.t from p join c on p.n = c.n and p.lead = c.lead and p.q = c.q and p.token = c.token
   group by p.n, p.lead, p.t having 100 * count(*) >= {MIN_SAME} * p.n
 ), g as (
   select r.n, r.lead, min(r.doc_id) as first from r join s on r.t = s.t
