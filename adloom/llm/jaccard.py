@@ -3,7 +3,7 @@
 Two sets of Jaccard similarity ``t`` or more share a token among the first
 ``n - ceil(t n) + 1`` of each, whatever global order the tokens are put in. The
 join therefore takes two orders, keeps the pairs that share a prefix token under
-both, and only then compares whole sets. Each order puts tokens that many
+both, and as many of them as their sizes ask for, and only then compares whole sets. Each order puts tokens that many
 documents hold last, by classes of their count, and is otherwise random, so the
 lists of documents per prefix token stay short.
 
@@ -30,14 +30,14 @@ from adloom.operators.joins import stored
 from adloom.session import materialize
 
 #: Longest list that is expanded into its pairs at once.
-SMALL_LIST = 8
+SMALL_LIST = 2
 #: Nodes of a list that meet those of another block in one step.
 BLOCK = 4096
 #: A token repeated so often within ``COUNT_BLOCK`` shingles of a task is counted
 #: over the corpus; from ``COMMON`` on it goes to the end of the orders, the most
 #: frequent last. These steer the order only, never the result.
 LOCAL_REPEATS = 8
-COUNT_BLOCK = 4_000_000
+COUNT_BLOCK = 2_000_000
 COMMON = 64
 COMMON_KEPT = 1 << 17
 _SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
@@ -139,7 +139,7 @@ class _Common:
 
 
 def _prefixes(df: DataFrame, k: int, num: int, den: int, common: Broadcast, buckets: int) -> DataFrame:
-    """Prefix entries ``(key, node, size, place, order)``, packed per batch and key bucket.
+    """Prefix entries ``(key, node, size and order)``, packed per batch and key bucket.
 
     A key names a token under one order. Entries are eight-byte columns laid one after
     the other; keys of the same bucket meet in one group of the next step.
@@ -163,19 +163,17 @@ def _prefixes(df: DataFrame, k: int, num: int, den: int, common: Broadcast, buck
                         first = np.lexsort((rank, classes))[:size]
                     elif size < n:
                         first = np.argpartition(rank, size - 1)[:size]
-                        first = first[np.argsort(rank[first])]
                     else:
-                        first = np.argsort(rank)
+                        first = np.arange(n)
                     parts.append((rank[first], node, n, order))
             if not parts:
                 continue
             sizes = [len(p[0]) for p in parts]
             key = np.concatenate([p[0] for p in parts])
             node = np.repeat(np.array([p[1] for p in parts], np.int64), sizes)
-            place = np.arange(len(key)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             about = np.repeat(np.array([p[2] * 2 + p[3] for p in parts], np.int64), sizes)
             order = np.argsort(key)
-            packed = np.stack([key.view(np.int64), node, about << 24 | np.minimum(place, (1 << 24) - 1)])[:, order]
+            packed = np.stack([key.view(np.int64), node, about])[:, order]
             bucket = (key[order] >> shift).astype(np.int64)
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             ends = [0, *cuts.tolist(), len(bucket)]
@@ -188,41 +186,40 @@ def _prefixes(df: DataFrame, k: int, num: int, den: int, common: Broadcast, buck
     return df.mapInArrow(run, "bucket long, entries binary")
 
 
-def _close(n1: np.ndarray, p1: np.ndarray, n2: np.ndarray, p2: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Whether sets that first meet at places ``p1`` and ``p2`` can be similar, by size and by what follows."""
-    small, large = np.minimum(n1, n2), np.maximum(n1, n2)
-    need = -(-num * (n1 + n2) // (den + num))
-    return (num * large <= den * small) & (np.minimum(n1 - p1, n2 - p2) >= need)
+def _close(n1: np.ndarray, n2: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar."""
+    return num * np.maximum(n1, n2) <= den * np.minimum(n1, n2)
 
 
-def _pair_table(x, y, flag, star) -> tuple:
-    """Distinct pairs with the smaller node first, their orders and how often they meet."""
-    lo, hi = np.minimum(x, y), np.maximum(x, y)
-    order = np.lexsort((hi, lo))
-    lo, hi, flag, star = lo[order], hi[order], flag[order], star[order]
-    if not len(lo):
-        return lo, hi, flag, flag, star
-    new = np.concatenate(([True], (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
-    at = np.flatnonzero(new)
-    return (
-        lo[at],
-        hi[at],
-        np.bitwise_or.reduceat(flag, at),
-        np.diff(np.append(at, len(lo))),
-        np.minimum.reduceat(star, at),
-    )
+def _need(n1: np.ndarray, n2: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Prefix tokens that similar sets share under each order: what lies beyond the prefixes can't make up for less."""
+    overlap = -(-num * (n1 + n2) // (den + num))
+    return overlap - np.maximum(-(-num * n1 // den), -(-num * n2 // den)) + 1
+
 
+_FOUND = "kind int, x long, y long, first long, second long, need long, anchor long"
 
-_FOUND = "kind int, x long, y long, n long, flag long"
 
+def _found(kind: int, *columns) -> pa.Table:
+    columns = [np.full(len(columns[0]), kind, np.int32), *(np.asarray(c, np.int64) for c in columns)]
+    return pa.table(dict(zip([c.split()[0] for c in _FOUND.split(", ")], columns, strict=True)))
 
-def _found(kind: int, x, y, n, flag) -> pa.Table:
-    columns = [np.full(len(x), kind, np.int32), *(np.asarray(c, np.int64) for c in (x, y, n, flag))]
-    return pa.table(dict(zip(["kind", "x", "y", "n", "flag"], columns, strict=True)))
+
+def _pair_table(x, y, second, need, anchor) -> pa.Table:
+    """Distinct pairs, the smaller node first, with the tokens shared under each order."""
+    lo, hi = np.minimum(x, y), np.maximum(x, y)
+    order = np.lexsort((hi, lo))
+    lo, hi, second, need, anchor = (c[order] for c in (lo, hi, second, need, anchor))
+    if not len(lo):
+        return _found(0, lo, hi, second, second, need, anchor)
+    at = np.flatnonzero(np.concatenate(([True], (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))))
+    seconds = np.add.reduceat(second, at)
+    met = np.diff(np.append(at, len(lo)))
+    return _found(0, lo[at], hi[at], met - seconds, seconds, need[at], np.minimum.reduceat(anchor, at))
 
 
 def _lists(num: int, den: int):
-    """Pairs of short lists and anchors of long ones (``kind`` 0); entries of long lists (``kind`` 1)."""
+    """Pairs of short lists and of long ones with their anchor (``kind`` 0); entries of long lists (``kind`` 1)."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = [np.frombuffer(b, np.int64).reshape(3, -1) for b in table.column("entries").to_pylist()]
@@ -234,23 +231,22 @@ def _lists(num: int, den: int):
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         length = np.diff(np.append(first, len(key)))
         start, long = np.repeat(first, length), np.repeat(length, length)
-        shared = long > 1
-        size, place, flag = about >> 25, about & ((1 << 24) - 1), 1 << ((about >> 24) & 1)
+        size, second = about >> 1, about & 1
         pairs = []
         for step in range(1, SMALL_LIST):
-            a = np.flatnonzero(shared[:-step] & (long[:-step] <= SMALL_LIST) & (key[:-step] == key[step:]))
+            a = np.flatnonzero((long[:-step] <= SMALL_LIST) & (key[:-step] == key[step:]))
             pairs.append((a, a + step, np.zeros(len(a), np.int64)))
         far = np.flatnonzero((long > SMALL_LIST) & (start != np.arange(len(key))))
         pairs.append((start[far], far, np.ones(len(far), np.int64)))
-        a, b, star = (np.concatenate(c) for c in zip(*pairs, strict=True))
-        fits = _close(size[a], place[a], size[b], place[b], num, den)
-        a, b, star = a[fits], b[fits], star[fits]
-        x, y, flags, n, star = _pair_table(node[a], node[b], flag[a], star)
+        a, b, anchor = (np.concatenate(c) for c in zip(*pairs, strict=True))
+        fits = _close(size[a], size[b], num, den)
+        a, b, anchor = a[fits], b[fits], anchor[fits]
         keep = np.flatnonzero(long > SMALL_LIST)
+        none = np.zeros(len(keep), np.int64)
         return pa.concat_tables(
             [
-                _found(0, x, y, n, flags * 2 + star),
-                _found(1, key[keep], node[keep], about[keep], long[keep]),
+                _pair_table(node[a], node[b], second[a], _need(size[a], size[b], num, den), anchor),
+                _found(1, key[keep], node[keep], about[keep], long[keep], none, none),
             ]
         )
 
@@ -270,28 +266,23 @@ def _crossing(num: int, den: int):
         for c in ("key", "lo", "hi"):
             new[1:] |= col[c][1:] != col[c][:-1]
         at = [*np.flatnonzero(new).tolist(), len(order)]
-        size, place = col["about"] >> 25, col["about"] & ((1 << 24) - 1)
-        flag = 1 << ((col["about"] >> 24) & 1)
-        xs, ys, flags = [], [], []
+        node, root, size, second = col["node"], col["root"], col["about"] >> 1, col["about"] & 1
+        found: list[tuple] = []
         for a, b in zip(at[:-1], at[1:], strict=True):
-            if (col["root"][a:b] == col["root"][a]).all():
+            if (root[a:b] == root[a]).all():
                 continue
-            own = slice(a, b)
             left = right = np.arange(a, b)
             if col["lo"][a] != col["hi"][a]:
-                left = left[col["block"][own] == col["lo"][a]]
-                right = right[col["block"][own] == col["hi"][a]]
+                left = left[col["block"][a:b] == col["lo"][a]]
+                right = right[col["block"][a:b] == col["hi"][a]]
             for i in left.tolist():
                 j = right[right > i] if col["lo"][a] == col["hi"][a] else right
-                j = j[(col["root"][j] != col["root"][i])]
-                j = j[_close(size[i], place[i], size[j], place[j], num, den)]
-                xs.append(np.full(len(j), col["node"][i]))
-                ys.append(col["node"][j])
-                flags.append(flag[j])
+                j = j[root[j] != root[i]]
+                j = j[_close(size[i], size[j], num, den)]
+                found.append((np.full(len(j), i), j))
         none = np.zeros(0, np.int64)
-        x, y, f = (np.concatenate(c) if c else none for c in (xs, ys, flags))
-        x, y, f, n, _ = _pair_table(x, y, f, np.zeros(len(x), np.int64))
-        return _found(0, x, y, n, f * 2)
+        i, j = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (none, none)
+        return _pair_table(node[i], node[j], second[j], _need(size[i], size[j], num, den), np.zeros(len(i), np.int64))
 
     return run
 
@@ -358,27 +349,24 @@ def near_duplicates(
     entries = _prefixes(docs, k, num, den, common, buckets)
     lists = materialize(entries.groupBy("bucket").applyInArrow(_lists(num, den), _FOUND), "join-lists")
 
-    # Candidates under both orders; of a node's anchors in long lists, the one met most often.
-    met = lists.filter("kind = 0").groupBy("x", "y")
-    met = materialize(
-        met.agg(
-            F.bit_or(F.shiftright("flag", 1)).alias("orders"),
-            F.sum("n").alias("n"),
-            F.min(F.col("flag") % 2).alias("anchor"),
-        ),
-        "join-met",
-    )
-    both = met.filter("orders = 3")
-    best = both.filter("anchor = 1").groupBy("y").agg(F.max_by("x", F.struct("n", "x")).alias("x")).select("x", "y")
+    # First the pairs already seen to share enough under both orders; of a node's anchors in
+    # long lists, the one met most often.
+    sums = [F.sum("first").alias("first"), F.sum("second").alias("second"), F.max("need").alias("need")]
+    met = lists.filter("kind = 0").groupBy("x", "y", "anchor").agg(*sums)
+    met = materialize(met, "join-met")
+    both = met.groupBy("x", "y").agg(*sums, F.min("anchor").alias("anchor"))
+    both = both.filter("first >= greatest(need, 1) and second >= greatest(need, 1)")
+    n = F.col("first") + F.col("second")
+    best = both.filter("anchor = 1").groupBy("y").agg(F.max_by("x", F.struct(n, "x")).alias("x")).select("x", "y")
     first = both.filter("anchor = 0").select("x", "y").union(best).distinct()
     tried = _linked(docs, first, nodes, k, num, den, "join-1")
     links = tried.filter("linked").select("x", "y")
     roots = materialize(connected_components(links, "join-roots"), "join-roots")
 
-    # What is left: pairs of long lists whose ends are not connected yet.
+    # What is left: pairs whose ends are not connected yet, now with all shared tokens counted.
     root = F.coalesce("root", "node").alias("root")
     held = lists.filter("kind = 1").select(
-        F.col("x").alias("key"), F.col("y").alias("node"), F.col("n").alias("about"), F.col("flag").alias("long")
+        F.col("x").alias("key"), F.col("y").alias("node"), F.col("first").alias("about"), F.col("second").alias("long")
     )
     held = held.join(roots, "node", "left").select("key", "node", "about", "long", root)
     parts = F.ceil(F.col("long") / BLOCK).cast("int")
@@ -388,9 +376,11 @@ def near_duplicates(
     held = held.withColumn("bucket", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(buckets)))
     held = held.select("bucket", "key", "lo", "hi", "block", "node", "about", "root")
     late = held.groupBy("bucket").applyInArrow(_crossing(num, den), _FOUND)
-    late = late.select("x", "y", F.shiftright("flag", 1).alias("orders"))
-    late = late.union(met.select("x", "y", "orders")).groupBy("x", "y").agg(F.bit_or("orders").alias("orders"))
-    late = late.filter("orders = 3").join(tried, ["x", "y"], "left_anti")
+    late = late.select("x", "y", "first", "second", "need")
+    late = late.union(met.filter("anchor = 0").select("x", "y", "first", "second", "need"))
+    late = late.groupBy("x", "y").agg(*sums)
+    late = late.filter("first >= greatest(need, 1) and second >= greatest(need, 1)")
+    late = late.join(tried, ["x", "y"], "left_anti")
     ends = roots.withColumnRenamed("node", "x").withColumnRenamed("root", "rx")
     late = late.join(ends, "x", "left")
     late = late.join(ends.withColumnsRenamed({"x": "y", "rx": "ry"}), "y", "left")
