@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom.llm.chains import find_passages
 from adloom.llm.decontaminate import find_contaminated
 from adloom.llm.jaccard import near_duplicates
 from adloom.llm.licenses import NOTICES, scan_licenses
@@ -83,6 +84,20 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuzzy passages of 50 words or more that every document has from earlier ones."""
+    found = find_passages(_table(spark, sf_dir, "documents"), min_words=50)
+    passages = F.col("passages")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(passages).cast("long").alias("n_passages"),
+        passages["start"].alias("starts"),
+        passages["end"].alias("ends"),
+        F.array_sort(F.array_distinct(passages["source"])).alias("sources"),
+    )
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item with at least 80 percent of the item's 5-word shingles in it."""
     return find_contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -109,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_url_filter": op5_url_filter,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality_rules": op10_quality_rules,
