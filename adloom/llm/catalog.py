@@ -57,7 +57,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two best segmentations of every whole document, and whether the best decodes to it."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"), n=2, keep_ids=False)
+    found = encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"), n=2, keep="none")
     best = [F.get("scores", F.lit(i)).alias(name) for i, name in enumerate(("best_score", "second_score"))]
     return found.select("doc_id", "n_pieces", *best, "ids_sha256", "round_trip")
 

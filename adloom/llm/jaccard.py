@@ -9,9 +9,10 @@ lists of documents per prefix token stay short.
 
 Equal sets are one node of the join. No list is expanded into all its pairs
 where that can be spared: in a list of more than ``SMALL_LIST`` nodes a node is
-first compared with one anchor only; once those links are joined into
-components, just the pairs between different components are left, in blocks.
-The links so found connect the same documents as all links would.
+first compared with the best of a few anchors only. Once those links are joined into
+components, the candidates between different components are listed, in blocks;
+each node's nearest ones are compared, and of the others all that still lie between
+different components. The links so found connect the same documents as all links would.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adloom.llm.components import connected_components
@@ -31,6 +32,10 @@ from adloom.session import materialize
 
 #: Longest list that is expanded into its pairs at once.
 SMALL_LIST = 2
+#: Nodes of a longer list that all others are compared with at first, and candidates
+#: of a node that are compared before the rest. Both only save comparisons.
+ANCHORS = 3
+NEAREST = 4
 #: Nodes of a list that meet those of another block in one step.
 BLOCK = 4096
 #: A token repeated so often within ``COUNT_BLOCK`` shingles of a task is counted
@@ -236,8 +241,9 @@ def _lists(num: int, den: int):
         for step in range(1, SMALL_LIST):
             a = np.flatnonzero((long[:-step] <= SMALL_LIST) & (key[:-step] == key[step:]))
             pairs.append((a, a + step, np.zeros(len(a), np.int64)))
-        far = np.flatnonzero((long > SMALL_LIST) & (start != np.arange(len(key))))
-        pairs.append((start[far], far, np.ones(len(far), np.int64)))
+        for step in range(ANCHORS):
+            far = np.flatnonzero((long > SMALL_LIST) & (start + step < np.arange(len(key))))
+            pairs.append((start[far] + step, far, np.ones(len(far), np.int64)))
         a, b, anchor = (np.concatenate(c) for c in zip(*pairs, strict=True))
         fits = _close(size[a], size[b], num, den)
         a, b, anchor = a[fits], b[fits], anchor[fits]
@@ -246,7 +252,7 @@ def _lists(num: int, den: int):
         return pa.concat_tables(
             [
                 _pair_table(node[a], node[b], second[a], _need(size[a], size[b], num, den), anchor),
-                _found(1, key[keep], node[keep], about[keep], long[keep], none, none),
+                _found(1, key[keep], node[keep], about[keep], long[keep], node[start[keep]], none),
             ]
         )
 
@@ -322,6 +328,21 @@ def _linked(df: DataFrame, pairs: DataFrame, nodes: DataFrame, k: int, num: int,
     return materialize(joined.mapInArrow(compare, "x long, y long, linked boolean"), f"{name}-linked")
 
 
+def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose ends lie in different components."""
+    ends = roots.withColumnsRenamed({"node": "x", "root": "rx"})
+    pairs = pairs.join(ends, "x", "left")
+    pairs = pairs.join(ends.withColumnsRenamed({"x": "y", "rx": "ry"}), "y", "left")
+    return pairs.filter(F.coalesce("rx", "x") != F.coalesce("ry", "y")).drop("rx", "ry")
+
+
+def _joined(roots: DataFrame, tried: DataFrame) -> DataFrame:
+    """Components after the new links."""
+    stars = roots.filter("node != root").select(F.col("node").alias("x"), F.col("root").alias("y"))
+    more = stars.union(tried.filter("linked").select("x", "y"))
+    return materialize(connected_components(more, "join-roots"), "join-roots")
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, num: int = 80, den: int = 100
 ) -> DataFrame:
@@ -364,30 +385,39 @@ def near_duplicates(
     roots = materialize(connected_components(links, "join-roots"), "join-roots")
 
     # What is left: pairs whose ends are not connected yet, now with all shared tokens counted.
+    # Lists with the same first node, as those of a group of versions, meet in one bucket.
     root = F.coalesce("root", "node").alias("root")
     held = lists.filter("kind = 1").select(
-        F.col("x").alias("key"), F.col("y").alias("node"), F.col("first").alias("about"), F.col("second").alias("long")
+        F.col("x").alias("key"),
+        F.col("y").alias("node"),
+        F.col("first").alias("about"),
+        F.col("second").alias("long"),
+        F.col("need").alias("head"),
     )
-    held = held.join(roots, "node", "left").select("key", "node", "about", "long", root)
+    held = held.join(roots, "node", "left").select("key", "node", "about", "long", "head", root)
     parts = F.ceil(F.col("long") / BLOCK).cast("int")
     held = held.withColumn("block", F.pmod(F.xxhash64("node"), parts).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     held = held.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    held = held.withColumn("bucket", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(buckets)))
+    held = held.withColumn("bucket", F.pmod(F.xxhash64("head", "lo", "hi"), F.lit(buckets)))
     held = held.select("bucket", "key", "lo", "hi", "block", "node", "about", "root")
     late = held.groupBy("bucket").applyInArrow(_crossing(num, den), _FOUND)
     late = late.select("x", "y", "first", "second", "need")
     late = late.union(met.filter("anchor = 0").select("x", "y", "first", "second", "need"))
     late = late.groupBy("x", "y").agg(*sums)
     late = late.filter("first >= greatest(need, 1) and second >= greatest(need, 1)")
-    late = late.join(tried, ["x", "y"], "left_anti")
-    ends = roots.withColumnRenamed("node", "x").withColumnRenamed("root", "rx")
-    late = late.join(ends, "x", "left")
-    late = late.join(ends.withColumnsRenamed({"x": "y", "rx": "ry"}), "y", "left")
-    late = late.filter(F.coalesce("rx", "x") != F.coalesce("ry", "y"))
-    more = _linked(docs, late, nodes, k, num, den, "join-2").filter("linked").select("x", "y")
-    stars = roots.filter("node != root").select(F.col("node").alias("x"), F.col("root").alias("y"))
-    roots = connected_components(stars.union(more), "join-roots")
+    late = late.join(tried, ["x", "y"], "left_anti").select("x", "y", n.alias("n"))
+    late = materialize(_between(late, roots), "join-late")
+
+    ends = late.select(F.col("x").alias("node"), F.col("y").alias("other"), "n")
+    ends = ends.union(ends.select(F.col("other").alias("node"), F.col("node").alias("other"), "n"))
+    nearest = Window.partitionBy("node").orderBy(F.desc("n"), "other")
+    ends = ends.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= NEAREST)
+    near = ends.select(F.least("node", "other").alias("x"), F.greatest("node", "other").alias("y")).distinct()
+    tried = _linked(docs, near, nodes, k, num, den, "join-2")
+    roots = _joined(roots, tried)
+    rest = _between(late.join(tried, ["x", "y"], "left_anti"), roots)
+    roots = _joined(roots, _linked(docs, rest, nodes, k, num, den, "join-3"))
 
     firsts = nodes.groupBy("node").agg(F.min("doc_id").alias("first"))
     firsts = firsts.join(roots, "node", "left").select("node", "first", root)
