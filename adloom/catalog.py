@@ -47,7 +47,7 @@ RULE_COLUMNS = [
     "cpc_column_name",
     "bid_change",
 ]
-RULE_SCHEMA = schemas.struct({c: schemas.STRING for c in RULE_COLUMNS})
+RULE_SCHEMA = schemas.struct({c: schemas.STRING for c in RULE_COLUMNS} | {"rule_no": schemas.INT})
 # Rule table of FIXTURES.md; no account means every account.
 CPC_60 = "CPC_last_60_days"
 RULES = [
@@ -136,9 +136,9 @@ def q03_asin_extract(v: Views) -> DataFrame:
 
 
 def q04_brand_pattern(v: Views) -> DataFrame:
-    (patterns,) = joins.size_checked(strategy.account_patterns(v.competitors))
+    (brands,) = joins.size_checked(strategy.account_brands(v.competitors))
     return strategy.with_brand_flags(
-        v.fact().select("account_name", "keyword_id", "keyword"), patterns
+        v.fact().select("account_name", "keyword_id", "keyword"), brands
     )
 
 
@@ -209,8 +209,17 @@ def q16_pareto_portfolio(v: Views) -> DataFrame:
     return _ranked(v, ["portfolio_name"])
 
 
+def _rules(v: Views) -> DataFrame:
+    """The rule table as stored in two files, the later rules written first."""
+    path = scratch_path(v.spark, "rules")
+    numbered = v.spark.createDataFrame([(*rule, i) for i, rule in enumerate(RULES)], RULE_SCHEMA)
+    for later in (True, False):
+        numbered.filter((F.col("rule_no") > 2) == later).coalesce(1).write.mode("append").parquet(path)
+    return v.spark.read.schema(RULE_SCHEMA).parquet(path)
+
+
 def q17_bid_rules(v: Views) -> DataFrame:
-    rules = v.spark.createDataFrame(RULES, RULE_SCHEMA)
+    rules = _rules(v)
     sheet = keyword.bid_sheet(
         v.keyword_report(digits=None), rules, ratio_digits=None, bid_digits=None, shown_digits=None
     )

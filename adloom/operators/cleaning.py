@@ -79,8 +79,8 @@ def report_headers(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def truncate_measures(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Measures as whole numbers, cut towards zero."""
-    return df.withColumns({c: F.col(f"`{c}`").try_cast("int") for c in columns})
+    """Measures as whole numbers, cut towards zero; 64 bits, as sums of a big tenant need them."""
+    return df.withColumns({c: F.col(f"`{c}`").try_cast("bigint") for c in columns})
 
 
 def fill_nulls(df: DataFrame, spec: dict[str, object] | None = None) -> DataFrame:

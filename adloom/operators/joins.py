@@ -15,15 +15,22 @@ MAX_ROWS = 2_000_000
 MAX_BYTES = 64 * 1024 * 1024
 
 
+# Types whose values all take 16 bytes or less.
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
+
+
 def _payload(df: DataFrame) -> Column:
-    """Bytes of one row, text at its real length."""
-    sizes = [
-        F.coalesce(F.octet_length(df[f"`{f.name}`"]), F.lit(0)) + 16
-        if isinstance(f.dataType, T.StringType)
-        else F.lit(16)
-        for f in df.schema.fields
-    ]
-    return reduce(lambda a, b: a + b, sizes).cast("bigint")
+    """Bytes of one row: text and binary at their real length, nested values by their JSON text."""
+
+    def size(field: T.StructField) -> Column:
+        column = df[f"`{field.name}`"]
+        if isinstance(field.dataType, _FIXED):
+            return F.lit(16)
+        if not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            column = F.to_json(F.struct(column))
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+
+    return reduce(lambda a, b: a + b, [size(f) for f in df.schema.fields]).cast("bigint")
 
 
 def stored(

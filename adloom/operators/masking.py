@@ -9,15 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.functions.text import word_pattern
-from adloom.operators.joins import join_null_safe, stored
+from adloom.operators.joins import join_null_safe, size_checked
 from adloom.session import materialize
 
 # (column, label prefix, parent columns)
 Level = tuple[str, str, tuple[str, ...]]
 
-# Path tables up to this size are ranked by plain windows, bigger ones in ranges.
-SMALL_PATHS = 200_000
-
 
 def _q(names) -> list[str]:
     return [f"`{n}`" for n in names]
@@ -58,17 +55,6 @@ def _label(chain: list[Level], depth: int, rank: Column) -> Column:
     return F.when(known, F.concat(F.lit(chain[depth - 1][1]), rank.cast("string"))).alias(f"__label_{depth}")
 
 
-def _small_labels(paths: DataFrame, chain: list[Level]) -> DataFrame:
-    """Labels of a path table known to be small: plain dense ranks."""
-    names = [level[0] for level in chain]
-
-    def rank(depth: int) -> Column:
-        order = F.col(f"`{names[depth - 1]}`").asc_nulls_first()
-        return F.dense_rank().over(Window.partitionBy(*_q(names[: depth - 1])).orderBy(order))
-
-    return paths.select("*", *[_label(chain, d, rank(d)) for d in range(1, len(chain) + 1)])
-
-
 def _level_ranks(chunked: DataFrame, chain: list[Level], depth: int) -> DataFrame:
     """Label of each value path of length ``depth`` in a path table of any size.
 
@@ -89,46 +75,31 @@ def _level_ranks(chunked: DataFrame, chain: list[Level], depth: int) -> DataFram
     return ranked.select(*_q(path), _label(chain, depth, F.col("__before") + F.col("__pos")))
 
 
-def _big_labels(paths: DataFrame, chain: list[Level], partitions: int) -> DataFrame:
-    """Labels of a path table of any size.
+def label_map(df: DataFrame, chain: list[Level], partitions: int | None = None) -> DataFrame:
+    """Every distinct value path of the chain with the labels of all its levels.
 
-    The sorted paths are stored, so their ranges cannot shift between the passes
-    that number them.
+    A null value counts in the numbering but has no label, and neither have its
+    children. The sorted paths are stored, so their ranges cannot shift between the
+    passes that number them; the labels are stored too and broadcast if their
+    measured size allows it.
     """
     path = [level[0] for level in chain]
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in _q(path)]
-    ranges = paths.repartitionByRange(partitions, *order)
+    ranges = df.select(*_q(path)).distinct().repartitionByRange(partitions, *order)
     chunked = materialize(ranges.withColumn("__chunk", F.spark_partition_id()), "paths")
     out = chunked.drop("__chunk")
     for depth in range(1, len(chain) + 1):
         out = join_null_safe(out, _level_ranks(chunked, chain, depth), path[:depth], "inner")
-    return out
-
+    (labels,) = size_checked(out)
+    return labels
 
-def label_map(
-    df: DataFrame, chain: list[Level], partitions: int | None = None, max_rows: int = SMALL_PATHS
-) -> DataFrame:
-    """Every distinct value path of the chain with the labels of all its levels.
 
-    A null value counts in the numbering but has no label, and neither have its
-    children. The paths are stored and measured first: a small table is ranked by
-    plain windows and broadcast, a big one is ranked in ranges.
-    """
-    path = [level[0] for level in chain]
-    paths, small = stored(df.select(*_q(path)).distinct(), "paths", max_rows)
-    if small:
-        return F.broadcast(_small_labels(paths, chain))
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _big_labels(paths, chain, partitions)
-
-
-def pseudonymize(
-    df: DataFrame, levels: list[Level], partitions: int | None = None, max_rows: int = SMALL_PATHS
-) -> DataFrame:
+def pseudonymize(df: DataFrame, levels: list[Level], partitions: int | None = None) -> DataFrame:
     """Replace names by numbered labels; numbering restarts under each parent."""
     for chain in _chains(levels):
         path = [level[0] for level in chain]
-        joined = join_null_safe(df, label_map(df, chain, partitions, max_rows), path, "inner")
+        joined = join_null_safe(df, label_map(df, chain, partitions), path, "inner")
         renamed = {name: F.col(f"__label_{i}") for i, name in enumerate(path, 1)}
         df = joined.select(
             *[renamed[c].alias(c) if c in renamed else F.col(f"`{c}`") for c in df.columns]
@@ -161,8 +132,12 @@ class MaskSpec:
 
 
 def masked_copy(df: DataFrame, tenant: str, spec: MaskSpec, factor: int = 5) -> DataFrame:
-    """Rows of the tenant with its name replaced, names numbered and measures scaled."""
-    rows = df.filter(F.col(f"`{spec.tenant_column}`") == tenant)
+    """Rows of the tenant with its name replaced, names numbered and measures scaled.
+
+    The tenant's rows are stored once; numbering and labelling read that table, so
+    the report behind them runs once however many name columns are masked.
+    """
+    rows = materialize(df.filter(F.col(f"`{spec.tenant_column}`") == tenant), "tenant")
     masked = pseudonymize(replace_word(rows, tenant, spec.replacement), spec.levels)
     if spec.measures:
         masked = scale_measures(masked, spec.measures, factor, spec.cast)

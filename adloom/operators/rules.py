@@ -1,87 +1,152 @@
-"""Ordered bid rules compiled to one expression.
+"""Bid rules as an ordered table, applied by a size-checked join.
 
-The rule table is configuration: it is read to the driver once and becomes a
-``coalesce`` of ``when`` branches, so every row is priced in one narrow stage.
+A rule names its number, an account (none: every account), a comma-separated list of
+portfolios, ranges ``<i>_column_filter, <i>_start, <i>_end``, the column it prices from
+and what to do with that price. Rules are gathered per account, in order of their
+number, and joined to the rows of the account; each row takes the first rule that
+applies and gives a bid.
 """
 
 from __future__ import annotations
 
-import math
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adloom.operators.joins import size_checked
+
 RATIO = "Acos_ratio"
-MAX_RULES = 10_000
+NUMBER = "rule_no"
 
 
-def _blank(value: object) -> bool:
-    return value is None or str(value).strip() == ""
+def _filled(name: str) -> Column:
+    """Text of a rule column, null where it is blank."""
+    text = F.trim(F.col(f"`{name}`").cast("string"))
+    return F.when(text != "", text)
 
 
-def _ranges(rule: dict) -> list[tuple[object, object, object]]:
-    """(column, start, end) sets of a rule in number order."""
-    numbers = sorted({int(m[1]) for k in rule if (m := re.fullmatch(r"(\d+)_end", k))})
-    return [
-        (rule.get(f"{i}_column_filter"), rule.get(f"{i}_start"), rule.get(f"{i}_end"))
+def _ranges(rules_df: DataFrame) -> Column:
+    """Named ranges of a rule, in the order of their numbers."""
+    numbers = sorted({int(m[1]) for c in rules_df.columns if (m := re.fullmatch(r"(\d+)_end", c))})
+    parts = [
+        F.struct(
+            _filled(f"{i}_column_filter").alias("name"),
+            _filled(f"{i}_start").cast("double").alias("start"),
+            _filled(f"{i}_end").cast("double").alias("end"),
+        )
         for i in numbers
     ]
+    if not parts:
+        return F.array().cast("array<struct<name:string,start:double,end:double>>")
+    return F.filter(F.array(*parts), lambda r: r["name"].isNotNull())
+
+
+def ordered_rules(rules_df: DataFrame) -> DataFrame:
+    """(account_name, rules): the rules of each account in order; a null account stands for all.
+
+    The order is that of ``rule_no`` and so independent of how the table is stored; a
+    missing or repeated number is an error.
+    """
+    if NUMBER not in rules_df.columns:
+        raise ValueError(f"bid rules need a column {NUMBER!r} that orders them")
+    wrong = rules_df.groupBy(NUMBER).count().filter(F.col(NUMBER).isNull() | (F.col("count") > 1)).first()
+    if wrong is not None:
+        raise ValueError(f"bid rules with the number {wrong[NUMBER]}: {wrong['count']}")
+    names = F.transform(F.split(F.lower(F.coalesce(F.col("portfolio_name"), F.lit(""))), ","), lambda n: F.trim(n))
+    rule = F.struct(
+        F.col(NUMBER).cast("long").alias("number"),
+        F.filter(names, lambda n: n != "").alias("portfolios"),
+        _ranges(rules_df).alias("ranges"),
+        _filled("cpc_column_name").alias("price"),
+        F.lower(_filled("bid_change")).alias("change"),
+    )
+    tidy = rules_df.select(_filled("account_name").alias("account_name"), rule.alias("rule"))
+    return tidy.groupBy("account_name").agg(F.array_sort(F.collect_list("rule")).alias("rules"))
+
+
+def with_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """Add ``__rules``: the rules of the row's account and those for all, in order."""
+    (rules,) = size_checked(rules)
+    own = rules.filter("account_name is not null").withColumnRenamed("rules", "__own")
+    common = rules.filter("account_name is null").select(F.lit(1).alias("__one"), F.col("rules").alias("__all"))
+    rows = df.withColumn("__one", F.lit(1)).join(F.broadcast(common), "__one", "left").join(own, "account_name", "left")
+    none = F.array().cast(rules.schema["rules"].dataType)
+    both = F.array_sort(F.concat(F.coalesce("__own", none), F.coalesce("__all", none)))
+    return rows.select(*[f"`{c}`" for c in df.columns], both.alias("__rules"))
+
+
+def _named(rules: DataFrame, columns: list[str]) -> tuple[list[str], list[str]]:
+    """Columns of the report that any rule filters by, and that any prices from; at most the report's width."""
+    rule = rules.select(F.explode("rules").alias("r"))
+    filters = rule.select(F.explode("r.ranges.name").alias("c"), F.lit(0).alias("k"))
+    prices = rule.select(F.col("r.price").alias("c"), F.lit(1).alias("k"))
+    used = filters.union(prices).filter(F.col("c").isin(columns)).distinct().collect()
+    return tuple(sorted(r["c"] for r in used if r["k"] == k) for k in (0, 1))
+
+
+def _values(names: list[str], default: Column) -> Column:
+    """Map of column name to its number in the row; a name that isn't a column has none."""
+    if not names:
+        return F.create_map().cast("map<string,double>")
+    pairs = [x for n in names for x in (F.lit(n), F.coalesce(F.col(f"`{n}`").try_cast("double"), default))]
+    return F.create_map(*pairs)
+
+
+def _applies(rule: Column, portfolio: Column, values: Column) -> Column:
+    """Whether a rule applies to a row. Bounds are ``[start, end)``; unknown columns do not filter."""
+    listed = (F.size(rule["portfolios"]) == 0) | F.array_contains(rule["portfolios"], portfolio)
+
+    def inside(r: Column) -> Column:
+        value = F.try_element_at(values, r["name"])
+        over = F.coalesce(value >= r["start"], F.lit(True))
+        return over & F.coalesce(value < r["end"], F.lit(True))
+
+    return listed & F.forall(rule["ranges"], inside)
+
+
+def _bid(rule: Column, prices: Column, ratio: Column) -> Column:
+    """Bid a rule suggests; null if it can't be used."""
+    price = F.try_element_at(prices, rule["price"])
+    percent = F.nanvl(rule["change"].try_cast("double"), F.lit(None).cast("double"))
+    return (
+        F.when(rule["change"] == "no change", price)
+        .when(rule["change"] == "cpc/ratio", F.when(ratio > 0, price / ratio).otherwise(price))
+        .otherwise(price * (1 + percent / 100.0))
+    )
+
+
+def price_rows(df: DataFrame, rules_df: DataFrame) -> DataFrame:
+    """Add ``suggested_bid`` of the first rule, in order, that gives the row a non-null bid.
+
+    Columns that the row's rules filter by come back as the rules saw them: numbers,
+    null read as 0.
+    """
+    rules = ordered_rules(rules_df)
+    filters, prices = _named(rules, df.columns)
+    rows = with_rules(df, rules)
+    rows = rows.withColumns(
+        {
+            "__values": _values(filters, F.lit(0.0)),
+            "__prices": _values(prices, F.lit(None).cast("double")),
+            "__portfolio": F.lower(F.trim(F.coalesce(F.col("portfolio_name"), F.lit("")))),
+        }
+    )
+    ratio = F.col(RATIO)
+    fit = F.filter("__rules", lambda r: _applies(r, F.col("__portfolio"), F.col("__values")))
+    bids = F.filter(F.transform(fit, lambda r: _bid(r, F.col("__prices"), ratio)), lambda b: b.isNotNull())
+    rows = rows.withColumn("suggested_bid", F.get(bids, F.lit(0)))
+    rows = rows.withColumns({c: _as_seen(df, c) for c in filters})
+    return rows.drop("__rules", "__values", "__prices", "__portfolio")
 
 
-def _number(name: str) -> Column:
-    return F.coalesce(F.col(f"`{name}`").try_cast("double"), F.lit(0.0))
-
-
-def _condition(rule: dict, columns: list[str]) -> Column:
-    """Rows a rule applies to. Bounds are ``[start, end)``; unknown columns do not filter."""
-    mask = F.lit(True)
-    if not _blank(rule.get("account_name")):
-        mask = mask & F.col("account_name").eqNullSafe(F.lit(rule["account_name"]))
-    names = [p.strip().lower() for p in str(rule.get("portfolio_name") or "").split(",")]
-    names = [p for p in names if p]
-    if names:
-        portfolio = F.lower(F.trim(F.coalesce(F.col("portfolio_name"), F.lit(""))))
-        mask = mask & portfolio.isin(names)
-    for column, start, end in _ranges(rule):
-        if _blank(column) or column not in columns:
-            continue
-        if not _blank(start):
-            mask = mask & (_number(column) >= float(start))
-        if not _blank(end):
-            mask = mask & (_number(column) < float(end))
-    return mask
-
-
-def _bid(rule: dict, columns: list[str]) -> Column | None:
-    """Bid a rule suggests, or None if the rule cannot be used."""
-    cpc_name = rule.get("cpc_column_name")
-    if _blank(cpc_name) or cpc_name not in columns:
-        return None
-    cpc = F.col(f"`{cpc_name}`").cast("double")
-    action = str(rule.get("bid_change")).strip().lower()
-    if action == "no change":
-        return cpc
-    if action == "cpc/ratio":
-        return F.when(F.col(RATIO) > 0, cpc / F.col(RATIO)).otherwise(cpc)
-    try:
-        percent = float(action)
-    except ValueError:
-        return None
-    if math.isnan(percent):
-        return None
-    return cpc * (1 + percent / 100.0)
-
-
-def compile_rules(rules: list[dict], columns: list[str]) -> Column:
-    """Suggested bid: the first rule, in order, that gives the row a non-null bid."""
-    branches = []
-    for rule in rules:
-        bid = _bid(rule, columns)
-        if bid is not None:
-            branches.append(F.when(_condition(rule, columns), bid))
-    return F.coalesce(*branches) if branches else F.lit(None).cast("double")
+def _as_seen(df: DataFrame, name: str) -> Column:
+    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    number = column if isinstance(kind, T.NumericType) else column.try_cast("double")
+    zero = F.lit(0).cast(kind) if isinstance(kind, T.NumericType) else F.lit(0.0)
+    used = F.exists("__rules", lambda r: F.array_contains(r["ranges"]["name"], name))
+    return F.when(used, F.coalesce(number, zero)).otherwise(number)
 
 
 def acos_ratio(digits: int | None = 2) -> Column:
@@ -95,38 +160,6 @@ def acos_ratio(digits: int | None = 2) -> Column:
     return F.when(value == float("inf"), value).otherwise(F.bround(value, digits))
 
 
-def _filter_columns(rules: list[dict], columns: list[str]) -> dict[str, set]:
-    """Columns that filter, with the accounts whose rules use them (None = every account)."""
-    used: dict[str, set] = {}
-    for rule in rules:
-        account = None if _blank(rule.get("account_name")) else rule["account_name"]
-        for column, start, end in _ranges(rule):
-            if not _blank(column) and column in columns:
-                used.setdefault(column, set()).add(account)
-    return used
-
-
-def _coerced(df: DataFrame, name: str, accounts: set) -> Column:
-    """A filter column as the rules saw it: a number, null read as 0."""
-    column = F.col(f"`{name}`")
-    numeric = isinstance(df.schema[name].dataType, T.NumericType)
-    number = column if numeric else column.try_cast("double")
-    filled = F.coalesce(number, F.lit(0).cast(df.schema[name].dataType) if numeric else F.lit(0.0))
-    if None in accounts:
-        return filled
-    return F.when(F.col("account_name").isin(sorted(accounts)), filled).otherwise(number)
-
-
-def collect_rules(rules_df: DataFrame, account: str | None = None) -> list[dict]:
-    """Rules in table order. The table is configuration, so an oversized one is an error."""
-    if account is not None:
-        rules_df = rules_df.filter(F.col("account_name") == account)
-    rows = rules_df.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} bid rules: not a rule table")
-    return [r.asDict() for r in rows]
-
-
 def suggest_bids(
     df: DataFrame,
     rules_df: DataFrame,
@@ -141,12 +174,8 @@ def suggest_bids(
     """
     if account is not None:
         df = df.filter(F.col("account_name") == account)
-    rules = collect_rules(rules_df, account)
-    priced = df.withColumn(RATIO, acos_ratio(ratio_digits))
-    bid = compile_rules(rules, priced.columns)
-    priced = priced.withColumn("suggested_bid", bid)
-    used = _filter_columns(rules, priced.columns)
-    priced = priced.withColumns({c: _coerced(priced, c, accounts) for c, accounts in used.items()})
+        rules_df = rules_df.filter(F.col("account_name") == account)
+    priced = price_rows(df.withColumn(RATIO, acos_ratio(ratio_digits)), rules_df)
     if bid_digits is not None:
         priced = priced.withColumn("suggested_bid", F.bround("suggested_bid", bid_digits))
     if shown_digits is not None:

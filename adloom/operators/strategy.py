@@ -1,12 +1,11 @@
-"""Brand patterns and the BD / BA / GENERIC strategy of keywords and campaigns."""
+"""Brand names and the BD / BA / GENERIC strategy of keywords and campaigns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions.labels import NOT_APPLICABLE, extract_asin
-from adloom.functions.text import quote_regex
 from adloom.operators.joins import size_checked, spread_nulls
 
 
@@ -18,57 +17,61 @@ def own_asins(competitors: DataFrame) -> DataFrame:
     )
 
 
-def brand_patterns(
-    df: DataFrame, brand_col: str, aliases: dict[str, str] | None = None
-) -> DataFrame:
-    """(account_name, pattern): a case-insensitive regex of the account's brand names.
+def _folded(text: Column) -> Column:
+    """Text with A-Z as a-z, for matching whatever the case."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
-    Names are taken literally and sorted, so the text is reproducible. ``aliases``
-    shortens long brand names first. Duplicates go before names are collected: an
-    account contributes its distinct brand names only.
+
+def brand_names(df: DataFrame, brand_col: str, aliases: dict[str, str] | None = None) -> DataFrame:
+    """Distinct (account_name, name) of the account's brands, blank names left out.
+
+    ``aliases`` shortens long brand names first.
     """
     brand = F.col(brand_col)
     names = df.filter(brand.isNotNull() & (brand != "")).select("account_name", brand.alias("name"))
     for long, short in (aliases or {}).items():
         names = names.withColumn("name", F.replace("name", F.lit(long), F.lit(short)))
-    listed = F.array_join(F.array_sort(F.collect_set(quote_regex("name"))), "|")
-    return (
-        names.dropDuplicates()
-        .groupBy("account_name")
-        .agg(F.concat(F.lit("(?i)("), listed, F.lit(")")).alias("pattern"))
-    )
+    return names.dropDuplicates()
+
 
+def account_brands(competitors: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
+    """(account_name, name, own): own and rival brand names, one row per name."""
+    own = brand_names(competitors, "our_brand_name", aliases).withColumn("own", F.lit(True))
+    rival = brand_names(competitors, "competitor_brand_name").withColumn("own", F.lit(False))
+    return own.unionByName(rival)
 
-def account_patterns(
-    competitors: DataFrame, aliases: dict[str, str] | None = None
-) -> DataFrame:
-    """(account_name, own_pattern, competitor_pattern), one row per account with any brand."""
-    own = brand_patterns(competitors, "our_brand_name", aliases)
-    rival = brand_patterns(competitors, "competitor_brand_name")
-    return own.withColumnRenamed("pattern", "own_pattern").join(
-        rival.withColumnRenamed("pattern", "competitor_pattern"), "account_name", "outer"
+
+def brand_flags(words: DataFrame, brands: DataFrame) -> DataFrame:
+    """(account_name, keyword, bd_brand, ba_brand) of distinct keywords whose account has brands.
+
+    Names are matched literally, as parts of the keyword. A flag is null where the
+    account has no brand of that kind or the keyword is null. Matches are folded
+    into two flags before the shuffle, so an account with many keywords or many
+    names is never gathered.
+    """
+    hit = F.contains(_folded(F.col("keyword")), _folded(F.col("name")))
+    pairs = words.select("account_name", "keyword").distinct().join(brands, "account_name")
+    return pairs.groupBy("account_name", "keyword").agg(
+        F.bool_or(F.when(F.col("own"), hit)).alias("bd_brand"),
+        F.bool_or(F.when(~F.col("own"), hit)).alias("ba_brand"),
     )
 
 
-def with_brand_flags(fact: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Add ``bd_brand`` and ``ba_brand``; null where the account has no pattern."""
-    return fact.join(patterns, "account_name", "left").withColumns(
-        {
-            "bd_brand": F.expr("keyword rlike own_pattern"),
-            "ba_brand": F.expr("keyword rlike competitor_pattern"),
-        }
-    ).drop("own_pattern", "competitor_pattern")
+def with_brand_flags(fact: DataFrame, brands: DataFrame) -> DataFrame:
+    """Add ``bd_brand`` and ``ba_brand``, matched once per distinct keyword of an account."""
+    flagged = fact.join(brand_flags(fact, brands), ["account_name", "keyword"], "left")
+    return flagged.select(*[f"`{c}`" for c in fact.columns], "bd_brand", "ba_brand")
 
 
-def classify_strategy(fact: DataFrame, asins: DataFrame, patterns: DataFrame) -> DataFrame:
+def classify_strategy(fact: DataFrame, asins: DataFrame, brands: DataFrame) -> DataFrame:
     """Add ``strategy``: BD for own products and brands, BA for others', else GENERIC.
 
-    A missing pattern leaves its flag null, which never decides a case by itself.
+    A missing brand leaves its flag null, which never decides a case by itself.
     """
     own = asins.select(
         F.col("account_name").alias("__acc"), F.col("our_asins").alias("__asin")
     )
-    keyed = with_brand_flags(fact, patterns).withColumn("__found", extract_asin("keyword"))
+    keyed = with_brand_flags(fact, brands).withColumn("__found", extract_asin("keyword"))
     # Most keywords name no product; their null key must not pile up in one task.
     key = spread_nulls(F.col("__found"), F.col("keyword"), F.col("search_term"), F.col("date"))
     joined = keyed.withColumn("__key", key).join(
@@ -83,23 +86,15 @@ def classify_strategy(fact: DataFrame, asins: DataFrame, patterns: DataFrame) ->
 
 
 def strategy_from(fact: DataFrame, competitors: DataFrame, aliases=None) -> DataFrame:
-    asins, patterns = size_checked(own_asins(competitors), account_patterns(competitors, aliases))
-    return classify_strategy(fact, asins, patterns)
+    asins, brands = size_checked(own_asins(competitors), account_brands(competitors, aliases))
+    return classify_strategy(fact, asins, brands)
 
 
 def campaign_strategy(fact: DataFrame) -> DataFrame:
-    """(campaign_id, strategy_camp): GENERIC if any row is, BA or BD if all rows are."""
-    counts = fact.groupBy(F.col("campaignId").alias("campaign_id")).agg(
-        F.count_if(F.col("strategy") == "GENERIC").alias("generic"),
-        F.count_if(F.col("strategy") == "BA").alias("ba"),
-        F.count_if(F.col("strategy") == "BD").alias("bd"),
-        F.count(F.lit(1)).alias("total"),
-    )
-    return counts.select(
-        "campaign_id",
-        F.when(F.col("generic") > 0, "GENERIC")
-        .when(F.col("ba") == F.col("total"), "BA")
-        .when(F.col("bd") == F.col("total"), "BD")
-        .otherwise(NOT_APPLICABLE)
-        .alias("strategy_camp"),
+    """(campaign_id, strategy_camp): the strategy all rows share, GENERIC once any row has it."""
+    lowest, highest = F.min("strategy"), F.max("strategy")
+    mixed = F.when(lowest == highest, lowest).otherwise(NOT_APPLICABLE)
+    generic = F.bool_or(F.col("strategy") == "GENERIC")
+    return fact.groupBy(F.col("campaignId").alias("campaign_id")).agg(
+        F.when(generic, "GENERIC").otherwise(mixed).alias("strategy_camp")
     )

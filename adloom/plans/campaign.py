@@ -14,7 +14,7 @@ from adloom.operators.enrich import campaign_dim, with_bids
 from adloom.operators.joins import size_checked
 from adloom.operators.masking import MaskSpec, masked_union
 from adloom.operators.strategy import (
-    account_patterns,
+    account_brands,
     campaign_strategy,
     classify_strategy,
     own_asins,
@@ -83,14 +83,14 @@ def campaign_report(
     factor: int = 5,
 ) -> DataFrame:
     """One row per search-term row; a narrow pass over the fact when all dimensions fit."""
-    asins, patterns, latest, dim = size_checked(
+    asins, brands, latest, dim = size_checked(
         own_asins(competitors),
-        account_patterns(competitors, aliases),
+        account_brands(competitors, aliases),
         latest_bids(bids),
         campaign_dim(campaigns, portfolios, targets, ads),
     )
     fact = with_match_type(canonical_fact(sp, sb, sd).drop("kt_type"))
-    rows = classify_strategy(fact, asins, patterns)
+    rows = classify_strategy(fact, asins, brands)
     rows = with_bids(rows, latest).join(dim, "campaignId", "left")
     rows = with_ratios(rows, RATIO_NAMES, digits=digits)
     rows = rows.withColumn("MATCH TYP", match_label("new_match_type")).drop("match_type")
@@ -117,10 +117,10 @@ def campaign_strategy_report(
     The campaign strategies come from a first pass over the few columns that decide
     them; their size is checked like any other dimension's.
     """
-    asins, patterns, latest = size_checked(
-        own_asins(competitors), account_patterns(competitors, aliases), latest_bids(bids)
+    asins, brands, latest = size_checked(
+        own_asins(competitors), account_brands(competitors, aliases), latest_bids(bids)
     )
     fact = with_match_type(canonical_fact(sp, sb, sd).drop("kt_type"))
-    rows = classify_strategy(fact, asins, patterns)
+    rows = classify_strategy(fact, asins, brands)
     (dim,) = size_checked(campaign_dim(campaigns, portfolios, targets, ads, campaign_strategy(rows)))
     return with_bids(rows, latest).join(dim, "campaignId", "left")

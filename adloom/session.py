@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,26 +44,35 @@ def reach_workers(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
+_fallback: dict[str, str] = {}
 
-    A machine-local folder is made up only when the master itself is local.
-    """
-    named = spark.conf.get(CHECKPOINT_KEY, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+
+def use_dir(path: str) -> None:
+    """Folder to use where the session names none; the caller vouches that every worker sees it."""
+    _fallback["dir"] = path
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder every executor can reach, as named by the cluster; never a local one made up here."""
+    named = spark.conf.get(CHECKPOINT_KEY, None) or _fallback.get("dir")
+    if not named:
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
-    return _local_dir()
+    return named.rstrip("/")
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="adloom-")
+def _run_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_dir(spark)}/adloom/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/adloom/{name}-{uuid.uuid4().hex}"
+    return f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete what this application has stored; frames built on it can't be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -110,14 +110,19 @@ COMPETITORS = [
 COMPETITOR_SCHEMA = "account_name string, our_asins string, our_brand_name string, competitor_brand_name string"
 
 
-def test_brand_patterns_skip_blank_names(spark, rows):
+def test_brand_names_skip_blanks(spark, rows):
     df = spark.createDataFrame(COMPETITORS, COMPETITOR_SCHEMA)
-    assert rows(strategy.brand_patterns(df, "our_brand_name")) == [("a", r"(?i)(\QRed\E)")]
-    assert dict(rows(strategy.brand_patterns(df, "competitor_brand_name"))) == {
-        "a": r"(?i)(\QBlue\E|\Qold (bolt\E)",
-        "b": r"(?i)(\QBlue\E)",
-    }
-    assert rows(strategy.brand_patterns(df, "our_brand_name", {"Red": "R"})) == [("a", r"(?i)(\QR\E)")]
+    assert rows(strategy.brand_names(df, "our_brand_name")) == [("a", "Red")]
+    assert rows(strategy.brand_names(df, "competitor_brand_name")) == [("a", "Blue"), ("a", "old (bolt"), ("b", "Blue")]
+    assert rows(strategy.brand_names(df, "our_brand_name", {"Red": "R"})) == [("a", "R")]
+    assert rows(strategy.account_brands(df))[0] == ("a", "Blue", False)
+
+
+def test_brand_flags_are_null_without_brands(spark, rows):
+    words = spark.createDataFrame([("a", "a RED old (BOLT"), ("a", None), ("b", "blue"), ("c", "x")], "account_name string, keyword string")
+    flagged = strategy.with_brand_flags(words, strategy.account_brands(spark.createDataFrame(COMPETITORS, COMPETITOR_SCHEMA)))
+    assert rows(flagged) == [("a", "a RED old (BOLT", True, True), ("a", None, None, None), ("b", "blue", None, True), ("c", "x", None, None)]
+    assert "RLIKE" not in flagged._jdf.queryExecution().toString()
 
 
 @pytest.mark.parametrize(
@@ -241,9 +246,35 @@ def _rule(**given):
     return {"account_name": None, "portfolio_name": None, "cpc_column_name": "CPC", "bid_change": "no change", **given}
 
 
+def _rule_table(spark, rule_list):
+    names = sorted({c for r in rule_list for c in r} | {"account_name", "portfolio_name", "cpc_column_name", "bid_change"})
+    rows = [(i, *(r.get(c) for c in names)) for i, r in enumerate(rule_list)]
+    return spark.createDataFrame(rows[::-1], "rule_no int, " + ", ".join(f"`{c}` string" for c in names))
+
+
 def _bids(spark, rule_list, data, schema="account_name string, portfolio_name string, CPC double, Acos_ratio double, n bigint"):
-    df = spark.createDataFrame(data, schema)
-    return [r[0] for r in df.select(rules.compile_rules(rule_list, df.columns)).collect()]
+    df = spark.createDataFrame([(*d, i) for i, d in enumerate(data)], schema + ", place int")
+    out = rules.price_rows(df, _rule_table(spark, rule_list))
+    return [r.suggested_bid for r in out.orderBy("place").collect()]
+
+
+def test_rule_order_is_that_of_the_numbers(spark, tmp_path):
+    first, second = _rule(bid_change="50"), _rule(bid_change="-50")
+    table = _rule_table(spark, [first, second])
+    for part in (1, 0):
+        table.filter(f"rule_no = {part}").coalesce(1).write.mode("append").parquet(str(tmp_path / "rules"))
+    df = spark.createDataFrame([("a", "x", 2.0, 1.0)], "account_name string, portfolio_name string, CPC double, Acos_ratio double")
+    stored = spark.read.parquet(str(tmp_path / "rules"))
+    assert rules.price_rows(df, stored).first().suggested_bid == 3.0
+    with pytest.raises(ValueError, match="rule_no"):
+        rules.price_rows(df, stored.drop("rule_no"))
+    with pytest.raises(ValueError, match="number 1"):
+        rules.price_rows(df, stored.union(stored.filter("rule_no = 1")))
+
+
+def test_more_rules_than_any_expression_holds(spark):
+    rule_list = [_rule(account_name=f"a{i}", bid_change=str(i)) for i in range(12_000)]
+    assert _bids(spark, rule_list, [("a11000", "x", 1.0, 1.0, 1)]) == [111.0]
 
 
 def test_first_rule_with_a_bid_wins(spark):
@@ -280,8 +311,8 @@ def test_suggest_bids_end_to_end(spark):
         [("a", "p", 30.0, 20.0, 2.25), ("a", "p", 30.0, 0.0, 2.0), ("a", "p", 0.0, 0.0, 2.0), ("a", "p", 30.0, None, 2.0), ("b", "p", 1.0, 1.0, 1.0)],
         "account_name string, portfolio_name string, ACOS_last_14_days double, target_acos double, CPC double",
     )
-    rule_rows = [("a", "", "Acos_ratio", "1", "", "CPC", "cpc/ratio"), ("a", "", "", "", "", "CPC", "no change")]
-    rule_df = spark.createDataFrame(rule_rows, "account_name string, portfolio_name string, 1_column_filter string, 1_start string, 1_end string, cpc_column_name string, bid_change string")
+    rule_rows = [(1, "a", "", "Acos_ratio", "1", "", "CPC", "cpc/ratio"), (2, "a", "", "", "", "", "CPC", "no change")]
+    rule_df = spark.createDataFrame(rule_rows, "rule_no int, account_name string, portfolio_name string, 1_column_filter string, 1_start string, 1_end string, cpc_column_name string, bid_change string")
     out = rules.suggest_bids(report, rule_df, "a")
     got = [(r.Acos_ratio, r.suggested_bid) for r in out.collect()]
     assert got == [(1.5, 1.5), (float("inf"), 0.0), (0.0, 2.0), (0.0, 2.0)]
@@ -298,8 +329,8 @@ def test_replace_word_is_whole_word_and_case_blind(spark):
 LEVELS = [("P", "portfolio", ()), ("C D", "campaign", ("P",)), ("K", "keyword", ("P", "C D"))]
 
 
-@pytest.mark.parametrize("partitions, max_rows", [(1, 0), (3, 0), (16, 0), (16, 10_000)])
-def test_labels_equal_nested_dense_ranks(spark, partitions, max_rows):
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_labels_equal_nested_dense_ranks(spark, partitions):
     rng = random.Random(partitions)
 
     def value(n):
@@ -307,7 +338,7 @@ def test_labels_equal_nested_dense_ranks(spark, partitions, max_rows):
 
     data = [(i, value(4), value(6), value(30)) for i in range(500)]
     df = spark.createDataFrame(data, "id int, P string, `C D` string, K string")
-    got = {r.id: (r.P, r["C D"], r.K) for r in masking.pseudonymize(df, LEVELS, partitions, max_rows).collect()}
+    got = {r.id: (r.P, r["C D"], r.K) for r in masking.pseudonymize(df, LEVELS, partitions).collect()}
     order = lambda vs: sorted(set(vs), key=lambda v: (v is not None, v or ""))
     for i, p, c, k in data:
         p_rank = order(x[1] for x in data).index(p) + 1

@@ -55,8 +55,8 @@ def test_hot_keyword_is_split(spark, low_bounds):
 
 def test_missing_products_are_spread(spark, low_bounds):
     asins = spark.createDataFrame([("acc", "P7")], "account_name string, our_asins string")
-    patterns = spark.createDataFrame([("acc", "(?i)(\\Qx\\E)", None)], "account_name string, own_pattern string, competitor_pattern string")
-    out = strategy.classify_strategy(hot_fact(spark, 30_000), asins, patterns)
+    brands = spark.createDataFrame([("acc", "x", True)], "account_name string, name string, own boolean")
+    out = strategy.classify_strategy(hot_fact(spark, 30_000), asins, brands)
     assert {r.strategy: r["count"] for r in out.groupBy("strategy").count().collect()} == {"BD": 600, "GENERIC": 29_400}
 
 
@@ -86,11 +86,11 @@ def test_empty_dimensions(spark):
     none = spark.createDataFrame([], "`ACCOUNT NAME` string, P string, n int")
     spec = masking.MaskSpec(levels=[("P", "portfolio", ())], measures=["n"])
     assert masking.masked_union(none, "acme", spec).count() == 0
-    assert masking.pseudonymize(none, spec.levels, max_rows=-1).count() == 0
+    assert masking.pseudonymize(none, spec.levels).count() == 0
 
 
 def test_labels_of_a_hot_parent_span_ranges(spark):
     df = spark.range(0, 20_000, 1, 8).select(F.lit("p").alias("P"), F.format_string("k%06d", "id").alias("K"), F.col("id"))
-    out = masking.pseudonymize(df, [("P", "portfolio", ()), ("K", "keyword", ("P",))], partitions=16, max_rows=0)
+    out = masking.pseudonymize(df, [("P", "portfolio", ()), ("K", "keyword", ("P",))], partitions=16)
     wrong = out.filter(F.col("K") != F.concat(F.lit("keyword"), (F.col("id") + 1).cast("string")))
     assert wrong.isEmpty() and out.count() == 20_000
