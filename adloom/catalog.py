@@ -6,7 +6,7 @@ are doubles, so results compare with any SQL engine.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +31,7 @@ from adloom.plans import asin, bid, campaign, keyword
 from adloom.session import apply_settings, scratch_path
 from adloom.sinks import tables as sinks
 from adloom.sources import tables as sources
+from adloom.sources.delimited import numbered_lines, read_delimited
 from adloom.streaming.ingest import ingest_folder
 
 TENANT = "BUILDING"
@@ -60,6 +61,9 @@ RULES = [
     (None, None, None, None, None, None, None, None, CPC_60, "abc"),
 ]
 
+# Long brand names and what they are shortened to.
+ALIASES = {"small": "all"}
+
 URL_ID = r"example\.[a-z]+/[a-z]+/([0-9]+)"
 
 
@@ -343,26 +347,30 @@ def q27_url_ids(v: Views) -> DataFrame:
     return cleaning.extract_ids(pages, "url", URL_ID).withColumn("piece", cleaning.path_piece("url", 3))
 
 
-def _daily_totals(v: Views) -> DataFrame:
-    return v.fact().groupBy("date").agg(
-        F.sum("clicks").alias("clicks"), F.sum("ad_spend").alias("ad_spend")
-    )
+def _daily_totals(v: Views, first: date, last: date) -> DataFrame:
+    """Totals per day of the calendar's range; days outside are never aggregated."""
+    inside = v.fact().filter(F.col("date").between(F.lit(first), F.lit(last)))
+    return inside.groupBy("date").agg(F.sum("clicks").alias("clicks"), F.sum("ad_spend").alias("ad_spend"))
 
 
 def q28_calendar_days(v: Views) -> DataFrame:
-    return calendar.last_days(v.spark, AS_OF).join(_daily_totals(v), "date", "left")
+    days = calendar.last_days(v.spark, AS_OF)
+    return days.join(_daily_totals(v, AS_OF - timedelta(days=14), AS_OF), "date", "left")
 
 
 def q29_calendar_months(v: Views) -> DataFrame:
     whole = calendar.last_months(v.spark, AS_OF).withColumn("kind", F.lit("whole"))
     running = calendar.month_ranges(v.spark, AS_OF, 6).withColumn("kind", F.lit("running"))
-    daily = _daily_totals(v).withColumn("start_date", F.trunc("date", "month").cast("date"))
-    days = whole.unionByName(running).join(daily, "start_date", "left")
+    periods_ = calendar.month_periods(AS_OF, 6)
+    daily = _daily_totals(v, periods_[-1].start, periods_[0].end)
+    daily = daily.withColumn("start_date", F.trunc("date", "month").cast("date"))
+    # Nine rows whatever the data; the totals stream past them.
+    months = F.broadcast(whole.unionByName(running))
     inside = F.col("date") <= F.col("end_date")
-    return days.groupBy("kind", "start_date", "end_date").agg(
-        F.sum(F.when(inside, F.col("clicks"))).alias("clicks"),
-        F.sum(F.when(inside, F.col("ad_spend"))).alias("ad_spend"),
+    sums = daily.join(months, "start_date").filter(inside).groupBy("kind", "start_date", "end_date").agg(
+        F.sum("clicks").alias("clicks"), F.sum("ad_spend").alias("ad_spend")
     )
+    return months.join(sums, ["kind", "start_date", "end_date"], "left")
 
 
 def q30_latest_snapshot(v: Views) -> DataFrame:
@@ -384,21 +392,25 @@ def q32_dedupe_full(v: Views) -> DataFrame:
     return dedupe.dedupe(bid.keyword_names(*v.searched()))
 
 
-def q33_gather(v: Views) -> DataFrame:
-    """Target sheets written as tab files with a preamble and bad rows, gathered again."""
+def _sheets(v: Views) -> list[str]:
+    """Target sheets as tab files: preamble, header, then good, bad, short and over-long lines."""
     path = scratch_path(v.spark, "sheets")
-    target = v.campaigns.select(
+    goal = (F.col("campaignId") % 40).cast("string")
+    variants = [[goal], [F.lit("none")], [], [goal, F.lit("extra")]]
+    body = v.campaigns.select(
         (F.col("campaignId") % 4).alias("sheet"),
-        F.concat_ws("\t", "name", (F.col("campaignId") % 40).cast("string")).alias("line"),
-        F.concat_ws("\t", "name", F.lit("none"), F.lit("extra")).alias("bad"),
-    )
-    lines = target.select("sheet", F.explode(F.array("line", "line", "bad")).alias("line"))
-    preamble = target.select("sheet").distinct().select(
-        "sheet", F.explode(F.array(F.lit("Report of targets"), F.lit("campaign_name\ttarget_acos"))).alias("line")
+        F.lit(1).alias("place"),
+        F.array_join(F.array(*[F.concat_ws("\t", "name", *rest) for rest in variants]), "\n").alias("value"),
     )
-    lines.unionByName(preamble).write.partitionBy("sheet").text(path)
-    paths = [f"{path}/sheet={i}" for i in range(6)]
-    return sources.gather(v.spark, paths, schemas.TARGET_INFO, sep="\t", drop_malformed=True)
+    head = F.lit("Report,of today\ncampaign_name\ttarget_acos")
+    head = body.select("sheet").distinct().select("sheet", F.lit(0).alias("place"), head.alias("value"))
+    sheets = body.unionByName(head).repartition("sheet").sortWithinPartitions("sheet", "place")
+    sheets.drop("place").write.partitionBy("sheet").text(path)
+    return [f"{path}/sheet={i}" for i in range(6)]
+
+
+def q33_gather(v: Views) -> DataFrame:
+    return sources.gather(v.spark, _sheets(v), schemas.TARGET_INFO, sep="\t", skip_rows=1)
 
 
 DATE_SOURCE = """
@@ -414,40 +426,38 @@ def q34_date_columns(v: Views) -> DataFrame:
     return cleaning.normalize_date_columns(v.sql(DATE_SOURCE))
 
 
-def _sales_files(v: Views) -> dict[str, str]:
-    """Retail sales as CSV folders: usual layout, an extra column, a missing column."""
+def _sales_files(v: Views) -> list[str]:
+    """Retail sales as two CSV folders: one of two layouts, one whose files lack a column."""
     base = scratch_path(v.spark, "sales")
     sales = v.retail_sales
-    layouts = {
-        "normal": sales,
-        "extra": sales.withColumn("payment_mode", F.when(F.col("store_id") == 121, "cash").otherwise("UPI")),
-        "missing": sales.drop("store_id").withColumn("payment_mode", F.lit("cash")),
-    }
-    for name, df in layouts.items():
-        df.filter(F.col("sales_person_id") % 3 == list(layouts).index(name)).write.csv(
-            f"{base}/{name}", header=True
-        )
-    return {f"{base}/{name}": name for name in layouts}
+    mode = F.when(F.col("store_id") == 121, "cash").otherwise("UPI")
+    layouts = [
+        ("mixed", sales),
+        ("mixed", sales.select(mode.alias("payment_mode"), *sales.columns[::-1])),
+        ("short", sales.drop("store_id").withColumn("payment_mode", F.lit("cash"))),
+    ]
+    for i, (folder, df) in enumerate(layouts):
+        df.filter(F.col("sales_person_id") % 3 == i).write.mode("append").csv(f"{base}/{folder}", header=True)
+    return [f"{base}/mixed", f"{base}/short"]
 
 
 def q35_mandatory_columns(v: Views) -> DataFrame:
-    files = _sales_files(v)
-    checked = quality.check_columns(v.spark, list(files), schemas.MANDATORY_SALES_COLUMNS)
-    return checked.select(
-        F.substring_index("path", "/", -1).alias("file"),
-        "status",
-        F.array_join("missing", ",").alias("missing"),
-        F.array_join("extra", ",").alias("extra"),
-    )
+    """Lines by folder and what the header check says of their files."""
+    paths = _sales_files(v)
+    checked = quality.check_columns(v.spark, paths, schemas.MANDATORY_SALES_COLUMNS)
+    lines = numbered_lines(v.spark, paths).groupBy(F.col("file_path").alias("path")).agg((F.count("line") - 1).alias("n"))
+    folder = F.element_at(F.split("path", "/"), -2).alias("folder")
+    named = [F.array_join(F.array_sort(c), ",").alias(c) for c in ("missing", "extra")]
+    per_file = checked.join(lines, "path").select(folder, "status", *named, "n")
+    return per_file.groupBy("folder", "status", "missing", "extra").agg(F.sum("n").alias("lines"))
 
 
 def q36_audit(v: Views) -> DataFrame:
-    settings = v.account_settings
-    missing = quality.audit(settings, "account_settings", AS_OF, v.accounts)
-    no_bids = v.bid_values.filter(F.col("bid") > 1_000_000)
-    return missing.unionByName(quality.audit(no_bids, "bid_values", AS_OF, v.accounts)).select(
-        "account_name", "table_name", "updated_date"
-    )
+    """Accounts without settings or without bids, and the row of a load that failed."""
+    settings = quality.audit(v.account_settings, "account_settings", AS_OF, v.accounts)
+    few = quality.audit(v.bid_values.filter(F.col("bid") > 99), "bid_values", AS_OF, v.accounts)
+    failed = quality.audit_error(v.spark, "ads", ValueError("no such table"), AS_OF)
+    return settings.unionByName(few).unionByName(failed)
 
 
 def q37_table_roundtrip(v: Views) -> DataFrame:
@@ -478,7 +488,7 @@ def q39_drop_folder(v: Views) -> DataFrame:
         sales.filter(F.col("customer_id") % 2 == part).write.mode("append").csv(f"{base}/in", header=True)
         ingest_folder(v.spark, f"{base}/in", schemas.RETAIL_SALES, f"{base}/out", f"{base}/state")
     ingest_folder(v.spark, f"{base}/in", schemas.RETAIL_SALES, f"{base}/out", f"{base}/state")
-    return v.spark.read.schema(schemas.RETAIL_SALES).parquet(f"{base}/out")
+    return v.spark.read.parquet(f"{base}/out").select(*schemas.RETAIL_SALES.fieldNames())
 
 
 def q40_refresh_if_stale(v: Views) -> DataFrame:
@@ -514,7 +524,7 @@ def q44_bid_masked(v: Views) -> DataFrame:
 
 
 def q45_valid_sales(v: Views) -> DataFrame:
-    return quality.read_valid(v.spark, list(_sales_files(v)), schemas.RETAIL_SALES)
+    return quality.read_valid(v.spark, _sales_files(v), schemas.RETAIL_SALES)
 
 
 def q46_unfinished_files(v: Views) -> DataFrame:
@@ -546,6 +556,37 @@ def q50_ambiguous_targets(v: Views) -> DataFrame:
     return quality.audit_targets(v.target_info.unionByName(second), AS_OF)
 
 
+def q51_rejected_lines(v: Views) -> DataFrame:
+    """Lines of the target sheets with too many fields, by reason."""
+    found = read_delimited(v.spark, sources.present(v.spark, _sheets(v)), schemas.TARGET_INFO, "\t", skip_rows=1)
+    return found.reject_counts().groupBy("reason").agg(F.sum("lines").alias("lines"))
+
+
+def q52_strategy_aliases(v: Views) -> DataFrame:
+    """As q05 with a long brand name shortened, which then matches more keywords."""
+    return strategy.strategy_from(v.fact(), v.competitors, ALIASES).select(
+        "account_name", "campaignId", "keyword_id", "keyword", "date", "strategy"
+    )
+
+
+def q53_bid_coverage(v: Views) -> DataFrame:
+    """How many keywords of an account get a bid once bids are rounded."""
+    sheet = keyword.bid_sheet(v.keyword_report(digits=None), _rules(v), ratio_digits=None, bid_digits=1, sort=False)
+    return sheet.groupBy("account_name").agg(
+        F.count("suggested_bid").alias("with_bid"), F.count(F.lit(1)).alias("total")
+    )
+
+
+def q54_staged_files(v: Views) -> DataFrame:
+    """Bids as a staged load and as a stamped CSV, both read again."""
+    base = scratch_path(v.spark, "out")
+    rows = v.bid_values.select("keyword_id", F.col("bid").cast("double").alias("bid"), "account_name")
+    staged = v.spark.read.schema(rows.schema).parquet(sinks.stage_load(rows, f"{base}/stage"))
+    stamped = sinks.write_stamped_csv(rows, base, "bids", datetime(2001, 8, 1, 7, 5))
+    again = sources.read_csv(v.spark, stamped, rows.schema)
+    return staged.withColumn("kind", F.lit("staged")).unionByName(again.withColumn("kind", F.lit("stamped")))
+
+
 def _registered(query):
     return lambda spark, sf_dir: plain(query(Views(apply_settings(spark), sf_dir)))
 

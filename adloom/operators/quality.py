@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,63 +9,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.operators.enrich import ambiguous_targets
-from adloom.schemas import DATE, STRING, STRINGS, struct
+from adloom.schemas import DATE, STRING, struct
+from adloom.sources.delimited import Delimited, file_headers, read_by_header
 
-CHECK_SCHEMA = struct({"path": STRING, "status": STRING, "missing": STRINGS, "extra": STRINGS})
 AUDIT_SCHEMA = struct(
     {"account_name": STRING, "table_name": STRING, "updated_date": DATE, "error": STRING}
 )
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.csv(path, header=True, inferSchema=False).columns
+def check_columns(
+    spark: SparkSession, paths: list[str], mandatory: list[str], sep: str = ",", skip_rows: int = 0
+) -> DataFrame:
+    """(path, status, missing, extra) per file, also of folders; valid if no mandatory column is missing.
 
-
-def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """First line of each file; only the line itself is read, several files at a time."""
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return dict(zip(paths, pool.map(lambda p: _header(spark, p), paths)))
+    A file that names a column twice is rejected, with the names in ``missing`` if any.
+    """
+    needed = F.array(*map(F.lit, mandatory))
+    checked = file_headers(spark, paths, sep, skip_rows).select(
+        F.col("file_path").alias("path"),
+        F.array_except(needed, "header").alias("missing"),
+        F.array_except("header", needed).alias("extra"),
+        (F.size(F.array_distinct("header")) == F.size("header")).alias("once"),
+    )
+    valid = (F.size("missing") == 0) & F.col("once")
+    return checked.select("path", F.when(valid, "valid").otherwise("rejected").alias("status"), "missing", "extra")
 
 
-def check_columns(spark: SparkSession, paths: list[str], mandatory: list[str]) -> DataFrame:
-    """(path, status, missing, extra) per file; valid if no mandatory column is missing."""
-    rows = []
-    for path, names in headers(spark, paths).items():
-        missing = [c for c in mandatory if c not in names]
-        extra = [c for c in names if c not in mandatory]
-        rows.append((path, "rejected" if missing else "valid", missing, extra))
-    return spark.createDataFrame(rows, CHECK_SCHEMA)
+def read_valid_files(
+    spark: SparkSession, paths: list[str], schema: T.StructType, sep: str = ",", skip_rows: int = 0
+) -> Delimited:
+    """Rows and rejected lines of the valid files, each read by its own header."""
+    checked = check_columns(spark, paths, schema.fieldNames(), sep, skip_rows)
+    names = file_headers(spark, paths, sep, skip_rows)
+    valid = checked.filter("status = 'valid'").select(F.col("path").alias("file_path"))
+    return read_by_header(spark, paths, names.join(valid, "file_path", "left_semi"), schema, sep, skip_rows)
 
 
 def read_valid(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """Rows of the valid files; columns beyond ``schema`` go to ``additional_columns``.
-
-    Files that share a header are read in one scan. An extra column shows up as
-    ``name=value``, several joined by commas.
-    """
-    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, names in headers(spark, paths).items():
-        if all(f in names for f in schema.fieldNames()):
-            layouts[tuple(names)].append(path)
-    parts = []
-    for names, files in layouts.items():
-        full = T.StructType(
-            [schema[n] if n in schema.fieldNames() else T.StructField(n, T.StringType()) for n in names]
-        )
-        rows = spark.read.schema(full).csv(files, header=True)
-        extra = [n for n in names if n not in schema.fieldNames()]
-        shown = [F.concat(F.lit(f"{n}="), F.coalesce(F.col(f"`{n}`"), F.lit(""))) for n in extra]
-        folded = F.concat_ws(",", *shown) if extra else F.lit(None).cast("string")
-        parts.append(rows.select(*schema.fieldNames(), folded.alias("additional_columns")))
-    if not parts:
-        empty = T.StructType(
-            [*schema.fields, T.StructField("additional_columns", T.StringType())]
-        )
-        return spark.createDataFrame([], empty)
-    out = parts[0]
-    for other in parts[1:]:
-        out = out.unionByName(other)
-    return out
+    """Rows of the valid files; columns beyond ``schema`` go to ``additional_columns``."""
+    return read_valid_files(spark, paths, schema).rows.drop("file_path")
 
 
 def audit(df: DataFrame, table: str, as_of: date, accounts: DataFrame) -> DataFrame:

@@ -341,6 +341,9 @@ STEPS = {
     "o_rival": _pattern("competitor_brand_name"),
     "o_flagged": FLAGGED,
     "o_strategy": STRATEGY,
+    "o_own_aliases": _pattern("replace(our_brand_name, 'small', 'all')"),
+    "o_flagged_aliases": FLAGGED.replace("o_own own", "o_own_aliases own"),
+    "o_strategy_aliases": STRATEGY.replace("o_flagged f", "o_flagged_aliases f"),
     "o_target_dim": TARGET_DIM,
     "o_ads_typed": ADS_TYPED,
     "o_ads_dim": ADS_DIM,
@@ -463,15 +466,19 @@ def sql() -> dict[str, str]:
           select *, row_number() over (partition by account_name, keyword_id order by campaign_name nulls first, keyword nulls first, search_term nulls first) as rn
           from o_fact) t where rn = 1""",
         "q32_dedupe_full": "select distinct keyword_id, account_name, campaign_name, keyword, campaignId from o_fact",
-        "q33_gather": "select distinct name as campaign_name, cast(campaignId % 40 as int) as target_acos from campaigns",
+        "q33_gather": """select distinct name as campaign_name, cast(campaignId % 40 as int) as target_acos from campaigns
+          union select name, null from campaigns""",
         "q34_date_columns": f"""select o_orderkey, order_date, replace(slash_date, '/', '-') as slash_date, Odd_Date, status
           from ({catalog.DATE_SOURCE}) s""",
-        "q35_mandatory_columns": """select file, status, missing, extra from (values ('normal', 'valid', '', ''),
-          ('extra', 'valid', '', 'payment_mode'), ('missing', 'rejected', 'store_id', 'payment_mode')) t(file, status, missing, extra)""",
-        "q36_audit": f"""select account_name, 'account_settings' as table_name, {DAY} as updated_date from accounts
+        "q35_mandatory_columns": """select folder, status, missing, extra, cast(count(*) as bigint) as lines
+          from retail_sales join (values (0, 'mixed', 'valid', '', ''), (1, 'mixed', 'valid', '', 'payment_mode'),
+            (2, 'short', 'rejected', 'store_id', 'payment_mode')) t(part, folder, status, missing, extra) on sales_person_id % 3 = part
+          group by folder, status, missing, extra""",
+        "q36_audit": f"""select account_name, 'account_settings' as table_name, {DAY} as updated_date, cast(null as varchar) as error from accounts
           where account_name not in (select account_name from account_settings)
-          union all select account_name, 'bid_values', {DAY} from accounts
-          where account_name not in (select account_name from bid_values where bid > 1000000)""",
+          union all select account_name, 'bid_values', {DAY}, null from accounts
+          where account_name not in (select account_name from bid_values where bid > 99)
+          union all select null, 'ads', {DAY}, 'no such table'""",
         "q37_table_roundtrip": f"""select account_name, date as day, cast(ad_spend as double) as spend, cast(null as varchar) as note
           from o_fact where account_name = '{catalog.TENANT}'""",
         "q38_typed_sink": _select("o_report", [n for n in REPORT_ORDER if n != "bid"], DOUBLES).replace(
@@ -509,5 +516,11 @@ def sql() -> dict[str, str]:
             from o_strategy group by campaignId) s on f.campaignId = s.campaignId""",
         "q50_ambiguous_targets": f"""select cast(null as varchar) as account_name, 'target_info' as table_name, {DAY} as updated_date,
           'several targets: ' || campaign_name as error from target_info where target_acos % 5 = 0""",
+        "q51_rejected_lines": "select 'too many fields' as reason, cast(count(*) as bigint) as lines from campaigns",
+        "q52_strategy_aliases": "select account_name, campaignId, keyword_id, keyword, date, strategy from o_strategy_aliases",
+        "q53_bid_coverage": f"""select account_name, count(suggested_bid) as with_bid, count(*) as total from ({BIDS}) s
+          group by account_name""",
+        "q54_staged_files": """select keyword_id, cast(bid as double) as bid, account_name, kind
+          from bid_values cross join (values ('staged'), ('stamped')) t(kind)""",
     }
     return {name: _query(body) for name, body in bodies.items()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,7 +54,7 @@ STAGING = struct(
     }
 )
 
-# Typed target of the campaign report. Unsigned 32-bit counts need 64 signed bits.
+# Columns and types of the campaign report's target. Unsigned 32-bit counts need 64 signed bits.
 CAMPAIGN_INFO = struct(
     {
         "campaign_id": STRING,
@@ -109,3 +109,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(
         *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
     )
+
+
+def misfits(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """Per target column, the number of values that don't fit, and of nulls it may not have."""
+    counts = []
+    for f in schema.fields:
+        given = F.col(f"`{f.name}`")
+        wrong = given.isNotNull() & given.try_cast(f.dataType).isNull()
+        counts.append(F.count_if(wrong if f.nullable else wrong | given.isNull()).alias(f.name))
+    return counts

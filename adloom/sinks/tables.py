@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.schemas import conform
-from adloom.sources.tables import TableSource, _exists, read_table
+from adloom.schemas import conform, misfits
+from adloom.sources.tables import TableSource, present, read_table
 
 
 def write_table(
@@ -19,14 +20,22 @@ def write_table(
     schema: T.StructType | None = None,
     sort: list[str] | None = None,
     partition_by: list[str] | None = None,
+    allow_misfits: bool = False,
 ) -> None:
     """Write to a JDBC table or a Parquet path.
 
-    ``schema`` casts to the target's declared types; ``sort`` lays Parquet out in
-    that order by range partitions, so hot keys are spread when the sort list is
-    finer than the key. JDBC overwrites keep the table definition.
+    ``schema`` casts to the target's declared types; a value that does not fit, or a
+    null in a required column, is an error before anything is written, unless
+    ``allow_misfits`` lets it become null. ``sort`` lays Parquet out in that order by
+    range partitions; a row hash ends the range key, so that equal sort keys can span
+    several. JDBC overwrites keep the table definition.
     """
     if schema is not None:
+        if not allow_misfits:
+            found = df.agg(*misfits(df, schema)).first().asDict()
+            wrong = {c: n for c, n in found.items() if n}
+            if wrong:
+                raise ValueError(f"values that do not fit the target: {wrong}")
         df = conform(df, schema)
     if target.url:
         options = target.write_options(mode)
@@ -34,7 +43,8 @@ def write_table(
         return
     if sort:
         columns = [f"`{c}`" for c in sort]
-        df = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+        spread = F.xxhash64(*[f"`{c}`" for c in df.columns])
+        df = df.repartitionByRange(*columns, spread).sortWithinPartitions(*columns)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -60,10 +70,18 @@ def write_stamped_csv(df: DataFrame, path: str, name: str, as_of: datetime) -> s
 
 def is_stale(spark: SparkSession, target: TableSource, as_of: date, date_col: str = "updated_date") -> bool:
     """Whether the newest row of the target is not dated ``as_of``; a missing target is stale."""
-    if target.path and not _exists(spark, target.path):
+    if target.path and not present(spark, [target.path]):
         return True
-    newest = read_table(spark, target, [date_col]).agg(F.max(date_col).cast("date").alias("d")).first()
-    return newest["d"] != as_of
+    newest = read_table(spark, newest_source(target, date_col)) if target.url else read_table(spark, target, [date_col])
+    return newest.agg(F.max(date_col).cast("date").alias("d")).first()["d"] != as_of
+
+
+def newest_source(target: TableSource, date_col: str) -> TableSource:
+    """The target's greatest date alone, found by the database."""
+    source = target.query and f"({target.query}) t" or target.table
+    query = f"select max({date_col}) as {date_col} from {source}"
+    split = {"partition_column": None, "lower_bound": None, "upper_bound": None, "num_partitions": None}
+    return replace(target, table=None, query=query, **split)
 
 
 def refresh_if_stale(df: DataFrame, target: TableSource, as_of: date, date_col: str = "updated_date") -> bool:

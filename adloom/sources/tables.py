@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adloom.sources.delimited import read_delimited
+
+
+#: Connections of a JDBC write that names no number; without one, every task opens its own.
+WRITE_CONNECTIONS = 8
+
 
 @dataclass(frozen=True)
 class TableSource:
@@ -62,8 +66,7 @@ class TableSource:
         options = self._connection()
         options["dbtable"] = self.table
         options["batchsize"] = str(self.batch_size)
-        if self.num_partitions:
-            options["numPartitions"] = str(self.num_partitions)
+        options["numPartitions"] = str(self.num_partitions or WRITE_CONNECTIONS)
         if mode == "overwrite":
             options["truncate"] = "true"
         return options
@@ -96,28 +99,10 @@ def read_table(
 
 
 def read_csv(
-    spark: SparkSession,
-    path: str | list[str],
-    schema: T.StructType,
-    sep: str = ",",
-    header: bool = True,
-    drop_malformed: bool = False,
+    spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ",", header: bool = True
 ) -> DataFrame:
-    """Delimited files under a declared schema.
-
-    With ``drop_malformed`` the header is read as data: preamble lines, bad values
-    and rows with too few or too many fields fail the schema and drop out. So does
-    the header where a column is not text; where all are, the row that repeats the
-    column names is left out.
-    """
-    if not drop_malformed:
-        return spark.read.schema(schema).csv(path, sep=sep, header=header, mode="PERMISSIVE")
-    names = schema.fieldNames()
-    df = spark.read.schema(schema).csv(path, sep=sep, header=False, mode="DROPMALFORMED")
-    if all(isinstance(f.dataType, T.StringType) for f in schema.fields):
-        return df.filter(~reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in names]))
-    # Always true, but it names every column, so none is pruned from the parse.
-    return df.filter(F.xxhash64(*[f"`{c}`" for c in names]) >= F.lit(-(2**63)))
+    """Delimited files of one layout under a declared schema; bad values are null."""
+    return spark.read.schema(schema).csv(path, sep=sep, header=header, mode="PERMISSIVE")
 
 
 def gather(
@@ -127,21 +112,20 @@ def gather(
     columns: list[str] | None = None,
     distinct: bool = True,
     sep: str = ",",
-    drop_malformed: bool = False,
+    skip_rows: int = 0,
     with_file: bool = False,
 ) -> DataFrame:
     """One table out of many files of the same layout, in a single multi-path scan.
 
-    Files that do not exist are skipped, empty ones add nothing.
+    Files that do not exist are skipped, empty ones add nothing. Short lines and bad
+    values give nulls; see ``read_delimited`` for the lines that are set aside.
     """
-    existing = [p for p in paths if _exists(spark, p)]
+    existing = present(spark, paths)
+    wanted = list(columns or schema.fieldNames())
     if not existing:
-        return spark.createDataFrame([], schema).select(*(columns or schema.fieldNames()))
-    df = read_csv(spark, existing, schema, sep=sep, drop_malformed=drop_malformed)
-    wanted = [F.col(f"`{c}`") for c in (columns or schema.fieldNames())]
-    if with_file:
-        wanted.append(F.col("_metadata.file_path").alias("file_path"))
-    df = df.select(*wanted)
+        return spark.createDataFrame([], schema).select(*wanted)
+    df = read_delimited(spark, existing, schema, sep=sep, skip_rows=skip_rows).rows
+    df = df.select(*[f"`{c}`" for c in wanted], *["file_path"] * with_file)
     return df.dropDuplicates() if distinct else df
 
 
@@ -153,10 +137,22 @@ def concat(*frames: DataFrame) -> DataFrame:
     return first
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+def present(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the paths that exist; one listing for each folder that holds any, not one per path."""
+    folders: dict[str, list[str]] = {}
+    for path in paths:
+        folders.setdefault(path.rstrip("/").rpartition("/")[0] or "/", []).append(path)
+    kept = set()
+    for folder, own in folders.items():
+        there = _listed(spark, folder)
+        kept.update(p for p in own if p.rstrip("/").rpartition("/")[2] in there)
+    return [p for p in paths if p in kept]
+
+
+def _listed(spark: SparkSession, folder: str) -> set[str]:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path)
+    return {s.getPath().getName() for s in fs.listStatus(jvm_path)} if fs.exists(jvm_path) else set()
 
 
 def only_account(df: DataFrame, account: str, account_col: str = "account_name") -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from adloom.sources.delimited import read_delimited
+
 
 def ingest_folder(
     spark: SparkSession,
@@ -15,34 +18,44 @@ def ingest_folder(
     checkpoint: str,
     archive: str | None = None,
     sep: str = ",",
-    header: bool = True,
+    skip_rows: int = 0,
     max_files: int | None = None,
-    drop_malformed: bool = False,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Append every file not yet seen in ``src`` to the Parquet table ``out``, then stop.
 
-    The checkpoint remembers taken files and the sink's log makes the append
-    exactly-once, so a failed or repeated run adds no row twice. ``archive`` moves
-    a file away one run after it was read; ``max_files`` bounds a micro-batch. With
-    ``drop_malformed`` preamble, header and bad lines fail the typed schema and drop out.
+    The checkpoint remembers taken files. Each micro-batch replaces its own folder
+    (``batch=<n>``) of the table, so one that is run again after a failure adds no row
+    twice. ``archive`` moves a file away one run after it was read; ``max_files`` bounds a
+    micro-batch. Files begin with ``skip_rows`` preamble lines and a header; short lines
+    and bad values give nulls, lines with too many fields go to the table ``rejects`` or,
+    without one, end the run with an error.
     """
-    reader = (
-        spark.readStream.schema(schema)
-        .format("csv")
-        .option("sep", sep)
-        .option("header", str(header and not drop_malformed).lower())
-        .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
-    )
+    reader = spark.readStream.format("text")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+
+    def take(lines: DataFrame, number: int) -> None:
+        # The names of one micro-batch's files, which ``max_files`` bounds.
+        files = [r["file_path"] for r in lines.distinct().collect()]
+        if not files:
+            return
+        found = read_delimited(spark, files, schema, sep, skip_rows)
+        if rejects:
+            found.rejects.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        else:
+            wrong = found.rejects.first()
+            if wrong is not None:
+                raise ValueError(f"{wrong['file_path']}: {wrong['reason']}: {wrong['line'][:200]}")
+        found.rows.drop("file_path").write.mode("overwrite").parquet(f"{out}/batch={number}")
+
     query = (
         reader.load(src)
-        .writeStream.format("parquet")
-        .option("path", out)
+        .select(F.col("_metadata.file_path").alias("file_path"))
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -5,10 +5,13 @@ from datetime import date, datetime
 import pytest
 
 from adloom import schemas
+from adloom.operators import quality
+from adloom.operators.cleaning import truncate_measures
 from adloom.schemas import INT, STRING, struct
-from adloom.session import materialize, shared_dir
+from adloom.session import materialize, scratch_path, shared_dir
 from adloom.sinks import tables as sinks
 from adloom.sources import tables as sources
+from adloom.sources.delimited import read_delimited
 from adloom.sources.tables import TableSource
 from adloom.streaming.ingest import ingest_folder
 
@@ -37,17 +40,67 @@ def test_read_csv_declared_schema(spark, tmp_path):
     assert [tuple(r) for r in sources.read_csv(spark, str(path), SCHEMA).collect()] == [("a", 1), ("b", None)]
 
 
-def test_malformed_rows_drop_out(spark, tmp_path):
+def test_only_lines_with_too_many_fields_are_set_aside(spark, tmp_path, rows):
     path = tmp_path / "a.tsv"
-    path.write_text("Report of things\nname\tn\na\t1\nb\tx\nc\t3\textra\nd\t4\n")
-    df = sources.read_csv(spark, str(path), SCHEMA, sep="\t", drop_malformed=True)
-    assert [tuple(r) for r in df.collect()] == [("a", 1), ("d", 4)]
-    assert df.count() == 2
-    assert [r.name for r in df.select("name").collect()] == ["a", "d"]
+    path.write_text("Report,of today\nname\tn\na\t1\nb\tx\nc\t3\textra\nd\n\ne\t\n\t5\nf\t6\t\n")
+    found = read_delimited(spark, str(path), SCHEMA, sep="\t", skip_rows=1)
+    assert rows(found.rows.drop("file_path")) == [("a", 1), ("b", None), ("d", None), ("e", None), ("f", 6), (None, 5)]
+    assert rows(found.rejects.select("line", "reason")) == [("c\t3\textra", "too many fields")]
+    assert [r.lines for r in found.reject_counts().collect()] == [1]
     texts = struct({"name": STRING, "n": STRING})
-    df = sources.read_csv(spark, str(path), texts, sep="\t", drop_malformed=True)
-    assert [tuple(r) for r in df.collect()] == [("a", "1"), ("b", "x"), ("d", "4")]
-    assert df.count() == 3
+    found = read_delimited(spark, str(path), texts, sep="\t", skip_rows=1)
+    assert rows(found.rows.drop("file_path")) == [("a", "1"), ("b", "x"), ("d", None), ("e", None), ("f", "6"), (None, "5")]
+
+
+def test_preamble_of_every_file_and_split(spark, tmp_path, rows):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for f in range(3):
+        body = "".join(f"name {f},{i}\n" for i in range(500))
+        (tmp_path / f"{f}.csv").write_text('of,today\nname,n\n' + body + 'of,today\n')
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000b")
+        found = read_delimited(spark, str(tmp_path), SCHEMA, skip_rows=1)
+        assert found.rows.count() == 1503
+        assert found.rows.filter("n is null").count() == 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_folder_of_two_layouts_is_read_by_name(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('name,n\n"x,1",1\n')
+    (tmp_path / "b.csv").write_text("n,note,name\n7,hi,y\n8,,z\n9\n1,2,3,4\n")
+    (tmp_path / "c.csv").write_text("name\nw\n")
+    (tmp_path / "d.csv").write_text("")
+    checked = quality.check_columns(spark, [str(tmp_path)], ["name", "n"])
+    got = {r.path.rsplit("/")[-1]: (r.status, r.missing, r.extra) for r in checked.collect()}
+    assert got == {"a.csv": ("valid", [], []), "b.csv": ("valid", [], ["note"]), "c.csv": ("rejected", ["n"], [])}
+    found = quality.read_valid_files(spark, [str(tmp_path)], SCHEMA)
+    assert rows(found.rows.drop("file_path")) == [("x,1", 1, None), ("y", 7, "note=hi"), ("z", 8, "note="), (None, 9, "note=")]
+    assert rows(found.rejects.select("line")) == [("1,2,3,4",)]
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "a.csv").write_text("nothing\n")
+    assert quality.read_valid(spark, [str(tmp_path / "e")], SCHEMA).collect() == []
+
+
+def test_misfits_stop_a_typed_write(spark, tmp_path):
+    target = TableSource(path=str(tmp_path / "t"))
+    df = spark.createDataFrame([("a", 3e9), ("b", 1.0)], "name string, n double")
+    with pytest.raises(ValueError, match="'n': 1"):
+        sinks.write_table(df, target, schema=SCHEMA)
+    sinks.write_table(df, target, schema=SCHEMA, allow_misfits=True)
+    assert [r.n for r in sources.read_table(spark, target).orderBy("name").collect()] == [None, 1]
+    none = spark.createDataFrame([(None, 1)], "name string, n int")
+    with pytest.raises(ValueError, match="'name': 1"):
+        sinks.write_table(none, target, schema=struct({"name": STRING, "n": INT}, required=("name",)))
+    assert [tuple(r) for r in truncate_measures(df, ["n"]).select("n").orderBy("n").collect()] == [(1,), (3_000_000_000,)]
+
+
+def test_newest_date_is_asked_of_the_database():
+    target = TableSource(url="jdbc:x://h/d", table="t", partition_column="id", lower_bound=0, upper_bound=9, num_partitions=4)
+    read = sinks.newest_source(target, "updated_date").read_options()
+    assert read["dbtable"] == "(select max(updated_date) as updated_date from t) src" and "partitionColumn" not in read
+    assert int(target.write_options("append")["numPartitions"]) == 4
+    assert int(TableSource(url="jdbc:x://h/d", table="t").write_options("append")["numPartitions"]) > 0
 
 
 def test_gather_skips_missing_and_empty_files(spark, tmp_path, rows):
@@ -131,19 +184,23 @@ def test_drop_folder_takes_each_file_once(spark, tmp_path, rows):
     (src / "b.csv").write_text("name,n\nb,2\nc,3\n")
     run()
     run()
-    assert rows(spark.read.schema(SCHEMA).parquet(out)) == [("a", 1), ("b", 2), ("c", 3)]
+    assert rows(spark.read.parquet(out).drop("batch")) == [("a", 1), ("b", 2), ("c", 3)]
 
 
-def test_drop_folder_skips_malformed_lines(spark, tmp_path, rows):
+def test_drop_folder_keeps_short_lines_and_sets_long_ones_aside(spark, tmp_path, rows):
     src = tmp_path / "in"
     src.mkdir()
-    (src / "a.tsv").write_text("Report\nname\tn\na\t1\nb\tx\nc\t3\textra\n")
-    ingest_folder(spark, str(src), SCHEMA, str(tmp_path / "out"), str(tmp_path / "state"), sep="\t", drop_malformed=True)
-    assert rows(spark.read.schema(SCHEMA).parquet(str(tmp_path / "out"))) == [("a", 1)]
+    (src / "a.tsv").write_text("Report\nname\tn\na\t1\nb\tx\nc\t3\textra\nd\n")
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    ingest_folder(spark, str(src), SCHEMA, out, str(tmp_path / "state"), sep="\t", skip_rows=1, rejects=bad)
+    assert rows(spark.read.parquet(out).drop("batch")) == [("a", 1), ("b", None), ("d", None)]
+    assert [r.line for r in spark.read.parquet(bad).collect()] == ["c\t3\textra"]
 
 
 def test_intermediates_go_to_the_named_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    mark = scratch_path(spark, "x").rpartition("/")[0]
+    assert mark.startswith(shared_dir(spark)) and spark.sparkContext.applicationId in mark
     stored = materialize(spark.range(3).toDF("AD GRP"), "t")
     assert stored.inputFiles()[0].startswith("file:" + shared_dir(spark)) or shared_dir(spark) in stored.inputFiles()[0]
     assert stored.count() == 3
