@@ -26,12 +26,19 @@ MIN_SAME = 70
 FIELD = "<*>"
 
 
-def _masked(line: Column) -> Column:
-    """Tokens parted by one space each, those with a digit as the field."""
-    plain = F.trim(F.regexp_replace(line, "[ \\t\\x0B\\f\\r]+", " "))
-    return F.when(
-        plain.rlike("[0-9]"), F.regexp_replace(plain, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD.replace("*", "\\*"))
-    ).otherwise(plain)
+def _masked(lines: Column) -> Column:
+    """Each line with its tokens parted by one space, those with a digit as the field.
+
+    Done inside the array, so that each step runs once a line and only where it changes it.
+    """
+    blanks = "[ \\t\\x0B\\f\\r]"
+    odd = "  |[\\t\\x0B\\f\\r]|^ | $"
+    plain = F.transform(
+        lines, lambda x: F.when(x.rlike(odd), F.trim(F.regexp_replace(x, f"{blanks}+", " "))).otherwise(x)
+    )
+    field = FIELD.replace("*", "\\*")
+    masked = lambda x: F.regexp_replace(x, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*", field)
+    return F.transform(plain, lambda x: F.when(x.rlike("[0-9]"), masked(x)).otherwise(x))
 
 
 def _row_key(df: DataFrame, id_col: str, text: str) -> Column:
@@ -43,9 +50,8 @@ def _lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     rows = df.select(
         _row_key(df, id_col, text).alias("r"),
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        F.posexplode(F.split(F.col(f"`{text}`"), "\n", -1)).alias("at", "line"),
-    )
-    rows = rows.select("r", "doc_id", "at", _masked(F.col("line")).alias("line")).filter("line != ''")
+        F.posexplode(_masked(F.split(F.col(f"`{text}`"), "\n", -1))).alias("at", "line"),
+    ).filter("line != ''")
     n = (F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "))) + 1).alias("n")
     rows = rows.select("*", n)
     leaf = F.xxhash64("n", F.substring_index("line", " ", DEPTH)).alias("leaf")
