@@ -69,7 +69,11 @@ def pareto(
     running = running_sum(df, value, partition).withColumnRenamed("running", "cumulative_sales")
     totals = df.groupBy(*total_partition).agg(F.sum(value).alias("total_sales_portfolio"))
     (totals,) = size_checked(totals)
-    out = join_null_safe(df, running, [*partition, value])
+    # Most keywords of a portfolio may sell nothing: they have one result per group, a small
+    # side of its own that a hot group's rows needn't be sorted for.
+    keys, idle = [*partition, value], F.coalesce(F.col(value), F.lit(0)) == 0
+    out = join_null_safe(df.filter(~idle), running.filter(~idle), keys)
+    out = out.unionByName(join_null_safe(df.filter(idle), running.filter(idle), keys))
     out = join_null_safe(out, totals, total_partition)
     share = F.try_divide(
         F.col("cumulative_sales").cast("double"), F.col("total_sales_portfolio").cast("double")

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adloom.functions.calendar import Period, day_periods, month_periods
+from adloom.functions.calendar import Period, day_periods, in_any, month_periods
 from adloom.functions.text import starred_keyword
 from adloom.operators.canonical import canonical_fact, with_match_type
 from adloom.operators.cleaning import move_column
@@ -42,17 +42,24 @@ def report_periods(as_of: date, months: int = 4) -> list[Period]:
     return day_periods(as_of) + month_periods(as_of, months)
 
 
+# Stands for a null key, so that sums and descriptions can meet by plain equality.
+_NO_KEY = "\u0000"
+
+
 def keyword_sums(fact: DataFrame, periods: list[Period]) -> DataFrame:
-    """Period sums per keyword with one description each.
+    """Period sums per keyword with one description each: the first, in order, of the periods' rows.
 
-    The wide hash aggregate groups by key and description together; the few keys
-    with several descriptions are merged afterwards, taking the first in order.
+    The wide sums are exchanged once, by a hash aggregate on the keys alone. Descriptions
+    are a narrow aggregate by the same keys, so the two meet where they are; the narrow
+    side is hashed and the wide rows are not sorted.
     """
-    sums = period_sums(fact, periods, [*KEYS, *DESCRIPTION])
-    names = [f"{m}_{p.name}" for p in periods for m in MEASURES]
+    held = fact.withColumns({k: F.coalesce(k, F.lit(_NO_KEY)) for k in KEYS})
+    sums = period_sums(held, periods, KEYS)
     first = F.min(F.struct(*DESCRIPTION)).alias("__first")
-    merged = sums.groupBy(*KEYS).agg(first, *[F.expr(f"sum({c}) as {c}") for c in names])
-    return merged.selectExpr(*KEYS, "__first.*", *names)
+    described = held.filter(in_any(periods)).groupBy(*KEYS).agg(first).hint("shuffle_hash")
+    names = [f"{m}_{p.name}" for p in periods for m in MEASURES]
+    keys = [f"nullif({k}, '\\u0000') as {k}" for k in KEYS]
+    return sums.join(described, KEYS).selectExpr(*keys, "__first.*", *names)
 
 
 def keyword_base(

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from adloom import catalog, fixtures
 from adloom.functions.calendar import day_periods, month_periods
-from adloom.operators import dedupe, enrich, masking, periods, strategy
-from adloom.plans import campaign
+from adloom.operators import canonical, dedupe, enrich, masking, periods, strategy
+from adloom.plans import campaign, keyword
 from check import compare
 
 NAMES = sorted(catalog.QUERIES)
@@ -91,6 +91,16 @@ def test_tenant_filter_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(ACCOUNT NAME,a)" in plan_of(masked) or "EqualTo(`ACCOUNT NAME`,a)" in plan_of(masked)
 
 
+def test_keyword_report_sums_take_one_wide_shuffle(spark, views):
+    periods = keyword.report_periods(fixtures.AS_OF)
+    plan = plan_of(keyword.keyword_sums(canonical.with_match_type(views.fact()), periods))
+    # One exchange of the sums, one of the descriptions; no third one joins them.
+    assert plan.count("Exchange hashpartitioning(account_name") == 2
+    wide = [line for line in plan.splitlines() if "Aggregate" in line and "sum(" in line]
+    assert wide and not any("SortAggregate" in line for line in wide)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_keyed_pick_is_limited_before_the_shuffle(spark, views):
     assert "WindowGroupLimit" in plan_of(enrich.ads_dim(views.ads))
     assert "WindowGroupLimit" in plan_of(dedupe.latest_bids(views.bid_values))
