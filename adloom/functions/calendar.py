@@ -42,17 +42,18 @@ def _month(as_of: date, back: int) -> date:
 
 
 def month_periods(as_of: date, n: int = 4) -> list[Period]:
-    """The month of ``as_of`` and the months before it, newest first."""
-    if not 1 <= n <= 12:
-        raise ValueError("month names repeat after twelve months")
-    return [
-        Period(
-            MONTHS[_month(as_of, back).month - 1],
-            _month(as_of, back),
-            _month(as_of, back - 1) - timedelta(days=1),
-        )
-        for back in range(n)
-    ]
+    """The month of ``as_of`` and the months before it, newest first.
+
+    Named ``MMM``; of more than twelve months, whose names repeat, ``MMM_yyyy``.
+    """
+    if n < 1:
+        raise ValueError("at least one month is needed")
+
+    def name(first: date) -> str:
+        return MONTHS[first.month - 1] + (f"_{first.year}" if n > 12 else "")
+
+    starts = [_month(as_of, back) for back in range(-1, n)]
+    return [Period(name(s), s, after - timedelta(days=1)) for after, s in zip(starts, starts[1:])]
 
 
 def in_any(periods: list[Period], day: str = "date") -> str:

@@ -62,7 +62,7 @@ def currency_number(col: Column | str) -> Column:
     text = _col(col)
     for mark in CURRENCY_MARKS:
         text = F.replace(text, F.lit(mark), F.lit(""))
-    return F.when(text.rlike(NUMBER), text.try_cast("double")).try_cast("bigint")
+    return F.when(text.rlike(NUMBER), text.try_cast("decimal(38,18)")).try_cast("bigint")
 
 
 def quote_regex(col: Column | str) -> Column:

@@ -177,6 +177,11 @@ def test_parse_lakh_crore(spark):
     assert one(spark, "x string", values, text.parse_lakh_crore("x")) == [0.0, 0.0, 150000.0, 2e7, 12.25, None, None]
 
 
+def test_currency_number_keeps_every_digit(spark):
+    values = ["9007199254740993", "₹9,007,199,254,740,993", "1.9999999"]
+    assert one(spark, "x string", values, text.currency_number("x")) == [9007199254740993, 9007199254740993, 1]
+
+
 def test_currency_number(spark):
     values = ["₹1,200", "Rs.50", "12.9", "-3", "12d", "NaN", "", "free", None]
     assert one(spark, "x string", values, text.currency_number("x")) == [1200, 50, 12, -3, None, None, None, None, None]
@@ -210,8 +215,10 @@ def test_month_periods_cross_the_year():
         ("Dec", date(2023, 12, 1), date(2023, 12, 31)),
         ("Nov", date(2023, 11, 1), date(2023, 11, 30)),
     ]
+    long = [p.name for p in calendar.month_periods(date(2024, 2, 10), 14)]
+    assert (long[0], long[1], long[12], long[13]) == ("Feb_2024", "Jan_2024", "Feb_2023", "Jan_2023")
     with pytest.raises(ValueError):
-        calendar.month_periods(date(2024, 2, 10), 13)
+        calendar.month_periods(date(2024, 2, 10), 0)
 
 
 def test_calendars(spark):
