@@ -267,7 +267,7 @@ def remove_repeats(
         for b, a, e in _groups(bucket):
             sizes = batch.count[stand[a:e]]
             held = batch.data[_ragged(batch.first[stand[a:e]], sizes + length - 1)]
-            rows.append((b, key[0].as_py(), sizes.astype(np.uint8).tobytes(), packer.compress(held.tobytes())))
+            rows.append((b, key[0].as_py(), sizes.astype(np.uint32).tobytes(), packer.compress(held.tobytes())))
         return pa.table(
             {
                 "bucket": pa.array([r[0] for r in rows], pa.int32()),
@@ -284,7 +284,7 @@ def remove_repeats(
         numbers = []
         for i in order.tolist():
             number = table.column("batch")[i].as_py()
-            sizes = np.frombuffer(table.column("sizes")[i].as_py(), np.uint8).astype(np.int64)
+            sizes = np.frombuffer(table.column("sizes")[i].as_py(), np.uint32).astype(np.int64)
             held = np.frombuffer(unpacker.decompress(table.column("strings")[i].as_py()), np.uint8)
             sums, down = prefix_hash(held, EXACT)
             whole = np.cumsum(sizes + length - 1)

@@ -40,7 +40,7 @@ def corpus(seed):
     return list(zip(ids, texts, strict=True)) + [(ids[5], texts[9]), (None, texts[12]), (None, texts[12]), (None, None)]
 
 
-@pytest.mark.parametrize(("length", "batch", "piece"), [(50, 3000, 1 << 19), (50, 1 << 20, 700), (33, 2000, 1 << 19)])
+@pytest.mark.parametrize(("length", "batch", "piece"), [(50, 3000, 1 << 19), (50, 1 << 20, 700), (33, 2000, 1 << 19), (300, 4000, 2000)])
 def test_equals_every_window(spark, monkeypatch, length, batch, piece):
     monkeypatch.setattr(suffixes, "PIECE", piece)
     rows = corpus(length + batch)
