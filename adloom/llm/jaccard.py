@@ -177,9 +177,11 @@ def _prefixes(df: DataFrame, k: int, num: int, den: int, common: Broadcast, buck
             key = np.concatenate([p[0] for p in parts])
             node = np.repeat(np.array([p[1] for p in parts], np.int64), sizes)
             about = np.repeat(np.array([p[2] * 2 + p[3] for p in parts], np.int64), sizes)
-            order = np.argsort(key)
+            # Prefixes hold the least ranks, so the key itself would fill few buckets.
+            bucket = (mix(key) >> shift).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
             packed = np.stack([key.view(np.int64), node, about])[:, order]
-            bucket = (key[order] >> shift).astype(np.int64)
+            bucket = bucket[order]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             ends = [0, *cuts.tolist(), len(bucket)]
             rows = [(bucket[a], packed[:, a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -260,39 +262,70 @@ def _lists(num: int, den: int):
 
 
 def _crossing(num: int, den: int):
-    """Pairs between different components within each block or pair of blocks of a list."""
+    """Candidates between different components among the lists of one first node.
+
+    The lists of a group of versions nearly all meet here. For one node at a time its fellows
+    are counted over all its lists; a pair is passed on if the tokens shared here, with all
+    that either node could still share in other lists, suffice under both orders.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        names = ["key", "lo", "hi", "block", "node", "about", "root"]
+        names = ["head", "parts", "lo", "hi", "key", "block", "node", "about", "root", "left_first", "left_second"]
         col = {c: table.column(c).to_numpy() for c in names}
-        order = np.lexsort((col["node"], col["hi"], col["lo"], col["key"]))
+        order = np.lexsort((col["node"], col["key"], col["hi"], col["lo"], col["parts"], col["head"]))
         col = {c: v[order] for c, v in col.items()}
-        new = np.zeros(len(order), bool)
-        new[0] = True
-        for c in ("key", "lo", "hi"):
-            new[1:] |= col[c][1:] != col[c][:-1]
-        at = [*np.flatnonzero(new).tolist(), len(order)]
-        node, root, size, second = col["node"], col["root"], col["about"] >> 1, col["about"] & 1
-        found: list[tuple] = []
+        cuts = np.zeros(len(order), bool)
+        cuts[0] = True
+        for c in ("head", "parts", "lo", "hi"):
+            cuts[1:] |= col[c][1:] != col[c][:-1]
+        at = [*np.flatnonzero(cuts).tolist(), len(order)]
+        parts = []
         for a, b in zip(at[:-1], at[1:], strict=True):
-            if (root[a:b] == root[a]).all():
-                continue
-            left = right = np.arange(a, b)
-            if col["lo"][a] != col["hi"][a]:
-                left = left[col["block"][a:b] == col["lo"][a]]
-                right = right[col["block"][a:b] == col["hi"][a]]
-            for i in left.tolist():
-                j = right[right > i] if col["lo"][a] == col["hi"][a] else right
-                j = j[root[j] != root[i]]
-                j = j[_close(size[i], size[j], num, den)]
-                found.append((np.full(len(j), i), j))
+            if (col["root"][a:b] != col["root"][a]).any():
+                parts.append(_meetings({c: v[a:b] for c, v in col.items()}, num, den))
         none = np.zeros(0, np.int64)
-        i, j = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (none, none)
-        return _pair_table(node[i], node[j], second[j], _need(size[i], size[j], num, den), np.zeros(len(i), np.int64))
+        x, y, first, second, need = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else [none] * 5
+        return _found(0, x, y, first, second, need, np.zeros(len(x), np.int64))
 
     return run
 
 
+def _meetings(col: dict[str, np.ndarray], num: int, den: int) -> tuple[np.ndarray, ...]:
+    """Pairs ``(x, y)`` of one group of lists with the tokens they share there under each order."""
+    nodes, one, place = np.unique(col["node"], return_index=True, return_inverse=True)
+    size, root, block = col["about"][one] >> 1, col["root"][one], col["block"][one]
+    second = (col["about"] & 1).astype(bool)
+    starts = np.flatnonzero(np.concatenate(([True], col["key"][1:] != col["key"][:-1])))
+    ends = np.append(starts[1:], len(place))
+    list_of = np.repeat(np.arange(len(starts)), ends - starts)
+    other = np.stack([col["left_first"][one], col["left_second"][one]])
+    other -= np.stack([np.bincount(place[~second], minlength=len(nodes)), np.bincount(place[second], minlength=len(nodes))])
+    split = col["lo"][0] != col["hi"][0]
+    mine = np.argsort(place, kind="stable")
+    own_at = np.concatenate(([0], np.cumsum(np.bincount(place, minlength=len(nodes)))))
+    found = []
+    for i in range(len(nodes)):
+        if split and block[i] != col["lo"][0]:
+            continue
+        entries = mine[own_at[i] : own_at[i + 1]]
+        shared = []
+        for order in (False, True):
+            lists = list_of[entries[second[entries] == order]]
+            members = [place[starts[k] : ends[k]] for k in lists.tolist()]
+            shared.append(np.bincount(np.concatenate(members), minlength=len(nodes)) if members else np.zeros(len(nodes), np.int64))
+        j = np.flatnonzero((shared[0] + shared[1] > 0) & (root != root[i]) & _close(size, size[i], num, den))
+        j = j[block[j] == col["hi"][0]] if split else j[j > i]
+        need = np.maximum(_need(size[j], size[i], num, den), 1)
+        for order in (0, 1):
+            most = shared[order][j] + np.minimum(other[order][j], other[order][i])
+            j, need = j[most >= need], need[most >= need]
+        if len(j):
+            lo, hi = np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])
+            found.append((lo, hi, shared[0][j], shared[1][j], need))
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (none,) * 5
+
+
 def _linked(df: DataFrame, pairs: DataFrame, nodes: DataFrame, k: int, num: int, den: int, name: str) -> DataFrame:
     """``(x, y, linked)`` for each pair, by comparing the whole sets."""
     pairs = materialize(pairs.select("x", "y"), f"{name}-pairs")
@@ -394,13 +427,17 @@ def near_duplicates(
         F.col("second").alias("long"),
         F.col("need").alias("head"),
     )
-    held = held.join(roots, "node", "left").select("key", "node", "about", "long", "head", root)
-    parts = F.ceil(F.col("long") / BLOCK).cast("int")
-    held = held.withColumn("block", F.pmod(F.xxhash64("node"), parts).cast("int"))
-    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    # Tokens of a node that any other has, under each order: a bound of what it can share.
+    two = lists.filter("kind = 0 and anchor = 0").select(F.explode(F.array("x", "y")).alias("node"), "first", "second")
+    ones = held.select("node", (1 - F.col("about") % 2).alias("first"), (F.col("about") % 2).alias("second"))
+    sharing = two.union(ones).groupBy("node").agg(F.sum("first").alias("left_first"), F.sum("second").alias("left_second"))
+    held = held.join(sharing.join(roots, "node", "left"), "node")
+    held = held.select("key", "node", "about", "long", "head", root, "left_first", "left_second")
+    held = held.withColumn("parts", F.ceil(F.col("long") / BLOCK).cast("int"))
+    held = held.withColumn("block", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     held = held.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    held = held.withColumn("bucket", F.pmod(F.xxhash64("head", "lo", "hi"), F.lit(buckets)))
-    held = held.select("bucket", "key", "lo", "hi", "block", "node", "about", "root")
+    held = held.withColumn("bucket", F.pmod(F.xxhash64("head", "parts", "lo", "hi"), F.lit(buckets))).drop("other", "long")
     late = held.groupBy("bucket").applyInArrow(_crossing(num, den), _FOUND)
     late = late.select("x", "y", "first", "second", "need")
     late = late.union(met.filter("anchor = 0").select("x", "y", "first", "second", "need"))
