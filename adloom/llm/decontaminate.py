@@ -1,12 +1,11 @@
-"""Benchmark items inside documents: size-partitioned MinHash containment search, verified exactly.
+"""Benchmark items inside documents: exact containment search by prefixes of the items.
 
-Items are partitioned by the size of their shingle set (powers of two). Each partition
-keeps as many least hashed shingles of an item as its size asks for: with containment
-``t`` an item of ``n`` shingles lacks at most ``(1 - t) n`` of them, so one more than that
-cannot all be missing from a document that holds it; partitions of large items stop where
-random ones miss with a chance under ``MISS``. A long document is probed with every one
-of its shingles, so its length doesn't blunt the search as it would in a sketch of the
-whole document. Candidates are then compared by all shingles.
+Each item keeps the rarest shingles of its set, as many as its size asks for: with
+containment ``t`` an item of ``n`` shingles lacks at most ``(1 - t) n`` of them, so one more
+than that cannot all be missing from a document that holds it, whichever they are. A
+long document is probed with every one of its shingles, so its length doesn't blunt the
+search as it would in a sketch of the whole document. Candidates are then compared by
+all shingles.
 
 Everything is DataFrame expressions: shingles are numbers made of five word hashes in the
 rows that ``explode`` streams into a hash join; only hits are shuffled.
@@ -14,14 +13,11 @@ rows that ``explode`` streams into a hash join; only hits are shuffled.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.operators.joins import size_checked
 
-MISS = 1e-9
 WORDS = 5
 
 
@@ -40,10 +36,8 @@ def _shingles(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _kept_hashes(size: Column, num: int, den: int) -> Column:
-    """Least hashes kept in the size partition that begins at the power of two below ``size``."""
-    top = F.pow(F.lit(2), F.floor(F.log2(size)) + 1) - 1
-    enough = math.ceil(math.log(MISS) / math.log(1 - num / den)) if num < den else 1
-    return F.least(F.floor(top * (den - num) / den) + 1, F.lit(enough)).cast("int")
+    """Shingles of an item that cannot all be missing from a document that contains it."""
+    return (F.floor(size * (den - num) / den) + 1).cast("int")
 
 
 def _documents(df: DataFrame, id_col: str, text: str) -> DataFrame:

@@ -60,3 +60,18 @@ def test_empty(spark):
     assert find_contaminated(df, bench.limit(0)).collect() == []
     assert drop_contaminated(df, bench.limit(0)).collect() == [(1, "a b c d e f")]
     assert drop_contaminated(df, bench).collect() == []
+
+
+@pytest.mark.parametrize("num", [80, 60])
+def test_items_with_one_passage_and_own_questions(spark, num):
+    rng = random.Random(9)
+    text = lambda n: " ".join(f"w{rng.randrange(100000)}" for _ in range(n))
+    passage = text(130)
+    items = [(i, f"{passage} {text(rng.randrange(14, 24))}") for i in range(12)]
+    rows = [(1, passage), (2, f"{text(40)} {passage} {text(300)}"), (3, items[4][1]), (4, text(200)), (5, passage[:300])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(rows, items, num, 100)
+    assert len(want) == 36
+    assert sorted(map(tuple, find_contaminated(df, bench, num=num).collect()), key=repr) == want
+    assert [r["doc_id"] for r in drop_contaminated(df, bench, num=num).orderBy("doc_id").collect()] == [4, 5]
