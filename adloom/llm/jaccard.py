@@ -75,8 +75,8 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _survey(df: DataFrame, k: int) -> DataFrame:
-    """Per row its node and set size (``kind`` 0), and locally repeated tokens with counts (``kind`` 1)."""
-    schema = "kind int, doc_id long, node long, n long"
+    """Per row its node, set size and key (``kind`` 0), and locally repeated tokens with counts (``kind`` 1)."""
+    schema = "kind int, doc_id long, node long, n long, row long"
 
     def flush(seen: list[np.ndarray]) -> pa.RecordBatch:
         tokens, counts = np.unique(np.concatenate(seen), return_counts=True)
@@ -88,8 +88,9 @@ def _survey(df: DataFrame, k: int) -> DataFrame:
                 pa.nulls(n, pa.int64()),
                 _signed(tokens[often]),
                 pa.array(counts[often].astype(np.int64)),
+                pa.nulls(n, pa.int64()),
             ],
-            names=["kind", "doc_id", "node", "n"],
+            names=["kind", "doc_id", "node", "n", "row"],
         )
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,8 +105,9 @@ def _survey(df: DataFrame, k: int) -> DataFrame:
                     batch.column(0),
                     pa.array(nodes, pa.int64()),
                     pa.array(sizes, pa.int64()),
+                    batch.column(2),
                 ],
-                names=["kind", "doc_id", "node", "n"],
+                names=["kind", "doc_id", "node", "n", "row"],
             )
             seen += sets
             held += sum(sizes)
@@ -330,9 +332,9 @@ def _linked(df: DataFrame, pairs: DataFrame, nodes: DataFrame, k: int, num: int,
     """``(x, y, linked)`` for each pair, by comparing the whole sets."""
     pairs = materialize(pairs.select("x", "y"), f"{name}-pairs")
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    owners = nodes.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    owners = nodes.join(wanted, "node").groupBy("node").agg(F.min("row").alias("row")).select("row").distinct()
     owners, small = stored(owners, f"{name}-owners")
-    texts = df.join(F.broadcast(owners) if small else owners, "doc_id", "left_semi")
+    texts = df.join(F.broadcast(owners) if small else owners, "row", "left_semi").select("doc_id", "text")
 
     def sets(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(found):
@@ -391,9 +393,10 @@ def near_duplicates(
     """
     spark = df.sparkSession
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    survey = materialize(_survey(docs, k), "join-survey")
+    keyed = docs.withColumn("row", F.xxhash64("doc_id", "text"))
+    survey = materialize(_survey(keyed, k), "join-survey")
     rows = survey.filter("kind = 0").select("doc_id", "node", F.col("n").alias("n_shingles"))
-    nodes = rows.filter("node is not null")
+    nodes = survey.filter("kind = 0 and node is not null").select("doc_id", "node", "row")
 
     often = survey.filter("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON)
     often = often.orderBy(F.desc("n"), "node").limit(COMMON_KEPT).toPandas()  # bounded; steers the order only
@@ -413,7 +416,7 @@ def near_duplicates(
     n = F.col("first") + F.col("second")
     best = both.filter("anchor = 1").groupBy("y").agg(F.max_by("x", F.struct(n, "x")).alias("x")).select("x", "y")
     first = both.filter("anchor = 0").select("x", "y").union(best).distinct()
-    tried = _linked(docs, first, nodes, k, num, den, "join-1")
+    tried = _linked(keyed, first, nodes, k, num, den, "join-1")
     links = tried.filter("linked").select("x", "y")
     roots = materialize(connected_components(links, "join-roots"), "join-roots")
 
@@ -451,10 +454,10 @@ def near_duplicates(
     nearest = Window.partitionBy("node").orderBy(F.desc("n"), "other")
     ends = ends.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= NEAREST)
     near = ends.select(F.least("node", "other").alias("x"), F.greatest("node", "other").alias("y")).distinct()
-    tried = _linked(docs, near, nodes, k, num, den, "join-2")
+    tried = _linked(keyed, near, nodes, k, num, den, "join-2")
     roots = _joined(roots, tried)
     rest = _between(late.join(tried, ["x", "y"], "left_anti"), roots)
-    roots = _joined(roots, _linked(docs, rest, nodes, k, num, den, "join-3"))
+    roots = _joined(roots, _linked(keyed, rest, nodes, k, num, den, "join-3"))
 
     firsts = nodes.groupBy("node").agg(F.min("doc_id").alias("first"))
     firsts = firsts.join(roots, "node", "left").select("node", "first", root)

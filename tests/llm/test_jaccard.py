@@ -49,6 +49,19 @@ def test_edges(spark):
     assert jaccard.near_duplicates(df.limit(0)).collect() == []
 
 
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_copies_without_an_id(spark, seed):
+    rows = [(None if i % 3 else doc, text) for i, (doc, text) in enumerate(corpus(seed))]
+    base = [f"v{i}" for i in range(100)]
+    texts = [[*(f"x{n}" for n in range(i)), *base[i:]] for i in (0, 7, 14)]
+    rows += [(9000, " ".join(texts[0])), (None, " ".join(texts[1])), (9001, " ".join(texts[2]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in jaccard.near_duplicates(df, k=4, num=80, den=100).collect()]
+    assert sorted(got, key=lambda r: tuple(map(str, r))) == jaccard_components(rows, 4, 80, 100)
+    assert {c for doc, _, c in got if doc in (9000, 9001)} == {9000}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3), (200, 201)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(chain, "x long, y long")).collect()}
