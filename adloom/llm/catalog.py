@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.chains import find_passages
+from adloom.llm.clusters import cluster_vectors
+from adloom.llm.codes import compress_vectors
 from adloom.llm.decontaminate import find_contaminated
 from adloom.llm.jaccard import near_duplicates
 from adloom.llm.licenses import NOTICES, scan_licenses
 from adloom.llm.linecrf import fit_lines, judge_lines
 from adloom.llm.pieces import encode_nbest
+from adloom.llm.simhash import near_fingerprints
 from adloom.llm.suffixes import remove_repeats
 from adloom.llm.templates import DEPTH, MIN_SAME, drop_templates
 from adloom.llm.tokens import prefix_token_counts
@@ -117,6 +120,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *names, "content_words", F.size("boilerplate_lines").alias("n_boilerplate_lines"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after five rounds from forty hashed starting points."""
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, seed="2:")
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every whole document, and the components of fingerprints within two bits."""
+    return near_fingerprints(_table(spark, sf_dir, "documents"), k=3, most=2)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector from eight codebooks of sixteen entries, trained for six rounds."""
+    return compress_vectors(_table(spark, sf_dir, "embeddings"), dims=64, parts=8, entries=16, rounds=6, scale=4096)
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -128,6 +146,9 @@ QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality_rules": op10_quality_rules,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 SQL: dict[str, str] = {}
@@ -265,3 +286,67 @@ select d.doc_id, coalesce(k.n_lines, 0) as n_lines, coalesce(k.n_dropped, 0) as
   case when d.text is not null then sha256(coalesce(k.text, '')) end as kept_sha256
 from documents d left join kept k on k.doc_id = d.doc_id
 """
+
+_FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+
+def _whole(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: cast(floor({scale} * cast(x as double)) as bigint))"
+
+
+def _squared(a: str, b: str, n: int) -> str:
+    return f"list_sum(list_transform(range(1, {n + 1}), lambda i: ({a}[i] - {b}[i]) * ({a}[i] - {b}[i])))"
+
+
+def _floored(total: str, n: str) -> str:
+    return f"cast(({total} - (({total} % {n}) + {n}) % {n}) // {n} as bigint)"
+
+
+def _clusters_sql(k: int, rounds: int, dims: int, scale: int) -> str:
+    """Lloyd's rounds one after another, every vector against every centroid."""
+    steps = [
+        f"v as materialized (select vec_id, {_whole(scale)} as v from embeddings where len(embedding) = {dims} and {_FINITE})",
+        f"""c0 as materialized (select row_number() over (order by h) - 1 as c, v from (
+          select v, sha256('2:' || vec_id) as h from v order by h limit {k}))""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} as materialized (select vec_id, v, c, d from (select v.vec_id, v.v, c, {_squared("v.v", "k.v", dims)} as d
+          from v cross join c{r} k) qualify row_number() over (partition by vec_id order by d, c) = 1)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} as materialized (select k.c, coalesce(m.v, k.v) as v from c{r} k left join (
+              select c, list(x order by i) as v from (select c, i, {_floored("sum(v[i])", "count(*)")} as x
+                from (select c, v, unnest(range(1, {dims + 1})) as i from a{r}) group by c, i) group by c) m on m.c = k.c)""")
+    return f"""with {", ".join(steps)}
+      select a.vec_id, cast(a.c as int) as cluster, cast(a.d as bigint) as distance,
+        cast(sum(a.d) over (partition by a.c) as bigint) as cluster_inertia, cast(sum(a.d) over () as bigint) as inertia,
+        sha256(array_to_string(k.v, ',')) as centroid_sha256
+      from a{rounds} a join c{rounds} k on k.c = a.c"""
+
+
+def _codes_sql(parts: int, entries: int, rounds: int, dims: int, scale: int) -> str:
+    """Every part against every entry of its codebook, round by round."""
+    width = dims // parts
+    steps = [
+        f"w as materialized (select vec_id, label, {_whole(scale)} as v from embeddings where len(embedding) = {dims} and {_FINITE})",
+        f"v as materialized (select vec_id, p, v[p * {width} + 1:(p + 1) * {width}] as v from (select vec_id, v, unnest(range({parts})) as p from w))",
+        f"""b0 as materialized (select p, dense_rank() over (order by vec_id) - 1 as e, v from v
+          where vec_id in (select vec_id from w order by vec_id limit {entries}))""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} as materialized (select vec_id, p, v, e, d from (select v.vec_id, v.p, v.v, b.e, {_squared("v.v", "b.v", width)} as d
+          from v join b{r} b on b.p = v.p) qualify row_number() over (partition by vec_id, p order by d, e) = 1)""")
+        if r < rounds:
+            steps.append(f"""b{r + 1} as materialized (select b.p, b.e, coalesce(m.v, b.v) as v from b{r} b left join (
+              select p, e, list(x order by i) as v from (select p, e, i, {_floored("sum(v[i])", "count(*)")} as x
+                from (select p, e, v, unnest(range(1, {width + 1})) as i from a{r}) group by p, e, i) group by p, e) m on m.p = b.p and m.e = b.e)""")
+    return f"""with {", ".join(steps)}, f as (
+        select vec_id, string_agg(printf('%02x', cast(e as int)), '' order by p) as code, cast(sum(d) as bigint) as error
+        from a{rounds} group by vec_id
+      )
+      select f.vec_id, f.code, f.error, cast(sum(f.error) over (partition by w.label) as bigint) as label_error,
+        (select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) from b{rounds}) as codebooks_sha256
+      from f join w on w.vec_id = f.vec_id"""
+
+
+SQL["op11_centroid_clustering"] = _clusters_sql(k=40, rounds=5, dims=64, scale=256)
+SQL["op13_vector_codes"] = _codes_sql(parts=8, entries=16, rounds=6, dims=64, scale=4096)
