@@ -120,11 +120,33 @@ def test_brand_names_skip_blanks(spark, rows):
 
 def test_brand_flags_are_null_without_brands(spark, rows):
     words = spark.createDataFrame([("a", "a RED old (BOLT"), ("a", None), ("b", "blue"), ("c", "x")], "account_name string, keyword string")
-    flagged = strategy.with_brand_flags(words, strategy.account_brands(spark.createDataFrame(COMPETITORS, COMPETITOR_SCHEMA)))
+    brands = strategy.account_brands(spark.createDataFrame(COMPETITORS, COMPETITOR_SCHEMA))
+    flagged = strategy.with_brand_flags(words, strategy.name_index(brands))
     assert rows(flagged) == [("a", "a RED old (BOLT", True, True), ("a", None, None, None), ("b", "blue", None, True), ("c", "x", None, None)]
     assert "RLIKE" not in flagged._jdf.queryExecution().toString()
 
 
+def test_names_are_looked_up_at_a_cost_of_the_keyword(spark):
+    """Ten thousand names of one account give a keyword no more parts to look up than ten do."""
+    rng = random.Random(4)
+    letters = "abcdefgh"
+    names = sorted({"".join(rng.choices(letters, k=rng.choice([4, 5, 6]))) for _ in range(12_000)})[:10_000]
+    keywords = ["".join(rng.choices(letters + " ", k=rng.randrange(0, 40))) for _ in range(300)]
+    words = spark.createDataFrame([("a", k) for k in keywords], "account_name string, keyword string")
+    for some in (names[:10], names):
+        brands = spark.createDataFrame([("a", n.upper(), i % 2 == 0) for i, n in enumerate(some)], "account_name string, name string, own boolean")
+        index = strategy.name_index(brands)
+        parts = strategy.keyword_parts(words, index[1])
+        assert parts.count() <= 3 * sum(max(1, len(k)) for k in set(keywords))
+        got = {r.keyword: (r.bd_brand, r.ba_brand) for r in strategy.brand_flags(words, index).collect()}
+        assert got == {k: tuple(any(n in k for n in some[i::2]) for i in (0, 1)) for k in keywords}
+
+
+def test_a_name_that_an_alias_makes_blank_is_left_out(spark, rows):
+    df = spark.createDataFrame(COMPETITORS, COMPETITOR_SCHEMA)
+    assert rows(strategy.brand_names(df, "our_brand_name", {"Red": ""})) == []
+
+
 @pytest.mark.parametrize(
     "account, keyword, expected",
     [
@@ -301,6 +323,80 @@ def test_rule_ranges_are_half_open_and_unknown_columns_ignored(spark):
     assert _bids(spark, [], data) == [None] * 4
 
 
+def _first_bid(row, rule_list):
+    """Plain version: the first rule that applies and gives a bid."""
+    account, portfolio, cpc, ratio, n = row
+    seen = {"Acos_ratio": ratio or 0.0, "n": float(n or 0)}
+    for rule in rule_list:
+        listed = [p.strip() for p in (rule["portfolio_name"] or "").lower().split(",") if p.strip()]
+        if rule["account_name"] not in (None, account) or listed and (portfolio or "").strip().lower() not in listed:
+            continue
+        for i in (1, 2):
+            name, start, end = (rule[f"{i}_{k}"] for k in ("column_filter", "start", "end"))
+            if name in seen and not (start is None or seen[name] >= float(start)):
+                break
+            if name in seen and not (end is None or seen[name] < float(end)):
+                break
+        else:
+            if rule["cpc_column_name"] == "CPC" and cpc is not None:
+                return round(cpc * (1 + float(rule["bid_change"]) / 100), 9)
+    return None
+
+
+def test_rules_of_one_account_match_a_plain_version(spark):
+    rng = random.Random(9)
+
+    def bound(top):
+        return rng.choice([None, str(rng.randrange(top))])
+
+    def ranges():
+        out = {}
+        for i in (1, 2):
+            out |= {f"{i}_column_filter": rng.choice(["Acos_ratio", "n", "gone", None]), f"{i}_start": bound(30), f"{i}_end": bound(30)}
+        return out
+
+    rule_list = [
+        _rule(account_name=rng.choice(["a", "b", None]), portfolio_name=rng.choice([None, "x", "x,y"]),
+              cpc_column_name=rng.choice(["CPC", "CPC", "no"]), bid_change=str(i), **ranges())
+        for i in range(60)
+    ]
+    data = [
+        (rng.choice(["a", "b", "c", None]), rng.choice(["x", "Y ", "z", None]), rng.choice([1.0, None]), rng.choice([None, *range(30)]), rng.randrange(30))
+        for _ in range(400)
+    ]
+    data = [(a, p, c, None if r is None else float(r), n) for a, p, c, r, n in data]
+    got = [None if b is None else round(b, 9) for b in _bids(spark, rule_list, data)]
+    assert got == [_first_bid(row, rule_list) for row in data]
+    assert len(set(got)) >= 10
+
+
+def test_ten_thousand_rules_of_one_account(spark):
+    """Each row meets the few rules whose narrowest range holds it, and carries none of them."""
+    rule_list = [
+        _rule(account_name="a", bid_change=str(i), **{"1_column_filter": "n", "1_start": str(i), "1_end": str(i + 2), "2_column_filter": "Acos_ratio", "2_start": "0.5", "2_end": None})
+        for i in range(10_000)
+    ]
+    data = [("a", "x", 1.0, i % 2, i) for i in range(0, 10_000, 7)]
+    data = [(a, p, c, float(r), n) for a, p, c, r, n in data]
+    got = _bids(spark, rule_list, data)
+    wanted = [None if r < 0.5 else 1 + max(n - 1, 0) / 100.0 for _, _, _, r, n in data]
+    assert got == pytest.approx(wanted)
+    table = rules.rule_rows(_rule_table(spark, rule_list))
+    bounds = rules._bounds(table, ["Acos_ratio", "n"])
+    filed = rules.filed_rules(table, bounds, ["Acos_ratio", "n"], ["CPC"], 15)
+    assert filed.count() <= 2 * len(rule_list)
+    df = spark.createDataFrame(data, "account_name string, portfolio_name string, CPC double, Acos_ratio double, n bigint")
+    held = rules.with_intervals(df, bounds, ["Acos_ratio", "n"], ["CPC"], 15)
+    assert dict(held.dtypes)["__own"] == "array<int>" and max(len(r["__own"]) for r in held.collect()) == 2
+
+
+def test_bounds_beyond_the_limit_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(rules, "MAX_BOUNDS", 3)
+    rule_list = [_rule(**{"1_column_filter": "n", "1_start": str(i), "1_end": None}) for i in range(4)]
+    with pytest.raises(ValueError, match="4 bounds"):
+        _bids(spark, rule_list, [("a", "x", 1.0, 1.0, 1)])
+
+
 def test_cpc_over_ratio(spark):
     data = [("a", "x", 3.0, r, 1) for r in (2.0, 0.0, None, float("inf"))]
     assert _bids(spark, [_rule(bid_change="CPC/Ratio")], data) == [1.5, 3.0, 3.0, 0.0]
@@ -314,8 +410,8 @@ def test_suggest_bids_end_to_end(spark):
     rule_rows = [(1, "a", "", "Acos_ratio", "1", "", "CPC", "cpc/ratio"), (2, "a", "", "", "", "", "CPC", "no change")]
     rule_df = spark.createDataFrame(rule_rows, "rule_no int, account_name string, portfolio_name string, 1_column_filter string, 1_start string, 1_end string, cpc_column_name string, bid_change string")
     out = rules.suggest_bids(report, rule_df, "a")
-    got = [(r.Acos_ratio, r.suggested_bid) for r in out.collect()]
-    assert got == [(1.5, 1.5), (float("inf"), 0.0), (0.0, 2.0), (0.0, 2.0)]
+    got = sorted((r.Acos_ratio, r.suggested_bid) for r in out.collect())
+    assert got == [(0.0, 2.0), (0.0, 2.0), (1.5, 1.5), (float("inf"), 0.0)]
     coverage = rules.bid_coverage(out).first()
     assert (coverage.with_bid, coverage.total) == (4, 4)
 
