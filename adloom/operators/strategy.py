@@ -9,12 +9,14 @@ from adloom.functions.labels import NOT_APPLICABLE, extract_asin
 from adloom.operators.joins import size_checked, spread_nulls
 
 
+def _known(df: DataFrame, column: str) -> DataFrame:
+    """(account_name, value): the distinct values that an account has in a column."""
+    return df.filter(F.col(column).isNotNull()).select("account_name", F.col(column).alias("value")).distinct()
+
+
 def own_asins(competitors: DataFrame) -> DataFrame:
-    return (
-        competitors.select("account_name", "our_asins")
-        .filter(F.col("our_asins").isNotNull())
-        .dropDuplicates()
-    )
+    """(account_name, our_asins) of the account's own products."""
+    return _known(competitors, "our_asins").withColumnRenamed("value", "our_asins")
 
 
 def _folded(text: Column) -> Column:
@@ -27,11 +29,10 @@ def brand_names(df: DataFrame, brand_col: str, aliases: dict[str, str] | None =
 
     ``aliases`` shortens long brand names first.
     """
-    brand = F.col(brand_col)
-    names = df.filter(brand.isNotNull() & (brand != "")).select("account_name", brand.alias("name"))
+    names = _known(df, brand_col).withColumnRenamed("value", "name")
     for long, short in (aliases or {}).items():
         names = names.withColumn("name", F.replace("name", F.lit(long), F.lit(short)))
-    return names.dropDuplicates()
+    return names.filter("name != ''").distinct()
 
 
 def account_brands(competitors: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
@@ -41,29 +42,77 @@ def account_brands(competitors: DataFrame, aliases: dict[str, str] | None = None
     return own.unionByName(rival)
 
 
-def brand_flags(words: DataFrame, brands: DataFrame) -> DataFrame:
+#: Names and lengths of :func:`name_index`.
+BrandIndex = tuple[DataFrame, DataFrame]
+
+
+def name_index(brands: DataFrame) -> BrandIndex:
+    """Names to look up by account and hash, and per account the lengths names have.
+
+    (account_name, __hash, __name, __own, __rival) has one row per folded name, and
+    (account_name, __sizes, __has_own, __has_rival) one per account.
+    """
+    folded = brands.select("account_name", _folded(F.col("name")).alias("__name"), "own")
+    kinds = [F.bool_or(F.col("own")).alias("__own"), F.bool_or(~F.col("own")).alias("__rival")]
+    names = folded.groupBy("account_name", "__name").agg(*kinds)
+    sizes = folded.groupBy("account_name").agg(
+        F.array_sort(F.collect_set(F.length("__name"))).alias("__sizes"),
+        F.bool_or(F.col("own")).alias("__has_own"),
+        F.bool_or(~F.col("own")).alias("__has_rival"),
+    )
+    return names.withColumn("__hash", F.xxhash64("__name")), sizes
+
+
+def keyword_parts(words: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Distinct keywords of accounts with names, once per part that is as long as any name; null if there is none.
+
+    A keyword has at most as many parts of one length as characters, however many
+    names there are.
+    """
+    text = _folded(F.col("keyword"))
+    fitting = F.filter("__sizes", lambda n: n <= F.length(text))
+    starts = lambda n: F.sequence(F.lit(1), F.length(text) - n + 1)
+    parts = F.flatten(F.transform(fitting, lambda n: F.transform(starts(n), lambda i: F.substr(text, i, n))))
+    held = words.select("account_name", "keyword").distinct().join(sizes, "account_name")
+    return held.select(
+        "account_name", "keyword", "__has_own", "__has_rival", F.explode_outer(F.array_distinct(parts)).alias("__part")
+    )
+
+
+def brand_flags(words: DataFrame, index: BrandIndex) -> DataFrame:
     """(account_name, keyword, bd_brand, ba_brand) of distinct keywords whose account has brands.
 
-    Names are matched literally, as parts of the keyword. A flag is null where the
-    account has no brand of that kind or the keyword is null. Matches are folded
-    into two flags before the shuffle, so an account with many keywords or many
-    names is never gathered.
+    Names are matched literally, whatever the case, as parts of the keyword: its parts of the
+    lengths that names have are looked up in an index of the names, so the work grows with
+    the keyword's length and not with the number of names. A flag is null where the
+    account has no brand of that kind or the keyword is null. Matches are folded into two
+    flags before the shuffle, so an account with many keywords or many names is never gathered.
     """
-    hit = F.contains(_folded(F.col("keyword")), _folded(F.col("name")))
-    pairs = words.select("account_name", "keyword").distinct().join(brands, "account_name")
-    return pairs.groupBy("account_name", "keyword").agg(
-        F.bool_or(F.when(F.col("own"), hit)).alias("bd_brand"),
-        F.bool_or(F.when(~F.col("own"), hit)).alias("ba_brand"),
+    names, sizes = index
+    parts = keyword_parts(words, sizes).withColumn("__hash", F.xxhash64("__part"))
+    same = F.col("__part") == F.col("__name")
+    met = parts.join(names, ["account_name", "__hash"], "left").groupBy("account_name", "keyword").agg(
+        F.bool_or("__has_own").alias("__has_own"),
+        F.bool_or("__has_rival").alias("__has_rival"),
+        F.coalesce(F.bool_or(same & F.col("__own")), F.lit(False)).alias("__own"),
+        F.coalesce(F.bool_or(same & F.col("__rival")), F.lit(False)).alias("__rival"),
+    )
+    known = F.col("keyword").isNotNull()
+    return met.select(
+        "account_name",
+        "keyword",
+        F.when(known & F.col("__has_own"), F.col("__own")).alias("bd_brand"),
+        F.when(known & F.col("__has_rival"), F.col("__rival")).alias("ba_brand"),
     )
 
 
-def with_brand_flags(fact: DataFrame, brands: DataFrame) -> DataFrame:
+def with_brand_flags(fact: DataFrame, index: BrandIndex) -> DataFrame:
     """Add ``bd_brand`` and ``ba_brand``, matched once per distinct keyword of an account."""
-    flagged = fact.join(brand_flags(fact, brands), ["account_name", "keyword"], "left")
+    flagged = fact.join(brand_flags(fact, index), ["account_name", "keyword"], "left")
     return flagged.select(*[f"`{c}`" for c in fact.columns], "bd_brand", "ba_brand")
 
 
-def classify_strategy(fact: DataFrame, asins: DataFrame, brands: DataFrame) -> DataFrame:
+def classify_strategy(fact: DataFrame, asins: DataFrame, index: BrandIndex) -> DataFrame:
     """Add ``strategy``: BD for own products and brands, BA for others', else GENERIC.
 
     A missing brand leaves its flag null, which never decides a case by itself.
@@ -71,7 +120,7 @@ def classify_strategy(fact: DataFrame, asins: DataFrame, brands: DataFrame) -> D
     own = asins.select(
         F.col("account_name").alias("__acc"), F.col("our_asins").alias("__asin")
     )
-    keyed = with_brand_flags(fact, brands).withColumn("__found", extract_asin("keyword"))
+    keyed = with_brand_flags(fact, index).withColumn("__found", extract_asin("keyword"))
     # Most keywords name no product; their null key must not pile up in one task.
     key = spread_nulls(F.col("__found"), F.col("keyword"), F.col("search_term"), F.col("date"))
     joined = keyed.withColumn("__key", key).join(
@@ -86,8 +135,8 @@ def classify_strategy(fact: DataFrame, asins: DataFrame, brands: DataFrame) -> D
 
 
 def strategy_from(fact: DataFrame, competitors: DataFrame, aliases=None) -> DataFrame:
-    asins, brands = size_checked(own_asins(competitors), account_brands(competitors, aliases))
-    return classify_strategy(fact, asins, brands)
+    asins, *index = size_checked(own_asins(competitors), *name_index(account_brands(competitors, aliases)))
+    return classify_strategy(fact, asins, tuple(index))
 
 
 def campaign_strategy(fact: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from adloom.operators.strategy import (
     account_brands,
     campaign_strategy,
     classify_strategy,
+    name_index,
     own_asins,
 )
 
@@ -82,14 +83,14 @@ def campaign_report(
     factor: int = 5,
 ) -> DataFrame:
     """One row per search-term row; a narrow pass over the fact when all dimensions fit."""
-    asins, brands, latest, dim = size_checked(
+    asins, names, sizes, latest, dim = size_checked(
         own_asins(competitors),
-        account_brands(competitors, aliases),
+        *name_index(account_brands(competitors, aliases)),
         latest_bids(bids),
         campaign_dim(campaigns, portfolios, targets, ads),
     )
     fact = with_match_type(canonical_fact(sp, sb, sd).drop("kt_type"))
-    rows = classify_strategy(fact, asins, brands)
+    rows = classify_strategy(fact, asins, (names, sizes))
     rows = with_bids(rows, latest).join(dim, "campaignId", "left")
     rows = with_ratios(rows, RATIO_NAMES, digits=digits)
     rows = rows.withColumn("MATCH TYP", match_label("new_match_type")).drop("match_type")
@@ -116,10 +117,10 @@ def campaign_strategy_report(
     The campaign strategies come from a first pass over the few columns that decide
     them; their size is checked like any other dimension's.
     """
-    asins, brands, latest = size_checked(
-        own_asins(competitors), account_brands(competitors, aliases), latest_bids(bids)
+    asins, names, sizes, latest = size_checked(
+        own_asins(competitors), *name_index(account_brands(competitors, aliases)), latest_bids(bids)
     )
     fact = with_match_type(canonical_fact(sp, sb, sd).drop("kt_type"))
-    rows = classify_strategy(fact, asins, brands)
+    rows = classify_strategy(fact, asins, (names, sizes))
     (dim,) = size_checked(campaign_dim(campaigns, portfolios, targets, ads, campaign_strategy(rows)))
     return with_bids(rows, latest).join(dim, "campaignId", "left")

@@ -56,7 +56,7 @@ def test_hot_keyword_is_split(spark, low_bounds):
 def test_missing_products_are_spread(spark, low_bounds):
     asins = spark.createDataFrame([("acc", "P7")], "account_name string, our_asins string")
     brands = spark.createDataFrame([("acc", "x", True)], "account_name string, name string, own boolean")
-    out = strategy.classify_strategy(hot_fact(spark, 30_000), asins, brands)
+    out = strategy.classify_strategy(hot_fact(spark, 30_000), asins, strategy.name_index(brands))
     assert {r.strategy: r["count"] for r in out.groupBy("strategy").count().collect()} == {"BD": 600, "GENERIC": 29_400}
 
 
