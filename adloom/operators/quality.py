@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.operators.enrich import ambiguous_targets
+from adloom.operators.joins import size_checked
 from adloom.schemas import DATE, STRING, struct
-from adloom.sources.delimited import Delimited, file_headers, read_by_header
+from adloom.sinks.tables import replace_parts
+from adloom.sources.delimited import Delimited, Source, file_headers, open_lines, read_by_header
+from adloom.sources.tables import TableSource
 
 AUDIT_SCHEMA = struct(
     {"account_name": STRING, "table_name": STRING, "updated_date": DATE, "error": STRING}
@@ -18,14 +22,19 @@ AUDIT_SCHEMA = struct(
 
 
 def check_columns(
-    spark: SparkSession, paths: list[str], mandatory: list[str], sep: str = ",", skip_rows: int = 0
+    spark: SparkSession, source: Source, mandatory: list[str], sep: str = ",", skip_rows: int = 0
 ) -> DataFrame:
     """(path, status, missing, extra) per file, also of folders; valid if no mandatory column is missing.
 
     A file that names a column twice is rejected, with the names in ``missing`` if any.
     """
+    return check_headers(file_headers(spark, source, sep, skip_rows), mandatory)
+
+
+def check_headers(headers: DataFrame, mandatory: list[str]) -> DataFrame:
+    """As :func:`check_columns`, of headers that are known already."""
     needed = F.array(*map(F.lit, mandatory))
-    checked = file_headers(spark, paths, sep, skip_rows).select(
+    checked = headers.select(
         F.col("file_path").alias("path"),
         F.array_except(needed, "header").alias("missing"),
         F.array_except("header", needed).alias("extra"),
@@ -36,18 +45,22 @@ def check_columns(
 
 
 def read_valid_files(
-    spark: SparkSession, paths: list[str], schema: T.StructType, sep: str = ",", skip_rows: int = 0
+    spark: SparkSession, source: Source, schema: T.StructType, sep: str = ",", skip_rows: int = 0
 ) -> Delimited:
-    """Rows and rejected lines of the valid files, each read by its own header."""
-    checked = check_columns(spark, paths, schema.fieldNames(), sep, skip_rows)
-    names = file_headers(spark, paths, sep, skip_rows)
+    """Rows and rejected lines of the valid files, each read by its own header.
+
+    The files are scanned once; their headers are stored and shared by check and read.
+    """
+    lines = open_lines(spark, source)
+    (names,) = size_checked(file_headers(spark, lines, sep, skip_rows))
+    checked = check_headers(names, schema.fieldNames())
     valid = checked.filter("status = 'valid'").select(F.col("path").alias("file_path"))
-    return read_by_header(spark, paths, names.join(valid, "file_path", "left_semi"), schema, sep, skip_rows)
+    return read_by_header(spark, lines, names.join(valid, "file_path", "left_semi"), schema, sep, skip_rows)
 
 
-def read_valid(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+def read_valid(spark: SparkSession, source: Source, schema: T.StructType) -> DataFrame:
     """Rows of the valid files; columns beyond ``schema`` go to ``additional_columns``."""
-    return read_valid_files(spark, paths, schema).rows.drop("file_path")
+    return read_valid_files(spark, source, schema).rows.drop("file_path")
 
 
 def audit(df: DataFrame, table: str, as_of: date, accounts: DataFrame) -> DataFrame:
@@ -71,6 +84,13 @@ def audit_error(spark: SparkSession, table: str, error: Exception | str, as_of:
     return spark.createDataFrame([(None, table, as_of, str(error))], AUDIT_SCHEMA)
 
 
+def append_audit(rows: DataFrame, target: TableSource, run: str) -> None:
+    """Add the audit rows of a run to the Parquet table; a run that is repeated replaces its own rows only."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError("a run is named by letters, digits, dots, dashes and underscores")
+    replace_parts(rows.withColumn("run", F.lit(run)), target, "run", [run])
+
+
 def audit_targets(per_campaign: DataFrame, as_of: date) -> DataFrame:
     """One row per campaign with more than one target ACOS, of which the lowest is used."""
     error = F.concat(F.lit("several targets: "), F.col("campaign_name"))

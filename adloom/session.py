@@ -69,10 +69,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's path and the file system it lies on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def drop_intermediates(spark: SparkSession) -> None:
     """Delete what this application has stored; frames built on it can't be read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    path, fs = file_system(spark, _run_dir(spark))
+    fs.delete(path, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished folder in the place of another one."""
+    (old, fs), (new, _) = file_system(spark, source), file_system(spark, target)
+    fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from adloom import schemas
 from adloom.operators import quality
@@ -11,7 +12,7 @@ from adloom.schemas import INT, STRING, struct
 from adloom.session import materialize, scratch_path, shared_dir
 from adloom.sinks import tables as sinks
 from adloom.sources import tables as sources
-from adloom.sources.delimited import read_delimited
+from adloom.sources.delimited import file_headers, open_lines, read_delimited
 from adloom.sources.tables import TableSource
 from adloom.streaming.ingest import ingest_folder
 
@@ -82,6 +83,85 @@ def test_folder_of_two_layouts_is_read_by_name(spark, tmp_path, rows):
     assert quality.read_valid(spark, [str(tmp_path / "e")], SCHEMA).collect() == []
 
 
+def test_files_are_scanned_once(spark, tmp_path, rows):
+    """Headers, check and rows come from the stored lines, whatever happens to the files after the scan."""
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000b")  # files of several blocks
+        for f in range(4):
+            body = "".join(f"{i},name {f}\n" for i in range(400))
+            (tmp_path / f"{f}.csv").write_text("of,today\n" + "n,name\n" + body)
+        lines = open_lines(spark, str(tmp_path))
+        for f in range(4):
+            (tmp_path / f"{f}.csv").write_text("gone\n" * (f + 1))
+        assert {tuple(r.header) for r in file_headers(spark, lines, skip_rows=1).collect()} == {("n", "name")}
+        assert lines.numbered().filter("line_no is null").count() > 0
+        assert lines.first_block().filter("line_no = 0").count() == 4
+        found = quality.read_valid_files(spark, lines, SCHEMA, skip_rows=1).rows
+        assert found.count() == 1600 and found.filter("n is null or name is null").isEmpty()
+        sizes = {r.file_path.rsplit("/")[-1]: r["size"] for r in lines.files.collect()}
+        assert len(sizes) == 4 and min(sizes.values()) > 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_only_first_blocks_are_searched_for_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,name\n1,x\n")
+    plan = file_headers(spark, open_lines(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(head,true)" in plan
+
+
+def test_a_typed_write_evaluates_its_rows_once(spark, tmp_path):
+    evaluated = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def seen(n):
+        evaluated.add(1)
+        return n
+
+    df = spark.range(0, 500, 1, 4).select(F.lit("a").alias("name"), seen(F.col("id").cast("int")).alias("n"))
+    sinks.write_table(df, TableSource(path=str(tmp_path / "t")), schema=SCHEMA, sort=["n"])
+    assert evaluated.value == 500 and spark.read.parquet(str(tmp_path / "t")).count() == 500
+
+
+def test_nothing_is_written_if_values_do_not_fit(spark, tmp_path):
+    target = TableSource(path=str(tmp_path / "t"))
+    sinks.write_table(spark.createDataFrame([("a", 1.0)], "name string, n double"), target, schema=SCHEMA)
+    with pytest.raises(ValueError, match="'n': 1"):
+        sinks.write_table(spark.createDataFrame([("b", 3e9)], "name string, n double"), target, schema=SCHEMA)
+    assert [r.name for r in spark.read.parquet(target.path).collect()] == ["a"]
+
+
+def test_only_named_days_are_replaced(spark, tmp_path):
+    target = TableSource(path=str(tmp_path / "t"))
+    days = [date(2024, 1, d) for d in (1, 2, 3)]
+    rows = [(f"old {d}", d) for d in days for _ in range(3)] + [("none", None)]
+    df = spark.createDataFrame(rows, "name string, updated_date date")
+    sinks.write_table(df, target, partition_by=["updated_date"])
+
+    def files(of):
+        return {p for p in (tmp_path / "t").rglob("*.parquet") if of in str(p)}
+
+    before = files("")
+    new = spark.createDataFrame([("new", days[1]), ("not asked", days[0])], "name string, updated_date date")
+    sinks.refresh_days(new, target, [days[1], days[2]])
+    read = sorted((r.name, str(r.updated_date)) for r in sources.read_table(spark, target).collect())
+    assert read == [("new", "2024-01-02"), ("none", "None"), *[("old 2024-01-01", "2024-01-01")] * 3]
+    assert files("2024-01-01") <= before and files("HIVE_DEFAULT") <= before and not files("2024-01-02") & before
+    for wrong in ({}, {"partition_by": ["name"], "mode": "append"}):
+        with pytest.raises(ValueError):
+            sinks.write_table(new, target, replace_partitions=True, **wrong)
+
+
+def test_audit_rows_of_a_run_are_added_once(spark, tmp_path):
+    target = TableSource(path=str(tmp_path / "audit"))
+    for run, errors in (("r1", "ab"), ("r2", "abc"), ("r2", "c"), ("r3", "")):
+        quality.append_audit(spark.createDataFrame([("t", e) for e in errors], "table_name string, error string").repartition(2), target, run)
+    assert sorted((r.run, r.error) for r in spark.read.parquet(target.path).collect()) == [("r1", "a"), ("r1", "b"), ("r2", "c")]
+    with pytest.raises(ValueError):
+        quality.append_audit(spark.range(1), target, "a/b")
+
+
 def test_misfits_stop_a_typed_write(spark, tmp_path):
     target = TableSource(path=str(tmp_path / "t"))
     df = spark.createDataFrame([("a", 3e9), ("b", 1.0)], "name string, n double")
@@ -197,6 +277,63 @@ def test_drop_folder_keeps_short_lines_and_sets_long_ones_aside(spark, tmp_path,
     assert [r.line for r in spark.read.parquet(bad).collect()] == ["c\t3\textra"]
 
 
+ODD_NAMES = ["daily sales.csv", "50%20 off.csv", "a+b #1.csv", "x=y&z;(1).csv", "tab\tname.csv"]
+
+
+def test_drop_folder_takes_odd_names_and_reads_each_file_once(spark, tmp_path, rows, monkeypatch):
+    from adloom.streaming import ingest
+
+    src, out, bad = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "bad")
+    src.mkdir()
+    names = list(ODD_NAMES)
+    if "UTF" in spark._jvm.System.getProperty("sun.jnu.encoding").upper():
+        names.append("täglich ☂.csv")
+    for i, name in enumerate(names):
+        (src / name).write_text(f"name,n\n{i},{i}\nx,1,too many\n")
+
+    def once(lines):
+        stored = ingest_lines(lines)
+        for name in list(names):
+            (src / name).write_text("changed,while,read\n")
+        return stored
+
+    ingest_lines = ingest.store_lines
+    monkeypatch.setattr(ingest, "store_lines", once)
+    ingest_folder(spark, str(src), SCHEMA, out, str(tmp_path / "state"), rejects=bad)
+    assert rows(spark.read.parquet(out).drop("batch")) == [(str(i), i) for i in range(len(names))]
+    assert {r.file_path.rsplit("/")[-1] for r in spark.read.parquet(bad).collect()} == set(names)
+
+
+def test_a_name_that_is_a_pattern_is_an_error(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    for name in ("a?.csv", "b.csv"):
+        (src / name).write_text("name,n\na,1\n")
+    with pytest.raises(Exception, match="rename the file"):
+        ingest_folder(spark, str(src), SCHEMA, str(tmp_path / "out"), str(tmp_path / "state"))
+    assert not (tmp_path / "out").exists()
+
+
+def test_a_batch_with_wrong_lines_shows_no_rows(spark, tmp_path):
+    src, out, state = tmp_path / "in", tmp_path / "out", str(tmp_path / "state")
+    src.mkdir()
+    (src / "a b.csv").write_text("name,n\na,1\nb,2,more\n")
+    with pytest.raises(Exception, match="a b.csv: too many fields"):
+        ingest_folder(spark, str(src), SCHEMA, str(out), state)
+    assert not list(out.glob("batch=*"))
+    ingest_folder(spark, str(src), SCHEMA, str(out), state, rejects=str(tmp_path / "bad"))
+    assert [r.name for r in spark.read.parquet(str(out)).collect()] == ["a"]
+
+
+def test_batches_are_bounded(spark, tmp_path):
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    for i in range(5):
+        (src / f"{i}.csv").write_text(f"name,n\n{i},{i}\n")
+    ingest_folder(spark, str(src), SCHEMA, str(out), str(tmp_path / "state"), max_files=2)
+    assert len(list(out.glob("batch=*"))) == 3 and spark.read.parquet(str(out)).count() == 5
+
+
 def test_intermediates_go_to_the_named_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     mark = scratch_path(spark, "x").rpartition("/")[0]
