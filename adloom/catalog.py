@@ -28,10 +28,10 @@ from adloom.operators import (
     strategy,
 )
 from adloom.plans import asin, bid, campaign, keyword
-from adloom.session import apply_settings, scratch_path
+from adloom.session import apply_settings, file_system, scratch_path
 from adloom.sinks import tables as sinks
 from adloom.sources import tables as sources
-from adloom.sources.delimited import numbered_lines, read_delimited
+from adloom.sources.delimited import open_lines, read_delimited
 from adloom.streaming.ingest import ingest_folder
 
 TENANT = "BUILDING"
@@ -140,10 +140,8 @@ def q03_asin_extract(v: Views) -> DataFrame:
 
 
 def q04_brand_pattern(v: Views) -> DataFrame:
-    (brands,) = joins.size_checked(strategy.account_brands(v.competitors))
-    return strategy.with_brand_flags(
-        v.fact().select("account_name", "keyword_id", "keyword"), brands
-    )
+    names, sizes = joins.size_checked(*strategy.name_index(strategy.account_brands(v.competitors)))
+    return strategy.with_brand_flags(v.fact().select("account_name", "keyword_id", "keyword"), (names, sizes))
 
 
 def q05_strategy(v: Views) -> DataFrame:
@@ -443,9 +441,9 @@ def _sales_files(v: Views) -> list[str]:
 
 def q35_mandatory_columns(v: Views) -> DataFrame:
     """Lines by folder and what the header check says of their files."""
-    paths = _sales_files(v)
-    checked = quality.check_columns(v.spark, paths, schemas.MANDATORY_SALES_COLUMNS)
-    lines = numbered_lines(v.spark, paths).groupBy(F.col("file_path").alias("path")).agg((F.count("line") - 1).alias("n"))
+    found = open_lines(v.spark, _sales_files(v))
+    checked = quality.check_columns(v.spark, found, schemas.MANDATORY_SALES_COLUMNS)
+    lines = found.lines.groupBy(F.col("file_path").alias("path")).agg((F.count("line") - 1).alias("n"))
     folder = F.element_at(F.split("path", "/"), -2).alias("folder")
     named = [F.array_join(F.array_sort(c), ",").alias(c) for c in ("missing", "extra")]
     per_file = checked.join(lines, "path").select(folder, "status", *named, "n")
@@ -453,11 +451,11 @@ def q35_mandatory_columns(v: Views) -> DataFrame:
 
 
 def q36_audit(v: Views) -> DataFrame:
-    """Accounts without settings or without bids, and the row of a load that failed."""
+    """Accounts without settings or without a brand, and the row of a load that failed."""
     settings = quality.audit(v.account_settings, "account_settings", AS_OF, v.accounts)
-    few = quality.audit(v.bid_values.filter(F.col("bid") > 99), "bid_values", AS_OF, v.accounts)
+    brands = quality.audit(strategy.brand_names(v.competitors, "our_brand_name"), "brands", AS_OF, v.accounts)
     failed = quality.audit_error(v.spark, "ads", ValueError("no such table"), AS_OF)
-    return settings.unionByName(few).unionByName(failed)
+    return settings.unionByName(brands).unionByName(failed)
 
 
 def q37_table_roundtrip(v: Views) -> DataFrame:
@@ -480,12 +478,23 @@ def q38_typed_sink(v: Views) -> DataFrame:
     return sources.read_table(v.spark, target)
 
 
+def _deliver(v: Views, df: DataFrame, folder: str, name: str) -> None:
+    """CSV files of ``df`` in ``folder`` under a name that needs escaping, numbered."""
+    sent = scratch_path(v.spark, "sent")
+    df.write.csv(sent, header=True)
+    place, fs = file_system(v.spark, sent)
+    fs.mkdirs(file_system(v.spark, folder)[0])
+    parts = [s.getPath() for s in fs.listStatus(place) if s.getPath().getName().startswith("part-")]
+    for i, part in enumerate(parts):
+        fs.rename(part, file_system(v.spark, f"{folder}/{name} {i}.csv")[0])
+
+
 def q39_drop_folder(v: Views) -> DataFrame:
-    """Two deliveries into one folder, each followed by a run; then a run with nothing new."""
+    """Two deliveries of oddly named files into one folder, each followed by a run; then a run with nothing new."""
     base = scratch_path(v.spark, "drop")
     sales = v.retail_sales
-    for part in (0, 1):
-        sales.filter(F.col("customer_id") % 2 == part).write.mode("append").csv(f"{base}/in", header=True)
+    for part, name in enumerate(("daily sales", "50%20 + #1 (new)")):
+        _deliver(v, sales.filter(F.col("customer_id") % 2 == part), f"{base}/in", name)
         ingest_folder(v.spark, f"{base}/in", schemas.RETAIL_SALES, f"{base}/out", f"{base}/state")
     ingest_folder(v.spark, f"{base}/in", schemas.RETAIL_SALES, f"{base}/out", f"{base}/state")
     return v.spark.read.parquet(f"{base}/out").select(*schemas.RETAIL_SALES.fieldNames())
@@ -587,6 +596,70 @@ def q54_staged_files(v: Views) -> DataFrame:
     return staged.withColumn("kind", F.lit("staged")).unionByName(again.withColumn("kind", F.lit("stamped")))
 
 
+def q55_replaced_day(v: Views) -> DataFrame:
+    """Bids by day, of which one day is replaced: source and rows of each day, and whether its files stayed."""
+    target = sources.TableSource(path=scratch_path(v.spark, "bids_by_day"))
+    day = F.col("updated_date").cast("date").alias("updated_date")
+    bids = v.bid_values.select("keyword_id", "bid", day)
+    days = bids.select("updated_date").distinct()
+    (newest,) = days.agg(F.max("updated_date")).first()
+    sinks.write_table(bids.withColumn("source", F.lit("old")), target, partition_by=["updated_date"])
+    before = _files(v, target)
+    sinks.refresh_days(bids.withColumn("source", F.lit("new")), target, [newest])
+    stayed = _files(v, target).join(before, ["updated_date", "file"], "left_semi").select("updated_date").distinct()
+    rows = sources.read_table(v.spark, target).groupBy("updated_date", "source").agg(F.count(F.lit(1)).alias("bids"))
+    return rows.join(stayed.withColumn("stayed", F.lit(True)), "updated_date", "left").fillna(False, ["stayed"])
+
+
+def _files(v: Views, target: sources.TableSource) -> DataFrame:
+    """Day and name of every file of a table laid out by day, as they are now."""
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file")
+    now = sources.read_table(v.spark, target).select("updated_date", name).distinct()
+    return joins.stored(now, "files")[0]
+
+
+def q56_daily_store(v: Views) -> DataFrame:
+    """Period metrics from stored daily sums: made before the rows of a day came in, then refreshed by that day."""
+    store = sources.TableSource(path=scratch_path(v.spark, "daily"))
+    periods.refresh_daily(v.fact().filter(F.col("date") != F.lit(AS_OF)), store)
+    return periods.period_metrics(periods.refresh_daily(v.fact(), store, [AS_OF]), calendar.day_periods(AS_OF))
+
+
+def q57_bucketed_bids(v: Views) -> DataFrame:
+    """The bid report over bid history and keywords stored in buckets of the same keys."""
+    path = scratch_path(v.spark, "history")
+    name = "history_" + path.rpartition("-")[2]
+    changes, names = bid.bucketed_history(v.bid_values, *v.searched(), name, path, buckets=8)
+    return bid.placed_changes(bid.named_changes(changes, names), v.campaigns, v.portfolios)
+
+
+def q58_title_headers(v: Views) -> DataFrame:
+    """Totals per account under title headers, spend moved to the front, as (account, place, header, total)."""
+    totals = v.fact().groupBy("account_name").agg(*[F.sum(m).cast("double").alias(m) for m in schemas.MEASURES])
+    shown = cleaning.move_column(cleaning.title_headers(totals), "Ad Spend", 1)
+    names = shown.columns[1:]
+    cells = F.array(*[F.struct(F.lit(n).alias("header"), F.col(f"`{n}`").alias("total")) for n in names])
+    cells = shown.select(F.col("`Account Name`").alias("account_name"), F.posexplode(cells).alias("place", "cell"))
+    return cells.select("account_name", "place", "cell.header", "cell.total")
+
+
+def q59_row_counts(v: Views) -> DataFrame:
+    """Rows of the fact and of the ads, as counted by the writer's row count."""
+    counts = [(name, sinks.row_count(df)) for name, df in (("fact", v.fact()), ("ads", v.ads))]
+    return v.spark.createDataFrame(counts, "name string, n bigint")
+
+
+def q60_audit_table(v: Views) -> DataFrame:
+    """An audit table after two runs, the second of which was repeated and found less."""
+    target = sources.TableSource(path=scratch_path(v.spark, "audit"))
+    missing = quality.audit(v.account_settings, "account_settings", AS_OF, v.accounts)
+    brands = quality.audit(strategy.brand_names(v.competitors, "our_brand_name"), "brands", AS_OF, v.accounts)
+    quality.append_audit(missing.unionByName(brands), target, "first")
+    quality.append_audit(missing.unionByName(brands), target, "second")
+    quality.append_audit(brands, target, "second")
+    return sources.read_table(v.spark, target)
+
+
 def _registered(query):
     return lambda spark, sf_dir: plain(query(Views(apply_settings(spark), sf_dir)))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +72,43 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, reduce(lambda a, b: a & b, on), how).drop(*temp.values())
 
 
+def numbered_rows(dim: DataFrame, name: str) -> DataFrame:
+    """Rows of a dimension within the broadcast bound, numbered from 0 in the order of all columns."""
+    order = Window.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in dim.columns])
+    return dim.withColumn(name, (F.row_number().over(order) - 1).cast("long"))
+
+
+#: Numbers that one bitmap of Spark's bitmap functions holds.
+_BITMAP = 8 * 4096
+
+
+class Met:
+    """Which of the numbers 0 to ``n - 1`` occur in a column, found while its rows are evaluated.
+
+    ``bitmaps()`` are aggregates to observe with ``seen``; afterwards ``missed()`` tells for a
+    row of the dimension whether its number never occurred. A bit per row reaches the
+    driver, 250 kB at the bound of a broadcast.
+    """
+
+    def __init__(self, n: int, name: str) -> None:
+        self.n, self.name, self.seen = n, name, Observation()
+
+    def bitmaps(self) -> list[Column]:
+        place = F.bitmap_bit_position(F.col(self.name) + 1)
+        bucket = F.floor(F.col(self.name) / _BITMAP)
+        count = max(1, -(-self.n // _BITMAP))
+        return [F.bitmap_construct_agg(F.when(bucket == b, place)).alias(f"b{b}") for b in range(count)]
+
+    def missed(self) -> Column:
+        found = self.seen.get
+        held = F.array(*[F.lit(bytes(found[f"b{b}"])) for b in range(len(found))])
+        number = F.col(self.name)
+        inside = number % _BITMAP
+        bitmap = F.get(held, F.floor(number / _BITMAP).cast("int"))
+        byte = F.conv(F.hex(F.substring(bitmap, (F.floor(inside / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, (inside % 8).cast("int")) == 0
+
+
 SPREAD = 4096
 
 

@@ -131,13 +131,18 @@ class MaskSpec:
     recompute: object = None
 
 
+def tenant_rows(df: DataFrame, tenant: str, spec: MaskSpec) -> DataFrame:
+    """Rows of the tenant; the equality reaches the scan behind them."""
+    return df.filter(F.col(f"`{spec.tenant_column}`") == tenant)
+
+
 def masked_copy(df: DataFrame, tenant: str, spec: MaskSpec, factor: int = 5) -> DataFrame:
     """Rows of the tenant with its name replaced, names numbered and measures scaled.
 
     The tenant's rows are stored once; numbering and labelling read that table, so
     the report behind them runs once however many name columns are masked.
     """
-    rows = materialize(df.filter(F.col(f"`{spec.tenant_column}`") == tenant), "tenant")
+    rows = materialize(tenant_rows(df, tenant, spec), "tenant")
     masked = pseudonymize(replace_word(rows, tenant, spec.replacement), spec.levels)
     if spec.measures:
         masked = scale_measures(masked, spec.measures, factor, spec.cast)
@@ -145,7 +150,7 @@ def masked_copy(df: DataFrame, tenant: str, spec: MaskSpec, factor: int = 5) ->
 
 
 def masked_union(df: DataFrame, tenant: str, spec: MaskSpec, factor: int = 5) -> DataFrame:
-    """Real rows plus the masked copy. The tenant filter reaches the scan of the copy."""
+    """Real rows plus the masked copy, which is made of the tenant's stored rows."""
     masked = masked_copy(df, tenant, spec, factor)
     real = df.select(
         *[F.col(f"`{f.name}`").cast(masked.schema[f.name].dataType).alias(f.name) for f in df.schema.fields]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions.calendar import Period, in_any
 from adloom.functions.ratios import RATIOS, ratio_sql
 from adloom.schemas import MEASURES
+from adloom.sinks.tables import refresh_days, write_table
+from adloom.sources.tables import TableSource, read_table
 
 KEYS = ["account_name", "campaignId", "ad_group_id", "keyword_id"]
 PERIOD_RATIOS = ["CPC", "CPA", "ACOS", "CVR", "CTR"]
@@ -15,6 +19,7 @@ PERIOD_RATIOS = ["CPC", "CPA", "ACOS", "CVR", "CTR"]
 
 def daily_keyword(fact: DataFrame, with_match_type: bool = True) -> DataFrame:
     """Sums of the five measures per keyword and day."""
+    # What describes a keyword on a day.
     keys = [
         "account_name",
         "campaignId",
@@ -29,6 +34,28 @@ def daily_keyword(fact: DataFrame, with_match_type: bool = True) -> DataFrame:
     return fact.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
+def daily_sums(fact: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of the five measures per key and day, whatever describes the key; the partial sums of all periods."""
+    return fact.groupBy(*keys, "date").agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
+def refresh_daily(
+    fact: DataFrame, store: TableSource, days: list[date] | None = None, keys: list[str] | None = None
+) -> DataFrame:
+    """The stored daily sums, of which those of ``days``, or all, are made anew; other days of the fact are not read.
+
+    Periods over the store (:func:`period_metrics`) equal those over the fact, since a sum of
+    daily sums is the sum of the rows.
+    """
+    keys = keys or KEYS
+    made = daily_sums(fact, keys)
+    if days is None:
+        write_table(made, store, partition_by=["date"])
+    else:
+        refresh_days(made, store, days, "date")
+    return read_table(fact.sparkSession, store, schema=made.schema)
+
+
 def period_sums(fact: DataFrame, periods: list[Period], keys: list[str]) -> DataFrame:
     """One conditional sum per period and measure: one scan, one shuffle, partial sums first."""
     sums = [

@@ -476,8 +476,8 @@ def sql() -> dict[str, str]:
           group by folder, status, missing, extra""",
         "q36_audit": f"""select account_name, 'account_settings' as table_name, {DAY} as updated_date, cast(null as varchar) as error from accounts
           where account_name not in (select account_name from account_settings)
-          union all select account_name, 'bid_values', {DAY}, null from accounts
-          where account_name not in (select account_name from bid_values where bid > 99)
+          union all select account_name, 'brands', {DAY}, null from accounts
+          where account_name not in (select account_name from competitors where our_brand_name <> '')
           union all select null, 'ads', {DAY}, 'no such table'""",
         "q37_table_roundtrip": f"""select account_name, date as day, cast(ad_spend as double) as spend, cast(null as varchar) as note
           from o_fact where account_name = '{catalog.TENANT}'""",
@@ -522,5 +522,20 @@ def sql() -> dict[str, str]:
           group by account_name""",
         "q54_staged_files": """select keyword_id, cast(bid as double) as bid, account_name, kind
           from bid_values cross join (values ('staged'), ('stamped')) t(kind)""",
+        "q55_replaced_day": """select cast(updated_date as date) as updated_date, count(*) as bids,
+          case when cast(updated_date as date) = (select max(cast(updated_date as date)) from bid_values) then 'new' else 'old' end as source,
+          cast(updated_date as date) <> (select max(cast(updated_date as date)) from bid_values) as stayed
+          from bid_values group by cast(updated_date as date)""",
+        "q56_daily_store": _period_query(DAYS, 2),
+        "q57_bucketed_bids": _select("o_bid_report", BID_ORDER, {"bid"}),
+        "q58_title_headers": f"""select account_name, place, header, cast(total as double) as total from (
+          select account_name, unnest([0, 1, 2, 3, 4]) as place, unnest(['Ad Spend', 'Impressions', 'Clicks', 'Ads Sale', 'Ads Units']) as header,
+            unnest([sum(cast(ad_spend as decimal(28,2))), sum(cast(impressions as decimal(28,2))), sum(cast(clicks as decimal(28,2))),
+              sum(cast(ads_sale as decimal(28,2))), sum(cast(ads_units as decimal(28,2)))]) as total from o_fact group by account_name) t""",
+        "q59_row_counts": "select 'fact' as name, count(*) as n from o_fact union all select 'ads', count(*) from ads",
+        "q60_audit_table": f"""select account_name, table_name, {DAY} as updated_date, cast(null as varchar) as error, run from (
+          select account_name, 'account_settings' as table_name, 'first' as run from accounts where account_name not in (select account_name from account_settings)
+          union all select account_name, 'brands', run from accounts cross join (values ('first'), ('second')) r(run)
+          where account_name not in (select account_name from competitors where our_brand_name <> '')) t""",
     }
     return {name: _query(body) for name, body in bodies.items()}

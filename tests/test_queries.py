@@ -85,10 +85,60 @@ def test_period_filter_reaches_the_scan(spark, tmp_path):
 def test_tenant_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "rows")
     spark.createDataFrame([("a", "b", 1)], "`ACCOUNT NAME` string, P string, n int").write.parquet(path)
-    from adloom.operators.masking import MaskSpec, masked_copy
-
-    masked = masked_copy(spark.read.parquet(path), "a", MaskSpec(levels=[("P", "p", ())]))
-    assert "EqualTo(ACCOUNT NAME,a)" in plan_of(masked) or "EqualTo(`ACCOUNT NAME`,a)" in plan_of(masked)
+    rows = masking.tenant_rows(spark.read.parquet(path), "a", masking.MaskSpec(levels=[("P", "p", ())]))
+    assert "EqualTo(ACCOUNT NAME,a)" in plan_of(rows) or "EqualTo(`ACCOUNT NAME`,a)" in plan_of(rows)
+
+
+def test_products_are_scanned_once(spark, tmp_path):
+    """The full outer join reads each product table in one pass, also for the campaigns it doesn't name."""
+    from adloom.plans import asin
+
+    path = str(tmp_path / "products")
+    spark.range(50_000).selectExpr("cast(id % 40000 as string) as campaign_id", "id as n").write.parquet(path)
+    products = spark.read.parquet(path)
+    campaigns = spark.range(0, 90_000, 1, 4).selectExpr("cast(id as string) as campaign_id", "cast(id % 9 as string) as portfolio_name")
+    joined = asin.with_portfolios(products, campaigns, small=True)
+    assert path not in str(joined.inputFiles())
+    wanted = products.join(campaigns, "campaign_id", "full")
+    assert joined.exceptAll(wanted.select(*joined.columns)).isEmpty() and joined.count() == wanted.count() == 100_000
+    two_passes = asin.with_portfolios(products, campaigns, small=False)
+    assert two_passes.exceptAll(joined).isEmpty() and joined.exceptAll(two_passes).isEmpty()
+    empty = asin.with_portfolios(products.limit(0), campaigns.limit(3), small=True)
+    assert empty.count() == 3 and asin.with_portfolios(products.limit(2), campaigns.limit(0), small=True).count() == 2
+
+
+def test_history_joins_without_an_exchange(spark, views, tmp_path):
+    from adloom.plans import bid
+
+    changes, names = bid.bucketed_history(views.bid_values, *views.searched(), "plan_history", str(tmp_path / "t"), 4)
+    named = bid.named_changes(changes, names)
+    plan = plan_of(named)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert named.count() == bid.named_changes(bid.bid_changes(views.bid_values), bid.keyword_names(*views.searched())).count()
+
+
+def test_a_later_day_reads_one_day_of_facts(spark, tmp_path):
+    from datetime import date
+
+    from adloom.sources.tables import TableSource
+
+    facts, store = str(tmp_path / "facts"), TableSource(path=str(tmp_path / "daily"))
+    schema = "account_name string, campaignId string, ad_group_id string, keyword_id string, date date, impressions bigint, clicks bigint, ad_spend decimal(18,2), ads_sale decimal(18,2), ads_units bigint"
+    days = [date(2001, 7, 30), date(2001, 7, 31), date(2001, 8, 1)]
+    rows = [("a", "c", "g", f"k{i % 3}", days[i % 3], i, 1, None, None, 2) for i in range(30)]
+    spark.createDataFrame(rows, schema).write.partitionBy("date").parquet(facts)
+    fact = spark.read.schema(schema).parquet(facts)
+    periods.refresh_daily(fact.filter("date < '2001-08-01'"), store)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "daily").rglob("date=2001-07-*/*.parquet")}
+    asked = fact.filter(F.col("date").isin([days[2]]))
+    assert "PartitionFilters: [isnotnull(date" in plan_of(asked) and "2001-08-01" in plan_of(asked)
+    daily = periods.refresh_daily(fact, store, [days[2]])
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "daily").rglob("date=2001-07-*/*.parquet")} == before and before
+    windows = day_periods(days[2])
+    made, wanted = periods.period_metrics(daily, windows), periods.period_metrics(fact, windows)
+    assert made.exceptAll(wanted).isEmpty() and wanted.exceptAll(made).isEmpty() and made.count() == 3
+    periods.refresh_daily(fact.filter("date < '2001-07-31'"), store, days[1:])
+    assert [r[0] for r in spark.read.parquet(store.path).select("date").distinct().collect()] == [days[0]]
 
 
 def test_keyword_report_sums_take_one_wide_shuffle(spark, views):
@@ -112,9 +162,8 @@ def test_strategy_without_broadcasts_gives_the_same(spark, views):
     fact = views.fact()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = strategy.classify_strategy(
-            fact, strategy.own_asins(views.competitors), strategy.account_brands(views.competitors)
-        )
+        index = strategy.name_index(strategy.account_brands(views.competitors))
+        joined = strategy.classify_strategy(fact, strategy.own_asins(views.competitors), index)
         assert "SortMergeJoin" in plan_of(joined)
         shuffled = joined.groupBy("strategy").count().collect()
     finally:
