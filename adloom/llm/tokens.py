@@ -136,7 +136,7 @@ class PrefixCounter:
             counts = [sum(self._solve(p)[-1] for p in _SPLIT.findall(word[: i + 1])) for i in range(len(word))]
         else:
             counts = self._solve(word)
-        if len(word) > LONGEST_KEPT:
+        if len(word) > LONGEST_KEPT or counts[-1] > 255:
             return np.array(counts, np.int32)
         if len(self.kept) >= KEEP_WORDS:
             self.kept.clear()
@@ -153,7 +153,7 @@ class PrefixCounter:
         kept = self.kept
         parts = [kept[p] if p in kept else self._word(p) for p in pieces]
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        if sizes.max() > LONGEST_KEPT:
+        if set(map(type, parts)) != {bytes}:
             own = np.concatenate([np.frombuffer(p, np.uint8).astype(np.int32) if type(p) is bytes else p for p in parts])
         else:
             own = np.frombuffer(b"".join(parts), np.uint8).astype(np.int32)

@@ -44,6 +44,17 @@ def test_long_word_and_blank_runs(library):
             assert counter.counts(text)[i - 1] == tokens(library, text[:i])
 
 
+@pytest.mark.parametrize("sign", ["\U00012000", "\U00020000", "\U000e0001"])
+@pytest.mark.parametrize("n", [63, 64, 65, 300])
+def test_words_of_signs_that_take_four_tokens(library, sign, n):
+    """Their counts leave a byte at 64 characters."""
+    counter = PrefixCounter(PATH)
+    text = f"a {sign * n} b"
+    counts = counter.counts(text)
+    assert [int(counts[i - 1]) for i in (2, n, n + 2, n + 4)] == [tokens(library, text[:i]) for i in (2, n, n + 2, n + 4)]
+    assert counter.counts(sign * n)[-1] == tokens(library, sign * n)
+
+
 def test_frame(spark, library):
     rows = [(1, "Hello hello world", "x", "y"), (1, "Hello hello world", "x", "y"), (2, None, None, None), (3, "", "", "")]
     rows.append((None, "word " * 3000, None, None))
