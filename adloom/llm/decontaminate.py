@@ -1,11 +1,13 @@
-"""Benchmark items inside documents: exact containment search by prefixes of the items.
+"""Benchmark items inside documents: size-partitioned MinHash containment search.
 
-Each item keeps the rarest shingles of its set, as many as its size asks for: with
-containment ``t`` an item of ``n`` shingles lacks at most ``(1 - t) n`` of them, so one more
-than that cannot all be missing from a document that holds it, whichever they are. A
-long document is probed with every one of its shingles, so its length doesn't blunt the
-search as it would in a sketch of the whole document. Candidates are then compared by
-all shingles.
+Items are parted by the size of their shingle set. In each part an item is sketched by the
+shingles with its smallest hashes under one MinHash function, and a document is a candidate
+once it holds enough of them. How many are kept and how many must be met follows from the
+part: a document that contains the item holds at least the threshold's share of its set,
+and the sketch is a sample of the set, so the chance that it shows fewer is a hypergeometric
+tail, kept below ``MISS`` for every size of the part. Small items are sketched by their
+whole set. A long document is probed with every one of its shingles, not by a sketch of its
+own, so its length doesn't blunt the search. Candidates are then compared by all shingles.
 
 Everything is DataFrame expressions: shingles are numbers made of five word hashes in the
 rows that ``explode`` streams into a hash join; only hits are shuffled.
@@ -13,12 +15,65 @@ rows that ``explode`` streams into a hash join; only hits are shuffled.
 
 from __future__ import annotations
 
+from functools import cache
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.operators.joins import size_checked
 
 WORDS = 5
+#: Shingles of an item's sketch; items of no more are kept whole.
+SKETCH = 32
+#: Chance, for an item right at the threshold, that its sketch is met too seldom.
+MISS = 1e-9
+#: Sizes of a part reach from a power of two to the next; sizes above the last count as it.
+LARGEST_PART = 20
+
+
+@cache
+def needed(size: int, num: int, den: int) -> int:
+    """Sketch shingles that a document which contains an item of ``size`` shingles holds, but for ``MISS``."""
+    held = -(-num * size // den)
+    kept = min(size, SKETCH)
+    if kept == size:
+        return held
+    below, most = 0, int(MISS * comb(size, kept))
+    for met in range(kept + 1):
+        below += comb(held, met) * comb(size - held, kept - met)
+        if below > most:
+            return max(met, 1)
+    return kept
+
+
+def part_of(size: int) -> int:
+    """Number of the part that items of ``size`` shingles are in: its sizes have as many binary digits."""
+    return min(size.bit_length(), LARGEST_PART)
+
+
+def needed_in_parts(num: int, den: int) -> dict[int, int]:
+    """Per part of items that are not kept whole, what all its sizes can rely on.
+
+    The least is that of the smallest size or, where rounding matters, of one of the next;
+    samples from larger sets tend to the binomial tail, which bounds them all.
+    """
+    found = {}
+    for part in range(part_of(SKETCH + 1), LARGEST_PART + 1):
+        first = max(SKETCH + 1, 1 << (part - 1))
+        sizes = {first + i for i in range(min(den, first))} | {(1 << part) - 1}
+        found[part] = min(*(needed(n, num, den) for n in sizes), _binomial(num, den))
+    return found
+
+
+def _binomial(num: int, den: int) -> int:
+    """The same for a set so large that drawing from it doesn't change it."""
+    below = 0
+    for met in range(SKETCH + 1):
+        below += comb(SKETCH, met) * num**met * (den - num) ** (SKETCH - met)
+        if below > MISS * den**SKETCH:
+            return max(met, 1)
+    return SKETCH
 
 
 def _word_hashes(text: Column) -> Column:
@@ -35,9 +90,13 @@ def _shingles(df: DataFrame, keys: list[str]) -> DataFrame:
     return words.select(*keys, "w", places).select(*keys, F.xxhash64(*parts).alias("h"))
 
 
-def _kept_hashes(size: Column, num: int, den: int) -> Column:
-    """Shingles of an item that cannot all be missing from a document that contains it."""
-    return (F.floor(size * (den - num) / den) + 1).cast("int")
+def _needed(size: Column, num: int, den: int) -> Column:
+    """Sketch shingles to be met: the threshold's share of small sets, and what the part says of others."""
+    out = F.ceil(size * num / den).cast("int")
+    digits = F.least(F.length(F.bin(size)), F.lit(LARGEST_PART))
+    for part, n in needed_in_parts(num, den).items():
+        out = F.when((size > SKETCH) & (digits == part), F.lit(n)).otherwise(out)
+    return out
 
 
 def _documents(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -54,17 +113,17 @@ def _hits(docs: DataFrame, benchmark: DataFrame, num: int, den: int) -> DataFram
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     items = items.filter("item_id is not null")
     own = _shingles(items, ["item_id"]).distinct()
-    held = own.groupBy("h").agg(F.count(F.lit(1)).alias("items"))
-    sets = own.join(held, "h").groupBy("item_id").agg(
-        F.count(F.lit(1)).alias("n_item"),
-        F.array_sort(F.collect_list(F.struct("items", F.xxhash64("h", F.lit(7)).alias("order"), "h"))).alias("s"),
+    ordered = F.array_sort(F.collect_list(F.struct(F.xxhash64("h", F.lit(7)).alias("order"), "h")))
+    sets = own.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item"), ordered.getField("h").alias("s"))
+    sketch = sets.select(
+        "item_id", _needed(F.col("n_item"), num, den).alias("needed"), F.explode(F.slice("s", 1, SKETCH)).alias("h")
     )
-    kept = F.slice("s", F.lit(1), _kept_hashes(F.col("n_item"), num, den))
-    sketch = sets.select("item_id", F.explode(kept.getField("h")).alias("h"))
-    whole = sets.select("item_id", "n_item", F.explode(F.col("s").getField("h")).alias("h"))
+    whole = sets.select("item_id", "n_item", F.explode("s").alias("h"))
     sketch, whole = size_checked(sketch, whole)
 
-    found = _shingles(docs, ["t"]).join(sketch, "h").select("t", "item_id").distinct()
+    met = _shingles(docs, ["t"]).join(sketch, "h").select("t", "item_id", "h", "needed").distinct()
+    found = met.groupBy("t", "item_id").agg(F.count(F.lit(1)).alias("n"), F.max("needed").alias("needed"))
+    found = found.filter("n >= needed").select("t", "item_id")
     (found,) = size_checked(found)
     near = docs.select("t", "text").join(found.select("t").distinct(), "t", "left_semi")
     shared = _shingles(near, ["t"]).join(whole, "h").join(found, ["t", "item_id"], "left_semi").distinct()

@@ -3,7 +3,8 @@ import re
 
 import pytest
 
-from adloom.llm.decontaminate import drop_contaminated, find_contaminated
+from adloom.llm import decontaminate
+from adloom.llm.decontaminate import drop_contaminated, find_contaminated, needed, needed_in_parts, part_of
 
 
 def shingles(text):
@@ -75,3 +76,42 @@ def test_items_with_one_passage_and_own_questions(spark, num):
     assert len(want) == 36
     assert sorted(map(tuple, find_contaminated(df, bench, num=num).collect()), key=repr) == want
     assert [r["doc_id"] for r in drop_contaminated(df, bench, num=num).orderBy("doc_id").collect()] == [4, 5]
+
+
+def test_parts_rely_on_no_more_than_any_of_their_sizes():
+    """Sampled sizes of every part, and the tail itself summed plainly."""
+    for num in (50, 80, 95, 100):
+        parts = needed_in_parts(num, 100)
+        for size in [*range(33, 700), 1000, 4097, 30_000, 600_000]:
+            assert parts[part_of(size)] <= needed(size, num, 100), (num, size)
+    size, held, kept = 200, 160, decontaminate.SKETCH
+    from math import comb
+
+    chance = lambda n: sum(comb(held, m) * comb(size - held, kept - m) for m in range(n)) / comb(size, kept)
+    n = needed(size, 80, 100)
+    assert chance(n) <= decontaminate.MISS < chance(n + 1) and 8 < n < 20
+    assert needed(30, 80, 100) == 24 and needed(31, 80, 100) == 25
+
+
+def test_recall_against_exact_containment(spark):
+    """Items of every part inside long documents, right at the threshold: none is missed."""
+    rng = random.Random(4)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items = [(i, " ".join(text(n + 4))) for i, n in enumerate([5, 20, 32, 33, 40, 64, 65, 120, 250, 500, 1000] * 3)]
+    rows = []
+    for i, item in items:
+        words = item.split(" ")
+        gone = (len(words) - 4) // 5
+        rows.append((i, " ".join(text(800) + words[gone:] + text(800))))
+        rows.append((1000 + i, " ".join(text(500) + words[gone + 1 :] + text(500))))
+    want = brute(rows, items, 80, 100)
+    got = find_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == want and len(want) >= 33
+
+
+def test_very_long_text(spark):
+    item = " ".join(f"q{i}" for i in range(60))
+    rows = [(1, "x " * 400_000 + item + " y" * 400_000), (2, "x " * 400_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert [tuple(r) for r in find_contaminated(df, bench).collect()] == [(1, 7, 56, 56)]
