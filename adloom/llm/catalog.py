@@ -18,7 +18,7 @@ from adloom.llm.linecrf import fit_lines, judge_lines
 from adloom.llm.pieces import encode_nbest
 from adloom.llm.simhash import near_fingerprints
 from adloom.llm.suffixes import remove_repeats
-from adloom.llm.templates import DEPTH, MIN_SAME, drop_templates
+from adloom.llm.templates import DEPTH, FREQUENT, MIN_SAME, drop_templates
 from adloom.llm.tokens import prefix_token_counts
 from adloom.llm.urls import judge_urls
 from adloom.session import reach_workers
@@ -247,8 +247,11 @@ SQL["op2_line_dedup"] = f"""
 with l as (
   select doc_id, i, x[i] as line, len(x) as n_lines
   from (select doc_id, x, unnest(range(1, len(x) + 1)) as i from (select doc_id, string_split(text, chr(10)) as x from documents))
+), p as (
+  select *, trim(regexp_replace(line, '[ \\t\\x0B\\f\\r]+', ' ', 'g')) as plain from l
 ), m as (
-  select *, regexp_replace(trim(regexp_replace(line, '[ \\t\\x0B\\f\\r]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') as t from l
+  select doc_id, i, line, n_lines, case when 2 * len(list_filter(string_split(plain, ' '), lambda x: regexp_matches(x, '[0-9]')))
+    <= len(string_split(plain, ' ')) then regexp_replace(plain, '[0-9]+', '<*>', 'g') else plain end as t from p
 ), k as (
   select *, len(string_split(t, ' ')) as n, array_to_string(string_split(t, ' ')[1:{DEPTH}], ' ') as lead from m where t != ''
 ), e as (
@@ -259,24 +262,27 @@ with l as (
   select n, lead from r group by n, lead having count(distinct doc_id) >= {TEMPLATE_DOCS}
 ), u as (
   select distinct r.n, r.lead, r.t from r join f on r.n = f.n and r.lead = f.lead
-), p as (
+), w as (
   select n, lead, t, x[q] as token, q
   from (select n, lead, t, string_split(t, ' ') as x, unnest(range(1, n + 1)) as q from u)
 ), z as (
   select n, lead, count(*) as lines from u group by n, lead
 ), c as (
-  select p.n, p.lead, p.q, p.token from p join z on p.n = z.n and p.lead = z.lead
-  group by p.n, p.lead, p.q, p.token, z.lines having 2 * count(*) > z.lines
+  select w.n, w.lead, w.q, w.token from w join z on w.n = z.n and w.lead = z.lead
+  group by w.n, w.lead, w.q, w.token, z.lines
+  having (count(*) >= {TEMPLATE_DOCS} and {FREQUENT} * count(*) >= z.lines) or 2 * count(*) > z.lines
 ), s as (
-  select p.n, p.lead, p.t from p join c on p.n = c.n and p.lead = c.lead and p.q = c.q and p.token = c.token
-  group by p.n, p.lead, p.t having 100 * count(*) >= {MIN_SAME} * p.n
+  select w.n, w.lead, w.t, list((w.q, w.token) order by w.q) as constants
+  from w join c on w.n = c.n and w.lead = c.lead and w.q = c.q and w.token = c.token
+  group by w.n, w.lead, w.t having 100 * count(*) filter (where not contains(w.token, '<*>')) >= {MIN_SAME} * w.n
 ), g as (
-  select r.n, r.lead, min(r.doc_id) as first from r join s on r.t = s.t
-  group by r.n, r.lead having count(distinct r.doc_id) >= {TEMPLATE_DOCS}
+  select s.n, s.lead, s.constants, min(r.doc_id) as first from r join s on r.t = s.t
+  group by s.n, s.lead, s.constants having count(distinct r.doc_id) >= {TEMPLATE_DOCS}
 ), gone as (
   select k.doc_id, k.i from k join e on k.t = e.t where k.doc_id != e.first
   union all
-  select k.doc_id, k.i from k join s on k.t = s.t join g on g.n = s.n and g.lead = s.lead where k.doc_id != g.first
+  select k.doc_id, k.i from k join s on k.t = s.t join g on g.n = s.n and g.lead = s.lead and g.constants = s.constants
+  where k.doc_id != g.first
 ), kept as (
   select l.doc_id, count(gone.i) as n_dropped, max(l.n_lines) as n_lines,
     string_agg(l.line, chr(10) order by l.i) filter (where gone.i is null) as text
