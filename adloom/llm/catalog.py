@@ -15,7 +15,7 @@ from adloom.llm.decontaminate import find_contaminated
 from adloom.llm.jaccard import near_duplicates
 from adloom.llm.licenses import NOTICES, scan_licenses
 from adloom.llm.linecrf import fit_lines, judge_lines
-from adloom.llm.pieces import encode_nbest
+from adloom.llm.pieces import encode_nbest, piece_scores
 from adloom.llm.simhash import near_fingerprints
 from adloom.llm.suffixes import remove_repeats
 from adloom.llm.templates import DEPTH, FREQUENT, MIN_SAME, drop_templates
@@ -60,7 +60,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two best segmentations of every whole document, and whether the best decodes to it."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"), n=2, keep="none")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = encode_nbest(docs, path, n=2, keep="none", scores=piece_scores(docs, path))
     best = [F.get("scores", F.lit(i)).alias(name) for i, name in enumerate(("best_score", "second_score"))]
     return found.select("doc_id", "n_pieces", *best, "ids_sha256", "round_trip")
 
