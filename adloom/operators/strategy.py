@@ -107,8 +107,13 @@ def brand_flags(words: DataFrame, index: BrandIndex) -> DataFrame:
 
 
 def with_brand_flags(fact: DataFrame, index: BrandIndex) -> DataFrame:
-    """Add ``bd_brand`` and ``ba_brand``, matched once per distinct keyword of an account."""
-    flagged = fact.join(brand_flags(fact, index), ["account_name", "keyword"], "left")
+    """Add ``bd_brand`` and ``ba_brand``, matched once per distinct keyword of an account.
+
+    The flags are stored and broadcast if their size allows it; beyond that they are
+    joined by shuffle, and as a table of their own leave a hot keyword of the fact to be split.
+    """
+    (flags,) = size_checked(brand_flags(fact, index))
+    flagged = fact.join(flags, ["account_name", "keyword"], "left")
     return flagged.select(*[f"`{c}`" for c in fact.columns], "bd_brand", "ba_brand")
 
 
