@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from adloom.llm.decontaminate import drop_contaminated
 from adloom.llm.jaccard import near_duplicates
 from adloom.llm.linecrf import fit_lines, judge_lines
-from adloom.llm.pieces import encode_nbest
+from adloom.llm.pieces import encode_nbest, piece_scores
 from adloom.llm.templates import drop_templates
 from adloom.operators.joins import size_checked
 from adloom.session import materialize, reach_workers
@@ -61,9 +61,13 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every document: the best segmentation, its score and that of the second (4)."""
+    """Pieces of every document: the best segmentation, its score and that of the second (4).
+
+    Scores are log-probabilities of the pieces in the documents that are left.
+    """
     reach_workers(spark)
-    found = encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"), n=2, keep="ids")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = encode_nbest(docs, path, n=2, keep="ids", scores=piece_scores(docs, path))
     return found.select("doc_id", "lang", "source", "n_pieces", "scores", "round_trip", "ids")
 
 
