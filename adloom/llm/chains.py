@@ -2,10 +2,13 @@
 
 1. Seeds are all k-mers of words, none left out. In 50 words of which 10 are changed one by
    one, 40 words stand in 11 runs at most and so hold 40 - 11 * (``SEED`` - 1) = 7 seeds or more.
+   Runs of ``LONG`` words are seeds as well: of every ``WINDOW`` that begin one after the other
+   the one with the least hash, so both copies of ``LONG + WINDOW - 1`` words choose the same.
 2. Seeds are joined by value. An occurrence is linked with the first document that has
    the seed and with the one just before its own, never with all: links grow with the
    occurrences, and a passage that many documents share still chains with its first copy
-   and with its nearest one.
+   and with its nearest one. Where the sentences of a passage stand singly in many other
+   documents, its short seeds lead there, but its long ones lead to whole copies.
 3. Per document and partner, matches are chained in order of both texts: each seed scores,
    each word of a gap in either text costs, and a Fenwick tree gives the best chain to
    join.
@@ -14,13 +17,15 @@
    more are passages: a chain over several of them, with foreign text between, gives each.
    A document's passages are taken by the score of their chains as long as they cover new words.
 
-Texts go to the same hash batches at every step (one exchange, reused); between the steps
-only packed numbers travel, seeds by value and links by document.
+Seeds are cut where the texts are read; only packed numbers travel, seeds by value and
+links by document. Chains are a written table, after which those exchanges are cleared.
+Then texts go to hash batches once, and both sides of a chain are read there.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
@@ -29,8 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.llm.words import BLANKS, LOWER, shingles, text_buffer, words
+from adloom.llm.words import batches as pieces
+from adloom.operators.joins import size_checked
+from adloom.session import materialize
 
 SEED = 4
+#: Words of a long seed, how many that begin one after the other have one chosen, and the matches one stands for.
+LONG = 32
+WINDOW = 16
+STEPS = (0, 14, 28)
 SEED_SCORE = 10.0
 GAP_COST = 0.15
 MIN_SEEDS = 3
@@ -69,18 +81,44 @@ class _Texts:
         return self.hashes[self.starts[i] : self.starts[i + 1]]
 
 
+def _chosen(keys: np.ndarray) -> np.ndarray:
+    """Places of the least key, the first of equal ones, of every ``WINDOW`` in a row; of all if there are fewer."""
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    held = np.lib.stride_tricks.sliding_window_view(keys, min(WINDOW, len(keys)))
+    return np.unique(held.argmin(axis=1) + np.arange(len(held)))
+
+
 def _seeds(texts: _Texts) -> np.ndarray:
-    """Value, document and place of the seeds."""
-    found, whole = shingles(texts.hashes, texts.starts, SEED)
+    """Value, document and place of the seeds; the place doubled, and one more for a long seed."""
+    short, whole = shingles(texts.hashes, texts.starts, SEED)
+    long, long_whole = shingles(texts.hashes, texts.starts, LONG)
     parts = []
     for number, i in texts.row.items():
         a, b = texts.starts[i], texts.starts[i + 1]
-        own = found[a:b][whole[a:b]]
+        own = short[a:b][whole[a:b]]
         if len(own):
-            parts.append(np.stack([own.view(np.int64), np.full(len(own), number, np.int64), np.arange(len(own))]))
+            parts.append(np.stack([own.view(np.int64), np.full(len(own), number, np.int64), 2 * np.arange(len(own))]))
+        runs_ = long[a:b][long_whole[a:b]]
+        if len(runs_):
+            at = _chosen(runs_)
+            parts.append(np.stack([runs_[at].view(np.int64), np.full(len(at), number, np.int64), 2 * at + 1]))
     return np.concatenate(parts, axis=1) if parts else np.zeros((3, 0), np.int64)
 
 
+def _matches(links: np.ndarray) -> np.ndarray:
+    """Links with the places of their matches, each once; a long one stands for several."""
+    long = links[2] % 2 == 1
+    places = links.copy()
+    places[2:] >>= 1
+    more = [places[:, ~long]]
+    for step in STEPS:
+        own = places[:, long].copy()
+        own[2:] += step
+        more.append(own)
+    return np.unique(np.concatenate(more, axis=1), axis=1) if long.any() else places
+
+
 def _links(seeds: np.ndarray) -> np.ndarray:
     """Document, partner, place in either, for each occurrence of a seed that an earlier document has."""
     key, doc, place = seeds[:, np.lexsort((seeds[2], seeds[1], seeds[0]))]
@@ -356,6 +394,31 @@ def _batch_of(numbers: np.ndarray, batches: int) -> np.ndarray:
     return np.array([crc32(str(d).encode()) % batches for d in distinct.tolist()], np.int64)[place]
 
 
+def _first_of_each_id(docs: DataFrame) -> DataFrame:
+    """Rows with an id; of those that repeat one, the ones with the first text."""
+    known = docs.filter("doc_id is not null and text is not null")
+    often = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    (often,) = size_checked(often)
+    first = known.join(often, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("first"))
+    (first,) = size_checked(first)
+    return known.join(first, "doc_id", "left").filter("first is null or text = first").drop("first")
+
+
+#: Clears the exchanges of a query once it has ended, instead of when the driver happens to collect its garbage.
+_CLEAR = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table, whose making leaves no exchanged data behind."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAR, None)
+    conf.set(_CLEAR, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.unset(_CLEAR) if before is None else conf.set(_CLEAR, before)
+
+
 _PASSAGES = "passages array<struct<start:long,end:long,words:long,source:long,source_start:long,matched:long>>"
 _OUT = f"doc_id long, n_words long, {_PASSAGES}"
 _STRUCT = pa.list_(
@@ -380,7 +443,11 @@ def find_passages(
     ``num / den`` of the words of both sides. Passages of one row may overlap if their sources
     differ. Null, empty and short texts have none. Rows without an id take no part, nor do rows
     that repeat an id (the first by text does); they come back without passages. Other columns
-    are ignored and an empty table gives no rows.
+    are ignored and an empty table gives no rows. Texts are read whole, and a very long one meets
+    others in its batch. A passage is reported with the first and the nearest earlier holder of
+    its short or long seeds: an exact copy of ``LONG + WINDOW - 1`` words or more is always
+    found, also where other documents hold its sentences singly, but of a changed one whose
+    every short seed has other first and nearest holders only its unchanged long runs are.
     """
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
@@ -392,20 +459,20 @@ def find_passages(
     buckets = max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES)
     shift = max(4, buckets.bit_length())
 
-    def send_seeds(table: pa.Table) -> pa.Table:
-        seeds = _seeds(_Texts(table))
-        value = seeds[0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        bucket = value >> np.uint64(64 - shift)
-        seeds[0] = ((value << np.uint64(shift)) >> np.uint64(64 - KEY_BITS)).view(np.int64)
-        return _sent("bucket", _packed(bucket.astype(np.int64), seeds))
+    def send_seeds(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(found):
+            seeds = _seeds(_Texts(pa.Table.from_batches([part])))
+            value = seeds[0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            bucket = value >> np.uint64(64 - shift)
+            seeds[0] = ((value << np.uint64(shift)) >> np.uint64(64 - KEY_BITS)).view(np.int64)
+            yield from _sent("bucket", _packed(bucket.astype(np.int64), seeds)).to_batches()
 
     def link_seeds(table: pa.Table) -> pa.Table:
         links = _links(_unpacked(table.column("packed"), 3))
         return _sent("batch", _packed(_batch_of(links[0], batches), links))
 
     def chain_links(table: pa.Table) -> pa.Table:
-        links = _unpacked(table.column("packed"), 4)
-        chains = _chains(links, min_words)
+        chains = _chains(_matches(_unpacked(table.column("packed"), 4)), min_words)
         return _sent("batch", _packed(_batch_of(chains[0], batches), chains))
 
     def cut_sources(table: pa.Table, asked: pa.Table) -> pa.Table:
@@ -472,9 +539,10 @@ def find_passages(
         return lambda table, other: step(table, other) if table.num_rows else none(names, kinds)
 
     groups = lambda frame: frame.groupBy("batch")
-    seeds = groups(docs).applyInArrow(one(send_seeds, ["bucket", "packed"]), "bucket int, packed binary")
+    seeds = _first_of_each_id(docs).select("doc_id", "text").mapInArrow(send_seeds, "bucket int, packed binary")
     links = seeds.groupBy("bucket").applyInArrow(one(link_seeds, ["batch", "packed"]), "batch int, packed binary")
     chains = groups(links).applyInArrow(one(chain_links, ["batch", "packed"]), "batch int, packed binary")
+    chains = _written(chains, "chains")
     names = ["doc_id", "source", "low", "q0", "q1", "p0", "p1", "score", "held", "batch"]
     cut = two(cut_sources, names, [pa.int64()] * 8 + [pa.binary(), pa.int32()])
     schema = ", ".join(f"{c} long" for c in names[:8]) + ", held binary, batch int"

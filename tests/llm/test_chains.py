@@ -196,3 +196,63 @@ def test_packed_numbers_come_back():
     for low, high in [(0, 1), (-5, 200), (7, 70000), (-(1 << 40), 1 << 20), (ends.min, ends.max)]:
         columns = rng.integers(low, high, (3, 50), endpoint=True)
         assert (chains._wide(chains._narrow(columns), 3) == columns).all()
+
+
+def test_long_seeds_are_chosen_alike():
+    rng = np.random.default_rng(1)
+    shared = rng.integers(0, 1 << 62, 60).astype(np.uint64)
+    for n in (0, 3, 40):
+        keys = np.concatenate([rng.integers(0, 1 << 62, n).astype(np.uint64), shared, rng.integers(0, 1 << 62, 9).astype(np.uint64)])
+        at = chains._chosen(keys)
+        assert set(chains._chosen(shared)) <= {x - n for x in at}
+        assert (np.diff(at) <= chains.WINDOW).all()
+    assert chains._chosen(shared[:5]).tolist() == [int(shared[:5].argmin())] and len(chains._chosen(shared[:0])) == 0
+
+
+def test_a_whole_copy_is_found_among_holders_of_its_pieces(spark):
+    """Every short seed of the passage has other first and nearest holders."""
+    rng = random.Random(8)
+    passage = words_of(rng, 60)
+    pieces = [passage[a : a + 12] for a in range(0, 54, 6)]
+    alone = lambda: [" ".join(words_of(rng, 8) + p + words_of(rng, 8)) for p in pieces]
+    whole = lambda: " ".join(words_of(rng, 5) + passage + words_of(rng, 7))
+    texts = [*alone(), whole(), *alone(), whole(), *alone(), whole()]
+    got = {r["doc_id"]: r for r in find_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for number, sources in ((19, {9}), (29, {9, 19})):
+        assert {p["source"] for p in got[number]["passages"]} & sources
+        assert covered_words(got[number], texts[number]) >= set(range(5, 65))
+    assert {n for n, r in got.items() if r["passages"]} == {19, 29}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_exact_copies_against_every_pair(spark, seed):
+    """All words in runs of 50 that any earlier document has, by comparing every two documents."""
+    rng = random.Random(seed)
+    pool = [words_of(rng, rng.choice([12, 30, 50, 55, 80, 140])) for _ in range(14)]
+    rows = []
+    for i in range(70):
+        body = []
+        for _ in range(rng.randrange(1, 5)):
+            own = rng.choice(pool)
+            a = rng.choice([0, 0, rng.randrange(len(own))])
+            body += words_of(rng, rng.randrange(15)) + own[a:]
+        rows.append((i, " ".join(body)))
+    rows += [(0, "zz repeats an id"), (None, rows[3][1]), (200, "x " * 300_000 + " ".join(pool[-1] + pool[3]))]
+    got = {}
+    for r in find_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        if r["doc_id"] != 200 or r["passages"]:
+            got.setdefault(r["doc_id"], []).append(r)
+    seen, missed, wanted = {}, 0, 0
+    for i, text in rows[:70]:
+        w = text.split()
+        covered = set()
+        for r in got[i]:
+            covered |= covered_words(r, text)
+        for a in range(len(w) - 49):
+            if tuple(w[a : a + 50]) in seen:
+                wanted += 50
+                missed += len(set(range(a, a + 50)) - covered)
+        for a in range(len(w) - 49):
+            seen.setdefault(tuple(w[a : a + 50]), i)
+    # A passage that has less than a fifth of new words is not reported.
+    assert wanted > 1000 and 1000 * missed <= wanted, (missed, wanted)
