@@ -84,6 +84,11 @@ def _read(column: pa.Array) -> tuple[np.ndarray, ...]:
     return found, whole, starts, first, end, at
 
 
+def _band_keys(least: np.ndarray) -> np.ndarray:
+    """Keys of MinHash values, one row per band, under which a band's values meet no other band's."""
+    return mix(least + np.arange(1, len(least) + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15))
+
+
 class Templates:
     """Shingle sets and MinHashes of the templates, by size class."""
 
@@ -95,11 +100,14 @@ class Templates:
         self.every = np.unique(every)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.every & np.uint64((1 << 20) - 1)] = True
+        # Per class, the bands as one index: sorted (band, value) keys, and the template of each.
         self.classes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for size in sorted({self._class(s) for s in self.sets if len(s)}):
             own = np.array([i for i, s in enumerate(self.sets) if len(s) and self._class(s) == size])
             least = np.array([[mix(self.sets[i] ^ seed).min() for seed in _SEEDS] for i in own])
-            self.classes[size] = own, least
+            keys = _band_keys(least.T)
+            order = np.argsort(keys, axis=None, kind="stable")
+            self.classes[size] = keys.ravel()[order], np.broadcast_to(own, keys.shape).ravel()[order]
 
     @staticmethod
     def _class(tokens: np.ndarray) -> int:
@@ -126,16 +134,16 @@ def _candidates(templates: Templates, found: np.ndarray, hits: np.ndarray, a: in
     window = np.unique(np.concatenate([block, block - 1]))
     window = window[window >= 0]
     lo, hi = window * size, np.minimum(window * size + 2 * size, n)
-    own, least = templates.classes[size]
-    met = np.zeros((len(window), len(own)), bool)
+    keys, owner = templates.classes[size]
     inside = np.concatenate([np.arange(x, y) for x, y in zip(lo + a, hi + a, strict=True)])
     cuts = np.concatenate(([0], np.cumsum(hi - lo)[:-1]))
     tokens = found[inside]
-    for band, seed in enumerate(_SEEDS):
-        low = np.minimum.reduceat(mix(tokens ^ seed), cuts)
-        met |= low[:, None] == least[:, band]
-    for w, t in zip(*np.nonzero(met), strict=True):
-        yield int(lo[w]) + a, int(hi[w]) + a, int(own[t])
+    low = _band_keys(np.stack([np.minimum.reduceat(mix(tokens ^ seed), cuts) for seed in _SEEDS]))
+    left, right = np.searchsorted(keys, low, "left"), np.searchsorted(keys, low, "right")
+    met = np.nonzero(right > left)
+    pairs = {(w, int(t)) for w, x, y in zip(met[1].tolist(), left[met], right[met], strict=True) for t in owner[x:y]}
+    for w, t in sorted(pairs):
+        yield int(lo[w]) + a, int(hi[w]) + a, t
 
 
 def scan_licenses(

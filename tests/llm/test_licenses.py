@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 
+from adloom.llm import licenses
 from adloom.llm.licenses import NOTICES, scan_licenses, window_ranges
 
 
@@ -54,3 +55,23 @@ def test_equals_every_window(spark):
     assert got == want
     assert scan_licenses(df.limit(0), table).collect() == scan_licenses(df, table.limit(0)).collect() == []
     assert np.isclose((1 - 0.4 / 2.1) ** 96, 0, atol=2e-9)
+
+
+def test_bands_are_an_index():
+    """A window meets the templates that share a band's value with it, and only in the same band."""
+    known = licenses.Templates(sorted(NOTICES))
+    for size, (keys, owner) in known.classes.items():
+        assert (np.diff(keys.astype(object)) >= 0).all() and len(keys) == len(owner) == 96 * len(set(owner.tolist()))
+    found = licenses._read(licenses.pa.array([NOTICES[0][1]]))[0]
+    own = sorted(NOTICES).index(NOTICES[0])
+    size = known._class(known.sets[own])
+    n = len(known.sets[own])
+    got = list(licenses._candidates(known, found, np.arange(n), 0, n, size))
+    assert (0, n, own) in got
+
+
+def test_very_long_text(spark):
+    text = "word " * 300_000 + NOTICES[0][1] + " word" * 300_000
+    df = spark.createDataFrame([(1, text), (2, "word " * 300_000)], "doc_id long, text string")
+    table = spark.createDataFrame(NOTICES, "license string, text string")
+    assert [(r.doc_id, r.license) for r in scan_licenses(df, table).collect()] == [(1, NOTICES[0][0])]
