@@ -4,6 +4,11 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
 the columns of ``documents``. ``run`` writes each stage's result as Parquet to the shared
 folder and reads it again for the next, which cuts the lineage: a lost executor costs a
 re-read of the last table, not a re-run.
+
+Null, empty and blank texts have no words, so the base rules reject them in the first stage;
+a stage that gets them all the same keeps them as they are. Very long texts are read whole.
+Rows that repeat an id are judged by their own texts; extra columns pass through all stages
+but the last.
 """
 
 from __future__ import annotations
