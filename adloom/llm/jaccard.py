@@ -10,8 +10,8 @@ lists of documents per prefix token stay short.
 Equal sets are one node of the join. No list is expanded into all its pairs
 where that can be spared: in a list of more than ``SMALL_LIST`` nodes a node is
 first compared with the best of a few anchors only. Once those links are joined into
-components, the candidates between different components are listed, in blocks;
-each node's nearest ones are compared, and of the others all that still lie between
+components, the candidates between different components are listed, in blocks, unless a
+bitmap of their tokens' parities shows that they differ in too many; each node's nearest ones are compared, and of the others all that still lie between
 different components. The links so found connect the same documents as all links would.
 """
 
@@ -38,6 +38,8 @@ ANCHORS = 3
 NEAREST = 4
 #: Nodes of a list that meet those of another block in one step.
 BLOCK = 4096
+#: Classes of tokens, as a power of two, whose parities bound what two sets share.
+PARITY_BITS = 8
 #: A token repeated so often within ``COUNT_BLOCK`` shingles of a task is counted
 #: over the corpus; from ``COMMON`` on it goes to the end of the orders, the most
 #: frequent last. These steer the order only, never the result.
@@ -70,13 +72,23 @@ def _node(tokens: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
+def _parities(tokens: np.ndarray) -> bytes:
+    """A bit per class of tokens: whether the set has an odd number of them.
+
+    Where the bits of two sets differ, at least one token of that class is in one set only, so
+    they share at most ``(n1 + n2 - differing bits) / 2`` tokens.
+    """
+    odd = np.bincount((tokens >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
 def _survey(df: DataFrame, k: int) -> DataFrame:
-    """Per row its node, set size and key (``kind`` 0), and locally repeated tokens with counts (``kind`` 1)."""
-    schema = "kind int, doc_id long, node long, n long, row long"
+    """Per row its node, set size, key and parities (``kind`` 0), and locally repeated tokens with counts (``kind`` 1)."""
+    schema = "kind int, doc_id long, node long, n long, row long, bits binary"
 
     def flush(seen: list[np.ndarray]) -> pa.RecordBatch:
         tokens, counts = np.unique(np.concatenate(seen), return_counts=True)
@@ -89,8 +101,9 @@ def _survey(df: DataFrame, k: int) -> DataFrame:
                 _signed(tokens[often]),
                 pa.array(counts[often].astype(np.int64)),
                 pa.nulls(n, pa.int64()),
+                pa.nulls(n, pa.binary()),
             ],
-            names=["kind", "doc_id", "node", "n", "row"],
+            names=["kind", "doc_id", "node", "n", "row", "bits"],
         )
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,8 +119,9 @@ def _survey(df: DataFrame, k: int) -> DataFrame:
                     pa.array(nodes, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     batch.column(2),
+                    pa.array([_parities(s) for s in sets], pa.binary()),
                 ],
-                names=["kind", "doc_id", "node", "n", "row"],
+                names=["kind", "doc_id", "node", "n", "row", "bits"],
             )
             seen += sets
             held += sum(sizes)
@@ -274,6 +288,7 @@ def _crossing(num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
         names = ["head", "parts", "lo", "hi", "key", "block", "node", "about", "root", "left_first", "left_second"]
         col = {c: table.column(c).to_numpy() for c in names}
+        col["bits"] = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(table.num_rows, -1)
         order = np.lexsort((col["node"], col["key"], col["hi"], col["lo"], col["parts"], col["head"]))
         col = {c: v[order] for c, v in col.items()}
         cuts = np.zeros(len(order), bool)
@@ -295,7 +310,7 @@ def _crossing(num: int, den: int):
 def _meetings(col: dict[str, np.ndarray], num: int, den: int) -> tuple[np.ndarray, ...]:
     """Pairs ``(x, y)`` of one group of lists with the tokens they share there under each order."""
     nodes, one, place = np.unique(col["node"], return_index=True, return_inverse=True)
-    size, root, block = col["about"][one] >> 1, col["root"][one], col["block"][one]
+    size, root, block, bits = col["about"][one] >> 1, col["root"][one], col["block"][one], col["bits"][one]
     second = (col["about"] & 1).astype(bool)
     starts = np.flatnonzero(np.concatenate(([True], col["key"][1:] != col["key"][:-1])))
     ends = np.append(starts[1:], len(place))
@@ -321,6 +336,10 @@ def _meetings(col: dict[str, np.ndarray], num: int, den: int) -> tuple[np.ndarra
         for order in (0, 1):
             most = shared[order][j] + np.minimum(other[order][j], other[order][i])
             j, need = j[most >= need], need[most >= need]
+        both = size[j] + size[i]
+        most = (both - np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)) // 2
+        fits = (den + num) * most >= num * both
+        j, need = j[fits], need[fits]
         if len(j):
             lo, hi = np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])
             found.append((lo, hi, shared[0][j], shared[1][j], need))
@@ -397,6 +416,7 @@ def near_duplicates(
     survey = materialize(_survey(keyed, k), "join-survey")
     rows = survey.filter("kind = 0").select("doc_id", "node", F.col("n").alias("n_shingles"))
     nodes = survey.filter("kind = 0 and node is not null").select("doc_id", "node", "row")
+    bits = survey.filter("kind = 0 and node is not null").groupBy("node").agg(F.first("bits").alias("bits"))
 
     often = survey.filter("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON)
     often = often.orderBy(F.desc("n"), "node").limit(COMMON_KEPT).toPandas()  # bounded; steers the order only
@@ -434,8 +454,8 @@ def near_duplicates(
     two = lists.filter("kind = 0 and anchor = 0").select(F.explode(F.array("x", "y")).alias("node"), "first", "second")
     ones = held.select("node", (1 - F.col("about") % 2).alias("first"), (F.col("about") % 2).alias("second"))
     sharing = two.union(ones).groupBy("node").agg(F.sum("first").alias("left_first"), F.sum("second").alias("left_second"))
-    held = held.join(sharing.join(roots, "node", "left"), "node")
-    held = held.select("key", "node", "about", "long", "head", root, "left_first", "left_second")
+    held = held.join(sharing.join(roots, "node", "left").join(bits, "node"), "node")
+    held = held.select("key", "node", "about", "long", "head", root, "left_first", "left_second", "bits")
     held = held.withColumn("parts", F.ceil(F.col("long") / BLOCK).cast("int"))
     held = held.withColumn("block", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))

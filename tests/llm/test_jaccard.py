@@ -68,3 +68,19 @@ def test_components(spark):
     want = {i: 0 for i in range(61)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
     assert got == want
     assert connected_components(spark.createDataFrame([], "x long, y long")).collect() == []
+
+
+def test_parities_bound_what_two_sets_share():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    pruned = 0
+    for _ in range(300):
+        pool = rng.integers(0, 1 << 63, 400).astype(np.uint64) * np.uint64(2)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 300))) for _ in range(2))
+        shared = len(np.intersect1d(a, b))
+        x, y = (np.frombuffer(jaccard._parities(s), np.uint64) for s in (a, b))
+        bound = (len(a) + len(b) - int(np.bitwise_count(x ^ y).sum())) // 2
+        assert shared <= bound
+        pruned += bound < min(len(a), len(b))
+    assert pruned > 100
