@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.words import BLANKS, LOWER, shingles, text_buffer, words
+from adloom.llm.words import BLANKS, LOWER, mix, shingles, text_buffer, words
 from adloom.llm.words import batches as pieces
 from adloom.operators.joins import size_checked
 from adloom.session import materialize
@@ -81,33 +81,55 @@ class _Texts:
         return self.hashes[self.starts[i] : self.starts[i + 1]]
 
 
+def _long(short: np.ndarray) -> np.ndarray:
+    """Hash of ``LONG`` words from each word on, by doubling what ``SEED`` words have."""
+    found, words_ = short, SEED
+    while words_ < LONG:
+        after = np.zeros_like(found)
+        after[:-words_] = found[words_:]
+        found = mix(found * np.uint64(0xD1B54A32D192ED03) + after)
+        words_ *= 2
+    return found
+
+
+def _over_windows(values: np.ndarray, least: np.ufunc, size: int) -> np.ndarray:
+    """Least (or greatest) of every ``size`` values in a row, a power of two, by doubling."""
+    step = 1
+    while step < size:
+        values = least(values[:-step], values[step:])
+        step *= 2
+    return values
+
+
 def _chosen(keys: np.ndarray) -> np.ndarray:
-    """Places of the least key, the first of equal ones, of every ``WINDOW`` in a row; of all if there are fewer."""
-    if not len(keys):
-        return np.zeros(0, np.int64)
-    held = np.lib.stride_tricks.sliding_window_view(keys, min(WINDOW, len(keys)))
-    return np.unique(held.argmin(axis=1) + np.arange(len(held)))
+    """Places of the least key of every ``WINDOW`` in a row; of all if there are fewer."""
+    if len(keys) <= WINDOW:
+        return np.flatnonzero(keys == keys.min()) if len(keys) else np.zeros(0, np.int64)
+    least = _over_windows(keys, np.minimum, WINDOW)
+    # A key is the least of some window if the greatest of the minima around it is the key itself.
+    edge = np.zeros(WINDOW - 1, np.uint64)
+    return np.flatnonzero(_over_windows(np.concatenate([edge, least, edge]), np.maximum, WINDOW) == keys)
 
 
 def _seeds(texts: _Texts) -> np.ndarray:
     """Value, document and place of the seeds; the place doubled, and one more for a long seed."""
     short, whole = shingles(texts.hashes, texts.starts, SEED)
-    long, long_whole = shingles(texts.hashes, texts.starts, LONG)
+    long = _long(short)
     parts = []
     for number, i in texts.row.items():
         a, b = texts.starts[i], texts.starts[i + 1]
         own = short[a:b][whole[a:b]]
         if len(own):
             parts.append(np.stack([own.view(np.int64), np.full(len(own), number, np.int64), 2 * np.arange(len(own))]))
-        runs_ = long[a:b][long_whole[a:b]]
-        if len(runs_):
+        if b - a >= LONG:
+            runs_ = long[a : b - LONG + 1]
             at = _chosen(runs_)
             parts.append(np.stack([runs_[at].view(np.int64), np.full(len(at), number, np.int64), 2 * at + 1]))
     return np.concatenate(parts, axis=1) if parts else np.zeros((3, 0), np.int64)
 
 
 def _matches(links: np.ndarray) -> np.ndarray:
-    """Links with the places of their matches, each once; a long one stands for several."""
+    """Links sorted, with the places of their matches, each once; a long one stands for several."""
     long = links[2] % 2 == 1
     places = links.copy()
     places[2:] >>= 1
@@ -116,7 +138,11 @@ def _matches(links: np.ndarray) -> np.ndarray:
         own = places[:, long].copy()
         own[2:] += step
         more.append(own)
-    return np.unique(np.concatenate(more, axis=1), axis=1) if long.any() else places
+    found = np.concatenate(more, axis=1)
+    found = found[:, np.lexsort((found[3], found[2], found[1], found[0]))]
+    new = np.ones(found.shape[1], bool)
+    new[1:] = (found[:, 1:] != found[:, :-1]).any(axis=0)
+    return found[:, new]
 
 
 def _links(seeds: np.ndarray) -> np.ndarray:
@@ -203,8 +229,8 @@ def chain(p: np.ndarray, q: np.ndarray) -> list[tuple[float, int, int, int, int,
 
 
 def _chains(links: np.ndarray, min_words: int) -> np.ndarray:
-    """The chains that can grow to a passage: partner, its range, document, its range, score in hundredths."""
-    doc, source, p, q = links[:, np.lexsort((links[3], links[2], links[1], links[0]))]
+    """The chains, from sorted links, that can grow to a passage: partner, its range, document, its range, score in hundredths."""
+    doc, source, p, q = links
     new = np.flatnonzero((np.diff(doc) != 0) | (np.diff(source) != 0)) + 1
     out = []
     for a, b in zip([0, *new.tolist()], [*new.tolist(), len(doc)], strict=True):
@@ -499,6 +525,13 @@ def find_passages(
         for number, source, low, q0, q1, p0, p1, held in zip(*(asked.column(c).to_pylist() for c in names), strict=True):
             if number not in texts.row:
                 continue
+            i = texts.row[number]
+            known = covered.get(i)
+            if known is None:
+                known = covered[i] = np.zeros(texts.starts[i + 1] - texts.starts[i], bool)
+            reach = known[max(p0 - MARGIN, 0) : p1 + MARGIN]
+            if len(reach) - np.count_nonzero(reach) < NEW_WORDS * min_words:
+                continue  # nothing that is left here can be a passage of enough new words
             x, y = texts.words(number).astype(np.uint32), np.frombuffer(held, np.uint32)
             q0, q1 = q0 - low, q1 - low
             a, b = grow(x[max(p0 - MARGIN, 0) : p0][::-1], y[:q0][::-1])
@@ -508,8 +541,6 @@ def find_passages(
             if p1 - p0 < min_words:
                 continue
             agree = runs(x[p0:p1], y[q0:q1])
-            i = texts.row[number]
-            known = covered.setdefault(i, np.zeros(len(x), bool))
             a = texts.starts[i]
             for first, last in parts(agree, min_words, num, den):
                 start, end = p0 + int(agree[0, first]), p0 + int(agree[0, last] + agree[2, last])
