@@ -21,9 +21,10 @@ from pyspark.sql import types as T
 
 from adloom.llm.words import BLANKS, EXACT, batches, mix, shingles, text_buffer, words
 
-#: Labelled documents and lines of each that the model is fitted to.
+#: Labelled documents and lines of each that the model is fitted to, and neighbouring lines drawn together.
 SAMPLE_DOCS = 2000
 SAMPLE_LINES = 100
+DRAWN = 20
 
 _NEWLINE = np.zeros(256, bool)
 _NEWLINE[10] = True
@@ -241,6 +242,16 @@ def _base_failed(seen: dict[str, np.ndarray], min_words: int) -> np.ndarray:
     return (seen["n_words"] < min_words) | (100 * seen["n_repeat_words"] > 50 * seen["n_words"])
 
 
+def _drawn(number: int, n: int) -> list[tuple[int, int]]:
+    """Ranges of a document's ``n`` lines that enter the fit: all, or as many by a hash of their place in the whole text."""
+    if n <= SAMPLE_LINES:
+        return [(0, n)]
+    blocks = np.arange(-(-n // DRAWN), dtype=np.uint64)
+    rank = mix(blocks + mix(np.array([number], np.int64).view(np.uint64)))
+    drawn = np.sort(np.argsort(rank, kind="stable")[: SAMPLE_LINES // DRAWN])
+    return [(a, min(a + DRAWN, n)) for a in (drawn * DRAWN).tolist()]
+
+
 def fit_lines(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = 50
 ) -> LineModel:
@@ -248,8 +259,9 @@ def fit_lines(
 
     Documents that fail the base rules are left out, since the model never decides on
     them. The sample is drawn by a hash of the id; of a document with more than
-    ``SAMPLE_LINES`` lines the first ones are used. Labels without a document, a
-    quality or an id are passed over. Only line features reach the driver.
+    ``SAMPLE_LINES`` lines so many are drawn from its whole text, ``DRAWN`` neighbours at a
+    time, each a sequence of its own. Labels without a document, a quality or an id are
+    passed over. Only line features reach the driver.
     """
     chosen = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col("quality").cast("int").alias("quality"))
     chosen = chosen.na.drop().groupBy("id").agg(F.min("quality").alias("quality"))
@@ -262,12 +274,18 @@ def fit_lines(
             seen = _measure(batch.column(2))
             failed = _base_failed(seen, min_words)
             at = np.searchsorted(seen["line_doc"], np.arange(batch.num_rows + 1))
-            own = [seen["features"][a : min(b, a + SAMPLE_LINES)].ravel() for a, b in zip(at[:-1], at[1:], strict=True)]
-            found = pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([o.astype(np.int8).tobytes() for o in own], pa.binary())],
-                names=["id", "quality", "features"],
-            )
-            yield found.filter(pa.array(~failed))
+            rows = [
+                (number, quality, seen["features"][a + x : a + y].astype(np.int8).tobytes())
+                for number, quality, a, b, bad in zip(
+                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), at[:-1].tolist(), at[1:].tolist(), failed, strict=True
+                )
+                if not bad
+                for x, y in _drawn(number, b - a)
+            ]
+            columns = list(zip(*rows, strict=True)) or [()] * 3
+            kinds = [pa.int64(), pa.int32(), pa.binary()]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "quality", "features"])
 
     rows = picked.mapInArrow(run, "id long, quality int, features binary").collect()
     rows.sort(key=lambda r: (r["id"], bytes(r["features"])))

@@ -4,8 +4,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from adloom.llm import linecrf
 from adloom.llm.linecrf import N_FEATURES, LineModel, fit, fit_lines, judge_lines, viterbi
 
 SF = "/root/testdata/sf0.01"
@@ -83,3 +85,45 @@ def test_held_out_accuracy(spark):
     marked = judge_lines(docs.filter("text like '%&&&%'"), model).filter("not kept and not base_failed").first()
     lines = marked["text"].split("\n")
     assert all(lines[i].strip() for i in marked["boilerplate_lines"])
+
+
+def test_lines_are_drawn_from_the_whole_text():
+    assert linecrf._drawn(5, 100) == [(0, 100)] and linecrf._drawn(5, 0) == [(0, 0)]
+    places = [a for number in range(200) for a, _ in linecrf._drawn(number, 5000)]
+    assert all(sum(b - a for a, b in linecrf._drawn(n, 5000)) == 100 for n in range(20))
+    assert min(places) < 500 and max(places) > 4500 and 2000 < np.mean(places) < 3000
+    assert linecrf._drawn(7, 130) == linecrf._drawn(7, 130) and all(b <= 130 for _, b in linecrf._drawn(7, 130))
+
+
+def test_verdict_against_a_plain_version(spark):
+    """Statistics, all labellings of short texts, share of content: the whole verdict by other means."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = fit_lines(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = judge_lines(docs, model).collect()
+    checked = 0
+    for r in rows:
+        seen = linecrf._measure(pa.array([r["text"]]))
+        scores = model.weights[seen["features"]].sum(axis=1) + model.bias
+        n = len(scores)
+        if not 0 < n <= 10:
+            continue
+        checked += 1
+
+        def score(labels, scores=scores):
+            total = model.start[labels[0]] + sum(s for s, label in zip(scores, labels, strict=True) if label)
+            return total + sum(model.moves[a, b] for a, b in itertools.pairwise(labels))
+
+        best = max(itertools.product((0, 1), repeat=n), key=score)
+        words = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in r["text"].split("\n")]
+        words = [w for w in words if w]
+        content = sum(w for w, label in zip(words, best, strict=True) if not label)
+        assert r["content_words"] == content and r["base_failed"] == base(r["text"])[-1]
+        assert r["kept"] == (not r["base_failed"] and content >= 0.5 * r["n_words"])
+    assert checked > 50
+
+
+def test_very_long_text(spark):
+    text = "\n".join(f"This is line number {i} of a long and rather dull report about things" for i in range(20_000))
+    df = spark.createDataFrame([(1, text), (2, "x " * 300_000)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in judge_lines(df, LineModel()).collect()}
+    assert got[1]["n_words"] == 14 * 20_000 and not got[1]["n_dup_lines"] and got[2]["base_failed"] and got[2]["n_words"] == 300_000
