@@ -619,10 +619,15 @@ def _files(v: Views, target: sources.TableSource) -> DataFrame:
 
 
 def q56_daily_store(v: Views) -> DataFrame:
-    """Period metrics from stored daily sums: made before the rows of a day came in, then refreshed by that day."""
+    """Period metrics from stored daily sums: made before the rows of a day came in, then refreshed by that day.
+
+    The store holds the days that any of the periods has, as the report over the fact reads them.
+    """
     store = sources.TableSource(path=scratch_path(v.spark, "daily"))
-    periods.refresh_daily(v.fact().filter(F.col("date") != F.lit(AS_OF)), store)
-    return periods.period_metrics(periods.refresh_daily(v.fact(), store, [AS_OF]), calendar.day_periods(AS_OF))
+    periods_ = calendar.day_periods(AS_OF)
+    earlier = v.fact().filter(calendar.in_any(periods_)).filter(F.col("date") != F.lit(AS_OF))
+    periods.refresh_daily(earlier, store)
+    return periods.period_metrics(periods.refresh_daily(v.fact(), store, [AS_OF]), periods_)
 
 
 def q57_bucketed_bids(v: Views) -> DataFrame:
