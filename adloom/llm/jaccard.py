@@ -39,7 +39,7 @@ NEAREST = 4
 #: Nodes of a list that meet those of another block in one step.
 BLOCK = 4096
 #: Classes of tokens, as a power of two, whose parities bound what two sets share.
-PARITY_BITS = 8
+PARITY_BITS = 9
 #: A token repeated so often within ``COUNT_BLOCK`` shingles of a task is counted
 #: over the corpus; from ``COMMON`` on it goes to the end of the orders, the most
 #: frequent last. These steer the order only, never the result.
