@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adloom.operators import enrich, joins, masking, pareto, strategy
+from adloom.session import apply_settings
 
 LOW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -94,3 +95,17 @@ def test_labels_of_a_hot_parent_span_ranges(spark):
     out = masking.pseudonymize(df, [("P", "portfolio", ()), ("K", "keyword", ("P",))], partitions=16)
     wrong = out.filter(F.col("K") != F.concat(F.lit("keyword"), (F.col("id") + 1).cast("string")))
     assert wrong.isEmpty() and out.count() == 20_000
+
+
+def test_partitions_put_together_stay_small(spark):
+    """A task of a report gets 16 MB of compressed rows at most where partitions are put together."""
+    assert apply_settings(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_lines_are_dealt_out_once_by_order(views):
+    """Customers join the narrow orders, not the wide lines."""
+    plan = views["ad_fact"]._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Join Inner" in line and "custkey" in line]
+    assert len(lines) == 1 and "o_custkey" in lines[0]
+    below = plan.splitlines()[plan.splitlines().index(lines[0]) :]
+    assert not any("l_orderkey" in line for line in below)
