@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions.labels import NOT_APPLICABLE, extract_asin
-from adloom.operators.joins import size_checked, spread_nulls
+from adloom.operators.joins import size_checked, spread_nulls, stored
+
+#: Names that an account may have for every row to be tried with all of them.
+MAX_TRIED = 64
 
 
 def _known(df: DataFrame, column: str) -> DataFrame:
@@ -106,14 +109,39 @@ def brand_flags(words: DataFrame, index: BrandIndex) -> DataFrame:
     )
 
 
+def tried_names(names: DataFrame) -> DataFrame | None:
+    """(account_name, __own, __rival): an account's folded names as two arrays; none if they are too many to be tried.
+
+    No account has more than ``MAX_TRIED`` and the arrays are within the bound of a broadcast.
+    """
+    per_account = names.groupBy("account_name").agg(F.count(F.lit(1)).alias("n"))
+    if (per_account.agg(F.max("n")).first()[0] or 0) > MAX_TRIED:
+        return None
+    kinds = [F.collect_list(F.when(F.col(kind), F.col("__name"))).alias(kind) for kind in ("__own", "__rival")]
+    arrays, small = stored(names.groupBy("account_name").agg(*kinds), "names")
+    return F.broadcast(arrays) if small else None
+
+
 def with_brand_flags(fact: DataFrame, index: BrandIndex) -> DataFrame:
-    """Add ``bd_brand`` and ``ba_brand``, matched once per distinct keyword of an account.
+    """Add ``bd_brand`` and ``ba_brand``; see :func:`brand_flags` for what they say.
 
-    The flags are stored and broadcast if their size allows it; beyond that they are
-    joined by shuffle, and as a table of their own leave a hot keyword of the fact to be split.
+    Where accounts have few names every row is tried with its account's, and the fact is
+    neither read twice nor dealt out. Else names are looked up once per distinct keyword
+    of an account: the flags are stored and broadcast if their size allows it; beyond that
+    they are joined by shuffle, and as a table of their own leave a hot keyword of the fact to be split.
     """
-    (flags,) = size_checked(brand_flags(fact, index))
-    flagged = fact.join(flags, ["account_name", "keyword"], "left")
+    few = tried_names(index[0])
+    if few is None:
+        (flags,) = size_checked(brand_flags(fact, index))
+        flagged = fact.join(flags, ["account_name", "keyword"], "left")
+    else:
+        known = fact.join(few, "account_name", "left").withColumn("__text", _folded(F.col("keyword")))
+
+        def flag(kind: str) -> Column:
+            met = F.exists(kind, lambda name: F.contains("__text", name))
+            return F.when(F.col("keyword").isNotNull() & (F.size(kind) > 0), met)
+
+        flagged = known.withColumns({"bd_brand": flag("__own"), "ba_brand": flag("__rival")})
     return flagged.select(*[f"`{c}`" for c in fact.columns], "bd_brand", "ba_brand")
 
 

@@ -118,6 +118,25 @@ def test_brand_names_skip_blanks(spark, rows):
     assert rows(strategy.account_brands(df))[0] == ("a", "Blue", False)
 
 
+def test_few_names_are_tried_row_by_row(spark, rows, monkeypatch):
+    """Same flags as the lookup by parts, without dealing the fact out or reading it twice."""
+    names = [("A", "Red", True), ("A", "Rot", False), ("A", "(b", False), ("B", "x\u00e9", True), (None, "Red", True)]
+    names = spark.createDataFrame(names, "account_name string, name string, own boolean")
+    index = strategy.name_index(names)
+    words = ["a RED one", "red(B", "", None, "rot", "x\u00e9y", "plain", "plain"]
+    words = [(a, w, i) for a in ("A", "B", "C", None) for i, w in enumerate(words)]
+    words = spark.createDataFrame(words, "account_name string, keyword string, n int")
+    tried = strategy.with_brand_flags(words, index)
+    plan = tried._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    got = rows(tried)
+    assert ("A", "red(B", 1, True, True) in got and ("B", "plain", 6, False, None) in got
+    assert ("A", None, 3, None, None) in got and ("C", "rot", 4, None, None) in got
+    monkeypatch.setattr(strategy, "MAX_TRIED", 1)
+    assert strategy.tried_names(index[0]) is None
+    assert rows(strategy.with_brand_flags(words, index)) == got
+
+
 def test_brand_flags_are_null_without_brands(spark, rows):
     words = spark.createDataFrame([("a", "a RED old (BOLT"), ("a", None), ("b", "blue"), ("c", "x")], "account_name string, keyword string")
     brands = strategy.account_brands(spark.createDataFrame(COMPETITORS, COMPETITOR_SCHEMA))
