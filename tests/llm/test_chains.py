@@ -256,3 +256,42 @@ def test_exact_copies_against_every_pair(spark, seed):
             seen.setdefault(tuple(w[a : a + 50]), i)
     # A passage that has less than a fifth of new words is not reported.
     assert wanted > 1000 and 1000 * missed <= wanted, (missed, wanted)
+
+
+@pytest.mark.parametrize("others", [0, 5])
+def test_a_changed_copy_is_found_among_holders_of_all_its_seeds(spark, others):
+    """No seed of the passage has its source as first or nearest holder, and it has no more seeds than it must have."""
+    rng = random.Random(9)
+    lengths = [4, 3, 4, 4, 3, 4, 4, 3, 4, 3, 4]
+    runs = [words_of(rng, n) for n in lengths]
+    joined = lambda: [w for r in runs for w in [*words_of(rng, 1), *r]][1:]
+    pieces = lambda: [" ".join(words_of(rng, 9) + r + words_of(rng, 9)) for r in runs if len(r) == 4]
+    texts = [*pieces(), " ".join(words_of(rng, 30) + joined() + words_of(rng, 20))]
+    source = len(texts) - 1
+    for _ in range(others):
+        texts += pieces()[:3]
+    texts += [*pieces(), " ".join(words_of(rng, 12) + joined() + words_of(rng, 40))]
+    got = {r["doc_id"]: r for r in find_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    last = len(texts) - 1
+    assert [p["source"] for p in got[last]["passages"]] == [source]
+    assert covered_words(got[last], texts[last]) >= set(range(12, 62))
+    assert {n for n, r in got.items() if r["passages"]} == {last}
+
+
+def test_links_with_all_earlier_holders(monkeypatch):
+    """First and further links of an occurrence together lead to every earlier document that has its seed."""
+    rng = np.random.default_rng(2)
+    seeds = np.stack([rng.integers(0, 12, 900), rng.integers(0, 60, 900), 2 * rng.integers(0, 40, 900)])
+    seeds = np.unique(seeds, axis=1)
+    rest, held = chains._often(seeds)
+    monkeypatch.setattr(chains, "LINK_BLOCK", 50)
+    further = list(chains._further(rest[[3, 0, 1]], held))
+    assert len(further) > 10
+    first = chains._links(seeds)
+    first[2:] >>= 1
+    got = sorted(map(tuple, np.concatenate([first, *further], axis=1).T.tolist()))
+    where: dict[tuple[int, int], int] = {}
+    for key, doc, place in seeds.T.tolist():
+        where.setdefault((key, doc), place >> 1)
+    want = sorted((doc, d, place >> 1, p) for key, doc, place in seeds.T.tolist() for (k, d), p in where.items() if k == key and d < doc)
+    assert got == want
