@@ -47,6 +47,9 @@ LOCAL_REPEATS = 8
 COUNT_BLOCK = 2_000_000
 COMMON = 64
 COMMON_KEPT = 1 << 17
+#: Prefix entries that one bucket gets, about, and that a task packs at once.
+BUCKET_ENTRIES = 100_000
+PACK_ENTRIES = 500_000
 _SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
 
 
@@ -167,10 +170,29 @@ def _prefixes(df: DataFrame, k: int, num: int, den: int, common: Broadcast, buck
     """
     shift = np.uint64(64 - int(buckets).bit_length() + 1)
 
+    def pack(parts: list[tuple]) -> pa.RecordBatch:
+        sizes = [len(p[0]) for p in parts]
+        key = np.concatenate([p[0] for p in parts])
+        node = np.repeat(np.array([p[1] for p in parts], np.int64), sizes)
+        about = np.repeat(np.array([p[2] * 2 + p[3] for p in parts], np.int64), sizes)
+        # Prefixes hold the least ranks, so the key itself would fill few buckets.
+        bucket = (mix(key) >> shift).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        packed = np.stack([key.view(np.int64), node, about])[:, order]
+        bucket = bucket[order]
+        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        ends = [0, *cuts.tolist(), len(bucket)]
+        rows = [(bucket[a], packed[:, a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
+            names=["bucket", "entries"],
+        )
+
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = common.value
+        parts: list[tuple] = []
+        held = 0
         for batch in batches(found, 8192):
-            parts: list[tuple] = []
             for tokens in _sets(batch, 1, k):
                 n = len(tokens)
                 if not n:
@@ -187,24 +209,12 @@ def _prefixes(df: DataFrame, k: int, num: int, den: int, common: Broadcast, buck
                     else:
                         first = np.arange(n)
                     parts.append((rank[first], node, n, order))
-            if not parts:
-                continue
-            sizes = [len(p[0]) for p in parts]
-            key = np.concatenate([p[0] for p in parts])
-            node = np.repeat(np.array([p[1] for p in parts], np.int64), sizes)
-            about = np.repeat(np.array([p[2] * 2 + p[3] for p in parts], np.int64), sizes)
-            # Prefixes hold the least ranks, so the key itself would fill few buckets.
-            bucket = (mix(key) >> shift).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            packed = np.stack([key.view(np.int64), node, about])[:, order]
-            bucket = bucket[order]
-            cuts = np.flatnonzero(np.diff(bucket)) + 1
-            ends = [0, *cuts.tolist(), len(bucket)]
-            rows = [(bucket[a], packed[:, a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-                names=["bucket", "entries"],
-            )
+                held += 2 * size
+                if held >= PACK_ENTRIES:
+                    yield pack(parts)
+                    parts, held = [], 0
+        if parts:
+            yield pack(parts)
 
     return df.mapInArrow(run, "bucket long, entries binary")
 
@@ -422,7 +432,11 @@ def near_duplicates(
     often = often.orderBy(F.desc("n"), "node").limit(COMMON_KEPT).toPandas()  # bounded; steers the order only
     common = spark.sparkContext.broadcast(_Common(often["node"].tolist(), often["n"].tolist()))
 
-    buckets = 1 << max(6, (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+    # Buckets by what they hold, so that a group takes the same memory whatever the size of the table.
+    size = F.expr(f"n_shingles - ceil({num} * n_shingles / {den}) + 1")
+    total = 2 * int(rows.filter("n_shingles > 0").agg(F.sum(size).alias("n")).first()["n"] or 0)
+    tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 1 << max(6, tasks.bit_length(), (total // BUCKET_ENTRIES).bit_length())
     entries = _prefixes(docs, k, num, den, common, buckets)
     lists = materialize(entries.groupBy("bucket").applyInArrow(_lists(num, den), _FOUND), "join-lists")
 

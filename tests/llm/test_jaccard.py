@@ -2,6 +2,7 @@ import random
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -84,3 +85,34 @@ def test_parities_bound_what_two_sets_share():
         assert shared <= bound
         pruned += bound < min(len(a), len(b))
     assert pruned > 100
+
+
+def test_buckets_grow_with_the_entries(spark, monkeypatch):
+    """A group of the join holds about as many entries whatever the size of the table."""
+    df = spark.createDataFrame(corpus(4), "doc_id long, text string").repartition(2)
+    made = []
+
+    class Seen(Exception):
+        pass
+
+    def prefixes(*args):
+        made.append(args)
+        raise Seen
+
+    original = jaccard._prefixes
+    monkeypatch.setattr(jaccard, "_prefixes", prefixes)
+    for most in (1_000_000, 10):
+        monkeypatch.setattr(jaccard, "BUCKET_ENTRIES", most)
+        with pytest.raises(Seen):
+            jaccard.near_duplicates(df, k=4, num=85, den=100)
+    few, many = (args[-1] for args in made)
+    assert many > 2 * few
+
+    def entries(args):
+        parts = [np.frombuffer(r["entries"], np.int64).reshape(3, -1) for r in original(*args).collect()]
+        return sorted(map(tuple, np.concatenate(parts, axis=1).T.tolist()))
+
+    whole = entries(made[0])
+    assert few * 10 < 2 * len(whole) < 4 * many * 10
+    monkeypatch.setattr(jaccard, "PACK_ENTRIES", 300)
+    assert entries(made[1]) == whole
