@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.operators.joins import join_null_safe, size_checked, stored
-from adloom.session import materialize
 
 RATIO = "Acos_ratio"
 NUMBER = "rule_no"
@@ -233,9 +232,9 @@ def price_rows(df: DataFrame, rules_df: DataFrame) -> DataFrame:
     """Add ``suggested_bid`` of the first rule, in order, that gives the row a non-null bid.
 
     Bounds are ``[start, end)``; columns the report lacks do not filter. Columns that the
-    row's rules filter by come back as the rules saw them: numbers, null read as 0. The
-    rows are stored once with their intervals, then read for the combinations that
-    occur and again for the result.
+    row's rules filter by come back as the rules saw them: numbers, null read as 0. ``df`` is
+    read twice, for the combinations that occur and for the result, each time only the columns
+    needed there; hand in stored rows, or what is cheap to make of them.
     """
     rules, _ = stored(rule_rows(rules_df), "rules")
     filters, prices = _named(rules, df.columns)
@@ -246,7 +245,7 @@ def price_rows(df: DataFrame, rules_df: DataFrame) -> DataFrame:
         raise ValueError(f"{most} bounds of one account on one column, more than {MAX_BOUNDS}")
     levels = most.bit_length() + 1
     known = F.broadcast(bounds) if small else bounds
-    rows = materialize(with_intervals(df, known, filters, prices, levels), "priced")
+    rows = with_intervals(df, known, filters, prices, levels)
     (filed,) = size_checked(filed_rules(rules, bounds, filters, prices, levels))
     (best,) = size_checked(first_rules(rows.select(*ALIKE).distinct(), filed, len(filters), levels))
     priced = join_null_safe(rows, best, ALIKE)

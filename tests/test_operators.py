@@ -299,6 +299,19 @@ def _bids(spark, rule_list, data, schema="account_name string, portfolio_name st
     return [r.suggested_bid for r in out.orderBy("place").collect()]
 
 
+def test_priced_rows_are_read_where_they_lie(spark, tmp_path):
+    """Rows are not stored again with all their columns, whatever the caller goes on to use."""
+    schema = "account_name string, portfolio_name string, CPC double, Acos_ratio double, unused string"
+    data = [("a", "x", 2.0, 1.0, "u"), ("a", None, 4.0, None, "v"), (None, "x", None, 1.0, None)]
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.schema(schema).parquet(str(tmp_path / "rows"))
+    out = rules.price_rows(df, _rule_table(spark, [_rule(bid_change="50")]))
+    assert set(df.inputFiles()) <= set(out.inputFiles())
+    plan = out.select("suggested_bid")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema" in plan and "unused" not in plan
+    assert sorted((r.unused or "", r.suggested_bid) for r in out.collect()) == [("", None), ("u", 3.0), ("v", 6.0)]
+
+
 def test_rule_order_is_that_of_the_numbers(spark, tmp_path):
     first, second = _rule(bid_change="50"), _rule(bid_change="-50")
     table = _rule_table(spark, [first, second])
