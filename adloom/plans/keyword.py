@@ -76,7 +76,8 @@ def keyword_base(
     """Keyword rows with period sums, dimensions and target ACOS, before ratios and ranking.
 
     Dimensions are joined after the aggregation: each has one row per key, so the
-    result is the same and the joins see keywords instead of daily rows.
+    result is the same and the joins see keywords instead of daily rows. The fact's rows of the
+    periods are stored once, since sums and descriptions both read them.
     """
     ads_by_campaign, latest, dim, campaign_target, account_target = size_checked(
         account_ads_dim(ads),
@@ -85,7 +86,8 @@ def keyword_base(
         campaign_targets(per_campaign),
         account_targets(per_account),
     )
-    sums = whole_sums(keyword_sums(with_match_type(fact), periods), periods)
+    held = with_match_type(fact).filter(in_any(periods)).select(*KEYS, *DESCRIPTION, "date", *MEASURES)
+    sums = whole_sums(keyword_sums(materialize(held, "facts"), periods), periods)
     rows = keyword_metadata(with_bids(with_ads(sums, ads_by_campaign), latest), dim)
     return join_targets(rows, campaign_target, account_target)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from adloom import catalog, fixtures
-from adloom.functions.calendar import day_periods, month_periods
+from adloom.functions.calendar import day_periods, in_any, month_periods
 from adloom.operators import canonical, dedupe, enrich, masking, periods, strategy
 from adloom.plans import campaign, keyword
 from check import compare
@@ -151,6 +151,17 @@ def test_keyword_report_sums_take_one_wide_shuffle(spark, views):
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_keyword_report_stores_the_rows_of_its_periods_once(spark, views, monkeypatch):
+    """Sums and descriptions read the stored rows; the fact's joins run once."""
+    made, keyword_sums = [], keyword.keyword_sums
+    monkeypatch.setattr(keyword, "keyword_sums", lambda fact, periods: made.append(fact) or keyword_sums(fact, periods))
+    catalog.q15_pareto(views)
+    (held,) = made
+    assert held.inputFiles() and all("/facts-" in f for f in held.inputFiles())
+    wanted = canonical.with_match_type(views.fact()).filter(in_any(keyword.report_periods(fixtures.AS_OF)))
+    assert held.exceptAll(wanted.select(held.columns)).isEmpty() and held.count() == wanted.count() > 0
+
+
 def test_keyed_pick_is_limited_before_the_shuffle(spark, views):
     assert "WindowGroupLimit" in plan_of(enrich.ads_dim(views.ads))
     assert "WindowGroupLimit" in plan_of(dedupe.latest_bids(views.bid_values))
