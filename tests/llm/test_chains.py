@@ -278,6 +278,14 @@ def test_a_changed_copy_is_found_among_holders_of_all_its_seeds(spark, others):
     assert {n for n, r in got.items() if r["passages"]} == {last}
 
 
+@pytest.mark.parametrize("low", [0, -(1 << 62)])
+def test_pairs_of_links_are_told_once(low):
+    ids = low + np.random.default_rng(3).integers(0, 40, (2, 3000)) * ((1 << 62) // 40)
+    links = np.concatenate([ids, np.zeros((2, 3000), np.int64)])
+    assert (chains._pairs(links) == np.unique(links[:2], axis=1)).all()
+    assert chains._pairs(links[:, :0]).shape == (2, 0)
+
+
 def test_links_with_all_earlier_holders(monkeypatch):
     """First and further links of an occurrence together lead to every earlier document that has its seed."""
     rng = np.random.default_rng(2)
