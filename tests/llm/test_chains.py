@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from adloom.llm import chains
@@ -303,3 +304,25 @@ def test_links_with_all_earlier_holders(monkeypatch):
         where.setdefault((key, doc), place >> 1)
     want = sorted((doc, d, place >> 1, p) for key, doc, place in seeds.T.tolist() for (k, d), p in where.items() if k == key and d < doc)
     assert got == want
+
+
+def test_parts_of_packed_links_are_all_of_them():
+    links = np.random.default_rng(4).integers(-50, 50, (4, 900))
+    column = pa.chunked_array([pa.array([chains._narrow(links[:, a : a + 300]) for a in range(0, 900, 300)], pa.binary())])
+    parts = [chains._unpacked(column, 4, i, 7) for i in range(7)]
+    assert sorted(map(tuple, np.concatenate(parts, axis=1).T.tolist())) == sorted(map(tuple, links.T.tolist()))
+    assert (chains._unpacked(column, 4) == links).all()
+
+
+def test_chains_of_segments_in_a_row():
+    """Segments that follow each other in both texts have the chains that the tree finds."""
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        steps = rng.choice([1, 1, 1, 4, 30, 300, 700], (2, int(rng.integers(3, 60))))
+        steps[1, rng.random(steps.shape[1]) < 0.7] = 1
+        steps[0, steps[1] == 1] = 1
+        p, q = np.cumsum(steps, axis=1)
+        links = np.stack([np.full(len(p), 9), np.full(len(p), 2), p, q])
+        want = [(q0, q1 + 4, p0, p1 + 4, round(100 * s)) for s, p0, p1, q0, q1, n in chain(p, q) if n >= chains.MIN_SEEDS]
+        got = chains._chains(links, 0)
+        assert sorted(zip(*got[[1, 2, 4, 5, 6]].tolist(), strict=True)) == sorted(want)
